@@ -45,7 +45,8 @@ def predict_class(train: DataFrame, new: DataFrame,
     bins and the fit jobs.
     """
     feats = list(features)
-    cast = lambda d: d.select(*keep, *[F.col(c).cast("double").alias(c) for c in feats],
+    extra = [k for k in keep if k not in feats]
+    cast = lambda d: d.select(*extra, *[F.col(c).cast("double").alias(c) for c in feats],
                               *([F.col(label).cast("int").alias(label)] if label in d.columns else []))
     tr = cast(train).dropna(subset=feats + [label])
     te = cast(new)
@@ -57,7 +58,8 @@ def predict_class(train: DataFrame, new: DataFrame,
     forest = RandomForestClassifier(featuresCol="features_indexed", labelCol=label,
                                     maxBins=max(32, int(widest) + 2), seed=seed)
     model = Pipeline(stages=[assembler, indexer, forest]).fit(tr)
-    return model.transform(te).select(*keep, F.col("prediction").cast("int").alias("prediction"))
+    return model.transform(te).select(*extra, *[F.col(c).cast("int").alias(c) for c in feats if c in keep],
+                                      F.col("prediction").cast("int").alias("prediction"))
 
 
 # ------------------------------------------------------ cross-validated forest

@@ -44,10 +44,7 @@ def cumulative_counts(counts: DataFrame, value: str, count_cols: Sequence[str] |
     """
     keys = _cols(keys)
     count_cols = _cols(count_cols)
-    fractions = [i / buckets for i in range(1, buckets)]
-    bounds = counts.select(F.percentile_approx(value, fractions, 10_000)).scalar()
-    v = F.col(value)
-    bucketed = counts.withColumn("_bucket", F.size(F.filter(bounds, lambda b: b < v)).cast("int"))
+    bucketed = with_quantile_bucket(counts, value, buckets)
     inside = Window.partitionBy(*keys, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     for c in count_cols:
         bucketed = bucketed.withColumn(f"_in_{c}", F.coalesce(F.sum(c).over(inside), F.lit(0)))
@@ -62,6 +59,32 @@ def cumulative_counts(counts: DataFrame, value: str, count_cols: Sequence[str] |
     return out.drop("_bucket", *[f"_in_{c}" for c in count_cols], *[f"_off_{c}" for c in count_cols])
 
 
+def with_quantile_bucket(df: DataFrame, value: str, buckets: int = DEFAULT_BUCKETS,
+                         out: str = "_bucket") -> DataFrame:
+    """Add ``out``: index of ``value``'s approximate-quantile range among ``buckets``.
+
+    The ``buckets - 1`` cut points are one scalar subquery; the index is the
+    number of cut points below the value, found by binary search: one
+    projection per probe (log2(buckets) of them), each a single
+    ``try_element_at`` compare.  Equal values share a range and ranges follow
+    the value order.
+    """
+    steps = 1
+    while steps < buckets:
+        steps *= 2
+    fractions = [i / buckets for i in range(1, buckets)]
+    bounds = df.select(F.percentile_approx(value, fractions, 10_000)).scalar()
+    v = F.col(value)
+    out_df = df.withColumn(out, F.lit(0))
+    step = steps // 2
+    while step >= 1:
+        probe = F.col(out) + step
+        out_df = out_df.withColumn(out, F.when(F.try_element_at(bounds, probe) < v, probe)
+                                   .otherwise(F.col(out)))
+        step //= 2
+    return out_df
+
+
 def midranks(df: DataFrame, value: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """One row per distinct non-null ``value``: ``n`` rows and their average rank ``midrank``."""
     counts = (df.select(value).filter(F.col(value).isNotNull())

@@ -221,6 +221,11 @@ ms AS (
 mties AS (SELECT sum(t * t * t - t) AS ties FROM mt)"""
 
 
+def _r6(expr: str) -> str:
+    """Round to 6 places; -0.0 becomes 0.0 (as on the Spark side)."""
+    return f"CASE WHEN round({expr}, 6) = 0 THEN 0.0 ELSE round({expr}, 6) END"
+
+
 def _mean_exact(col: str, scale: int = 2) -> str:
     return (f"CASE WHEN count({col}) = 0 THEN NULL ELSE "
             f"CAST(sum(CAST({col} AS DECIMAL(38,{scale}))) AS DOUBLE) / CAST(count({col}) AS DOUBLE) END")
@@ -246,14 +251,14 @@ SELECT strftime(date_trunc('hour', lpep_pickup_datetime), '%Y-%m-%d %H:%M:%S') A
        array_to_string(list_sort(list(DISTINCT PULocationID)), ',') AS pickup_locations
 FROM trips GROUP BY 1 ORDER BY 1"""
 
-    q["zscore"] = trips + """
+    q["zscore"] = trips + f"""
 SELECT PULocationID, DOLocationID, fare_amount,
-       round((fare_amount - avg(fare_amount) OVER ()) / nullif(stddev_samp(fare_amount) OVER (), 0), 6) AS z
+       {_r6("(fare_amount - avg(fare_amount) OVER ()) / nullif(stddev_samp(fare_amount) OVER (), 0)")} AS z
 FROM trips"""
 
-    q["zscore_by"] = trips + """
+    q["zscore_by"] = trips + f"""
 SELECT PULocationID, DOLocationID, fare_amount,
-       round((fare_amount - avg(fare_amount) OVER w) / nullif(stddev_samp(fare_amount) OVER w, 0), 6) AS z
+       {_r6("(fare_amount - avg(fare_amount) OVER w) / nullif(stddev_samp(fare_amount) OVER w, 0)")} AS z
 FROM trips WINDOW w AS (PARTITION BY PULocationID)"""
 
     q["fare_struct"] = trips + """
@@ -311,13 +316,13 @@ FROM (SELECT CAST(hour(lpep_pickup_datetime) AS INTEGER) AS pu_hour,
              CAST(hour(lpep_dropoff_datetime) AS INTEGER) AS do_hour, tip_amount FROM trips)
 GROUP BY pu_hour"""
 
-    q["spearman"] = trips + """,
+    q["spearman"] = trips + f""",
 sp AS (SELECT tolls_amount AS x, fare_amount AS y FROM trips
        WHERE tolls_amount IS NOT NULL AND fare_amount IS NOT NULL),
 sr AS (SELECT rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2.0 AS rx,
               rank() OVER (ORDER BY y) + (count(*) OVER (PARTITION BY y) - 1) / 2.0 AS ry
        FROM sp)
-SELECT round(corr(rx, ry), 6) AS rho FROM sr"""
+SELECT {_r6("corr(rx, ry)")} AS rho FROM sr"""
 
     # ---------------------------------------------------------------- tweets
     tweets = with_(TWEETS)
@@ -408,10 +413,9 @@ SELECT game_mode, count(match_id) AS matches FROM cleaned GROUP BY 1"""
     q["hist"] = matches + "," + _hist_sql("cleaned", "duration_mins", 20, None)
     q["hist_by"] = matches + "," + _hist_sql("cleaned", "duration_mins", 20, "win_type")
     q["mann_whitney"] = matches + "," + _midrank_values("cleaned", "duration_mins", "win_type",
-                                                         "radiant", "dire") + """
+                                                         "radiant", "dire") + f"""
 SELECT n1, n2, u,
-       round((greatest(u, n1 * n2 - u) - n1 * n2 / 2.0 - 0.5)
-             / sqrt(n1 * n2 / 12.0 * ((n1 + n2 + 1) - ties / ((n1 + n2) * (n1 + n2 - 1.0)))), 6) AS z
+       {_r6("(greatest(u, n1 * n2 - u) - n1 * n2 / 2.0 - 0.5) / sqrt(n1 * n2 / 12.0 * ((n1 + n2 + 1) - ties / ((n1 + n2) * (n1 + n2 - 1.0))))")} AS z
 FROM (SELECT n1, n2, r1 - n1 * (n1 + 1) / 2.0 AS u FROM ms), mties"""
     q["ks_2samp"] = matches + """,
 kv AS (SELECT duration_mins AS x, win_type AS g FROM cleaned
@@ -423,7 +427,7 @@ kf AS (SELECT sum(c1) OVER (ORDER BY x) AS f1, sum(c2) OVER (ORDER BY x) AS f2 F
 SELECT max(abs(f1 / kn.n1 - f2 / kn.n2)) AS d, CAST(any_value(kn.n1) AS BIGINT) AS n1,
        CAST(any_value(kn.n2) AS BIGINT) AS n2
 FROM kf, kn"""
-    q["kruskal"] = matches + """,
+    q["kruskal"] = matches + f""",
 kv AS (SELECT duration_mins AS x, game_mode AS g FROM cleaned
        WHERE duration_mins IS NOT NULL AND game_mode IS NOT NULL),
 kr AS (SELECT g, rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2.0 AS r FROM kv),
@@ -431,10 +435,9 @@ kt AS (SELECT CAST(count(*) AS DOUBLE) AS t FROM kv GROUP BY x),
 kg AS (SELECT g, CAST(count(*) AS DOUBLE) AS ng, sum(r) AS rg FROM kr GROUP BY g),
 ka AS (SELECT count(*) AS k, sum(ng) AS n, sum(rg * rg / ng) AS s FROM kg)
 SELECT k, CAST(n AS BIGINT) AS n,
-       round((12.0 / (n * (n + 1.0)) * s - 3.0 * (n + 1.0))
-             / (1.0 - (SELECT sum(t * t * t - t) FROM kt) / (n * n * n - n)), 6) AS h
+       {_r6("(12.0 / (n * (n + 1.0)) * s - 3.0 * (n + 1.0)) / (1.0 - (SELECT sum(t * t * t - t) FROM kt) / (n * n * n - n))")} AS h
 FROM ka"""
-    q["levene"] = matches + """,
+    q["levene"] = matches + f""",
 lv AS (SELECT CAST(duration_mins AS DOUBLE) AS x, game_mode AS g FROM cleaned
        WHERE duration_mins IS NOT NULL AND game_mode IS NOT NULL),
 lm AS (SELECT g, median(x) AS med FROM lv GROUP BY g),
@@ -442,8 +445,7 @@ lz AS (SELECT lv.g, abs(x - med) AS z FROM lv JOIN lm USING (g)),
 lg AS (SELECT g, CAST(count(*) AS DOUBLE) AS ng, avg(z) AS zg, var_pop(z) AS vg FROM lz GROUP BY g),
 lt AS (SELECT sum(ng) AS n, count(*) AS k, sum(ng * zg) / sum(ng) AS zbar FROM lg)
 SELECT any_value(lt.k) AS k, CAST(any_value(lt.n) AS BIGINT) AS n,
-       round((any_value(lt.n) - any_value(lt.k)) * sum(ng * pow(zg - lt.zbar, 2))
-             / ((any_value(lt.k) - 1.0) * sum(ng * vg)), 6) AS w
+       {_r6("(any_value(lt.n) - any_value(lt.k)) * sum(ng * pow(zg - lt.zbar, 2)) / ((any_value(lt.k) - 1.0) * sum(ng * vg))")} AS w
 FROM lg, lt"""
     q["binned_pairs"] = matches + """,
 bv AS (SELECT CAST(first_blood_time AS DOUBLE) AS x, CAST(duration AS DOUBLE) AS y FROM cleaned
@@ -453,8 +455,8 @@ SELECT CASE WHEN xhi = xlo THEN 0 ELSE CAST(least(floor((x - xlo) / ((xhi - xlo)
        CASE WHEN yhi = ylo THEN 0 ELSE CAST(least(floor((y - ylo) / ((yhi - ylo) / 20.0)), 19) AS INTEGER) END AS ybin,
        count(*) AS count
 FROM bv, br GROUP BY 1, 2"""
-    q["pair_corr"] = matches + """
-SELECT round(corr(CAST(first_blood_time AS DOUBLE), CAST(duration AS DOUBLE)), 6) AS r FROM cleaned"""
+    q["pair_corr"] = matches + f"""
+SELECT {_r6("corr(CAST(first_blood_time AS DOUBLE), CAST(duration AS DOUBLE))")} AS r FROM cleaned"""
     q["bit_advantage"] = matches + """
 SELECT match_id,
        CAST(bit_count(tower_status_radiant) - bit_count(tower_status_dire) AS INTEGER) AS tower_adv,

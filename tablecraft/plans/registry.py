@@ -47,7 +47,9 @@ def queries() -> dict[str, Query]:
 
 
 def r6(c) -> F.Column:
-    return F.round(F.col(c) if isinstance(c, str) else c, 6)
+    """Round to 6 places; -0.0 becomes 0.0 so both engines agree on zero."""
+    r = F.round(F.col(c) if isinstance(c, str) else c, 6)
+    return F.when(r == 0, F.lit(0.0)).otherwise(r)
 
 
 # ----------------------------------------------------------------------- trips
