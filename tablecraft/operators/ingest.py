@@ -58,7 +58,7 @@ def _open_stream(path: str):
     """Open a file URI for streaming reads (local, HDFS, S3 via pyarrow.fs)."""
     from pyarrow import fs as pafs
     filesystem, inner = pafs.FileSystem.from_uri(path)
-    return filesystem.open_input_stream(inner)
+    return filesystem.open_input_stream(inner, compression=None)
 
 
 def _archive_members(suffixes: tuple[str, ...]):

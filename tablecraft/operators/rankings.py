@@ -87,19 +87,25 @@ def clean_country(col="country", strict: bool = False):
     cleaned = strip_punctuation(title_case(col))
     if strict:
         cleaned = F.trim(cleaned)
-    return normalise_country(cleaned, strict=strict)
+    return cleaned
 
 
-def country_counts(df: DataFrame, strict: bool = False) -> DataFrame:
-    """Author count per normalised country.
+def normalised_spellings(df: DataFrame, strict: bool = False) -> DataFrame:
+    """Distinct raw spellings with their author count ``n`` and normalised ``country``.
 
-    Counts by raw spelling first (partial aggregation collapses the exploded
-    rows to one per spelling per task), cleans each distinct spelling once, then
-    adds the spellings that clean to the same country.
+    The raw spellings are counted first (partial aggregation collapses the
+    exploded rows to one per spelling per task), so the text clean-up and the
+    fifteen rules run once per distinct spelling, not once per author.  The
+    cleaned text is its own projection so all rules read one computed value.
     """
     by_raw = raw_countries(df).groupBy("country").agg(F.count(F.lit(1)).alias("n"))
-    return (by_raw.select(clean_country("country", strict).alias("country"), "n")
-            .groupBy("country").agg(F.sum("n").alias("count")))
+    staged = by_raw.select(clean_country("country", strict).alias("_clean"), "n")
+    return staged.select(normalise_country("_clean", strict=strict).alias("country"), "n")
+
+
+def country_counts(df: DataFrame, strict: bool = False) -> DataFrame:
+    """Author count per normalised country."""
+    return normalised_spellings(df, strict).groupBy("country").agg(F.sum("n").alias("count"))
 
 
 def top_countries(df: DataFrame, n: int = 100, strict: bool = False) -> DataFrame:
@@ -109,10 +115,13 @@ def top_countries(df: DataFrame, n: int = 100, strict: bool = False) -> DataFram
 
 
 def count_countries(df: DataFrame, strict: bool = False) -> DataFrame:
-    """Number of distinct countries after normalisation (distinct before cleaning)."""
-    distinct_raw = raw_countries(df).distinct()
-    return (distinct_raw.select(clean_country("country", strict).alias("country"))
-            .agg(F.countDistinct("country").alias("countries")))
+    """Number of distinct countries after normalisation (raw spellings deduplicated first).
+
+    The spelling counts are kept (``n > 0``) so the optimiser cannot drop the
+    per-spelling aggregation as redundant and clean every author row instead.
+    """
+    spellings = normalised_spellings(df, strict)
+    return spellings.filter(F.col("n") > 0).agg(F.countDistinct("country").alias("countries"))
 
 
 def top_saved(spark: SparkSession, path: str, schema: str, n: int = 10,

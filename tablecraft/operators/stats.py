@@ -219,20 +219,29 @@ def ks_2samp(df: DataFrame, value: str, group: str, a, b,
 
 # ------------------------------------------------------------------ Kruskal-Wallis
 def kruskal(df: DataFrame, value: str, group: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Kruskal-Wallis H (tie-corrected) over all groups: one row ``k, n, h``."""
+    """Kruskal-Wallis H (tie-corrected) over all groups: one row ``k, n, h``.
+
+    Rank sums come from (value, group) cell counts joined to the value's
+    midrank; the tie term sum(t^3 - t) over values equals sum(c * (t^2 - 1))
+    over cells, so everything is one pass over the per-group table.
+    """
     data = df.select(F.col(value), F.col(group)).filter(F.col(value).isNotNull() & F.col(group).isNotNull())
     per_cell = data.groupBy(value, group).agg(F.count(F.lit(1)).alias("c"))
-    ranks = midranks(data, value, buckets).withColumnRenamed("n", "t")
+    ranks = cumulative_counts(per_cell.groupBy(value).agg(F.sum("c").alias("t")), value, "t",
+                              buckets=buckets)
+    ranks = ranks.select(value, "t", (F.col("before_t") + (F.col("t") + 1) / 2.0).alias("midrank"))
     cells = per_cell.join(ranks, value)
+    t = F.col("t").cast("double")
     per_group = cells.groupBy(group).agg(F.sum("c").cast("double").alias("ng"),
-                                         F.sum(F.col("c") * F.col("midrank")).alias("rg"))
-    ties = ranks.select(F.sum(F.pow(F.col("t").cast("double"), 3) - F.col("t")).alias("tie")).scalar()
+                                         F.sum(F.col("c") * F.col("midrank")).alias("rg"),
+                                         F.sum(F.col("c") * (t * t - 1.0)).alias("tie"))
     agg = per_group.agg(F.count(F.lit(1)).alias("k"), F.sum("ng").alias("n"),
-                        F.sum(F.col("rg") * F.col("rg") / F.col("ng")).alias("s"))
+                        F.sum(F.col("rg") * F.col("rg") / F.col("ng")).alias("s"),
+                        F.sum("tie").alias("tie"))
     n = F.col("n")
     h = (12.0 / (n * (n + 1.0)) * F.col("s") - 3.0 * (n + 1.0))
     return agg.select("k", n.cast("long").alias("n"),
-                      F.try_divide(h, 1.0 - ties / (n * n * n - n)).alias("h"))
+                      F.try_divide(h, 1.0 - F.col("tie") / (n * n * n - n)).alias("h"))
 
 
 # ----------------------------------------------------------------------- Levene
@@ -253,7 +262,12 @@ def group_medians(df: DataFrame, value: str, group: str, buckets: int = DEFAULT_
 
 
 def levene(df: DataFrame, value: str, group: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Brown-Forsythe / Levene W with median centring: one row ``k, n, w``."""
+    """Brown-Forsythe / Levene W with median centring: one row ``k, n, w``.
+
+    With per-group size n_g, mean deviation z_g and deviation variance v_g,
+    the between-group sum is sum(n_g z_g^2) - (sum n_g z_g)^2 / N, so one
+    aggregate over the per-group table finishes the statistic.
+    """
     med = group_medians(df, value, group, buckets).select(group, "median")
     z = (df.select(F.col(value).cast("double").alias("_x"), F.col(group))
          .filter(F.col("_x").isNotNull() & F.col(group).isNotNull())
@@ -261,13 +275,14 @@ def levene(df: DataFrame, value: str, group: str, buckets: int = DEFAULT_BUCKETS
          .select(group, F.abs(F.col("_x") - F.col("median")).alias("_z")))
     per_group = z.groupBy(group).agg(F.count(F.lit(1)).cast("double").alias("ng"),
                                      F.avg("_z").alias("zg"), F.var_pop("_z").alias("vg"))
-    tot = per_group.select(F.struct(F.sum("ng").alias("n"), F.count(F.lit(1)).alias("k"),
-                                    (F.sum(F.col("ng") * F.col("zg")) / F.sum("ng")).alias("zbar"))).scalar()
-    agg = per_group.agg(F.sum(F.col("ng") * F.pow(F.col("zg") - tot["zbar"], 2)).alias("between"),
+    agg = per_group.agg(F.count(F.lit(1)).alias("k"), F.sum("ng").alias("n"),
+                        F.sum(F.col("ng") * F.col("zg") * F.col("zg")).alias("a"),
+                        F.sum(F.col("ng") * F.col("zg")).alias("b"),
                         F.sum(F.col("ng") * F.col("vg")).alias("within"))
-    k, n = tot["k"].cast("double"), tot["n"]
-    return agg.select(tot["k"].cast("long").alias("k"), n.cast("long").alias("n"),
-                      F.try_divide((n - k) * F.col("between"), (k - 1.0) * F.col("within")).alias("w"))
+    k, n = F.col("k").cast("double"), F.col("n")
+    between = F.col("a") - F.col("b") * F.col("b") / n
+    return agg.select(F.col("k").cast("long").alias("k"), n.cast("long").alias("n"),
+                      F.try_divide((n - k) * between, (k - 1.0) * F.col("within")).alias("w"))
 
 
 # ------------------------------------------------------------------ p-value helpers
