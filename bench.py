@@ -35,7 +35,17 @@ def main() -> None:
     if not wanted and os.environ.get("BENCH_ML") != "1":
         names = [n for n in names if n not in SLOW_OPT_IN]
 
-    spark.range(1000).selectExpr("sum(id)").collect()  # JVM warm-up, not timed
+    # Warm-up, not timed: one pass over the smallest tables compiles the same
+    # generated code and JIT-warms the JVM, so the timed pass measures steady
+    # state (what a long-lived cluster session sees), not first-use compilation.
+    warm_dir = os.environ.get("BENCH_WARMUP_DIR", os.path.join(os.path.dirname(sf_dir), "sf0.001"))
+    warmed = os.path.isdir(warm_dir) and os.environ.get("BENCH_WARMUP", "1") == "1"
+    if warmed:
+        for name in names:
+            try:
+                registry[name](spark, warm_dir).write.format("noop").mode("overwrite").save()
+            except Exception:  # noqa: BLE001 - failures are reported by the timed pass
+                pass
     timings: dict[str, float] = {}
     failed: dict[str, str] = {}
     for name in names:
@@ -52,6 +62,7 @@ def main() -> None:
         "queries": timings,
         "sf": sf,
         "cpus": cpus,
+        "warmup": warm_dir if warmed else None,
     }
     if failed:
         out["failed"] = failed

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablecraft.sources.fixtures import PAPER_SCHEMA
+from tablecraft.sources.sinks import write_partitioned
 
 ARCHIVE_ROW_SCHEMA = "path string, member string, doc string, error string"
 BATCH_ROWS = 512
@@ -49,7 +50,7 @@ def csv_to_partitioned(spark: SparkSession, src, out: str, by: str,
     reader = spark.read.option("header", True)
     if schema:
         reader = reader.schema(schema)
-    reader.csv(src).write.mode(mode).partitionBy(by).parquet(out)
+    write_partitioned(reader.csv(src), out, by, mode=mode)
     return spark.read.parquet(out)
 
 

@@ -11,6 +11,13 @@ window:
 3. a running sum inside each range plus the total of all lower ranges (a table
    of at most ``buckets`` rows per key) gives the count below each value.
 
+The collapsed distinct-value table feeds several branches (the quantile cut
+points, the in-range window, the range offsets, the final sums), so each rank
+function checkpoints it once to the shared checkpoint folder: the input is
+scanned and aggregated once, and a lost executor re-reads the checkpoint
+instead of recomputing from the source.  That makes these functions run one
+job when called (the checkpoint); everything after it stays lazy.
+
 Sums that feed U statistics are exact DECIMAL(38,0) (doubled midranks are
 integers), so U stays exact at any row count.  p-values need a distribution
 function Spark lacks; they are computed from the one-row result by
@@ -29,6 +36,11 @@ DEFAULT_BUCKETS = 256
 EXACT = "decimal(38,0)"
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Reliable, eager checkpoint under ``spark.checkpoint.dir`` (never executor-local)."""
+    return df.checkpoint(eager=True)
+
+
 def _cols(cols) -> list[str]:
     if cols is None:
         return []
@@ -87,8 +99,8 @@ def with_quantile_bucket(df: DataFrame, value: str, buckets: int = DEFAULT_BUCKE
 
 def midranks(df: DataFrame, value: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """One row per distinct non-null ``value``: ``n`` rows and their average rank ``midrank``."""
-    counts = (df.select(value).filter(F.col(value).isNotNull())
-              .groupBy(value).agg(F.count(F.lit(1)).alias("n")))
+    counts = materialize(df.select(value).filter(F.col(value).isNotNull())
+                         .groupBy(value).agg(F.count(F.lit(1)).alias("n")))
     ranked = cumulative_counts(counts, value, "n", buckets=buckets)
     return ranked.select(value, "n", (F.col("before_n") + (F.col("n") + 1) / 2.0).alias("midrank"))
 
@@ -134,10 +146,10 @@ def chance_criterion(df: DataFrame, label: str = "Label", exclude: str | None =
 # ------------------------------------------------------------------- Mann-Whitney U
 def _two_group_counts(df: DataFrame, value: str, group: str, a, b) -> DataFrame:
     g = F.col(group)
-    return (df.select(F.col(value), g).filter(F.col(value).isNotNull() & g.isin(a, b))
-            .groupBy(value)
-            .agg(F.count_if(g == a).alias("c1"), F.count_if(g == b).alias("c2"))
-            .withColumn("t", F.col("c1") + F.col("c2")))
+    return materialize(df.select(F.col(value), g).filter(F.col(value).isNotNull() & g.isin(a, b))
+                       .groupBy(value)
+                       .agg(F.count_if(g == a).alias("c1"), F.count_if(g == b).alias("c2"))
+                       .withColumn("t", F.col("c1") + F.col("c2")))
 
 
 def mann_whitney(df: DataFrame, value: str, group: str, a, b,
@@ -175,9 +187,9 @@ def spearman(df: DataFrame, x: str, y: str, buckets: int = DEFAULT_BUCKETS) -> D
     are joined back, so the rank joins run on distinct values, not on rows.
     Ranks are centred on their exact mean ``(n+1)/2`` before the products.
     """
-    pairs = (df.select(F.col(x).alias("_x"), F.col(y).alias("_y"))
-             .filter(F.col("_x").isNotNull() & F.col("_y").isNotNull())
-             .groupBy("_x", "_y").agg(F.count(F.lit(1)).alias("w")))
+    pairs = materialize(df.select(F.col(x).alias("_x"), F.col(y).alias("_y"))
+                        .filter(F.col("_x").isNotNull() & F.col("_y").isNotNull())
+                        .groupBy("_x", "_y").agg(F.count(F.lit(1)).alias("w")))
     rx = midranks_of_weighted(pairs, "_x", buckets).withColumnRenamed("midrank", "rx")
     ry = midranks_of_weighted(pairs, "_y", buckets).withColumnRenamed("midrank", "ry")
     joined = pairs.join(rx, "_x").join(ry, "_y")
@@ -226,7 +238,7 @@ def kruskal(df: DataFrame, value: str, group: str, buckets: int = DEFAULT_BUCKET
     over cells, so everything is one pass over the per-group table.
     """
     data = df.select(F.col(value), F.col(group)).filter(F.col(value).isNotNull() & F.col(group).isNotNull())
-    per_cell = data.groupBy(value, group).agg(F.count(F.lit(1)).alias("c"))
+    per_cell = materialize(data.groupBy(value, group).agg(F.count(F.lit(1)).alias("c")))
     ranks = cumulative_counts(per_cell.groupBy(value).agg(F.sum("c").alias("t")), value, "t",
                               buckets=buckets)
     ranks = ranks.select(value, "t", (F.col("before_t") + (F.col("t") + 1) / 2.0).alias("midrank"))
@@ -247,9 +259,9 @@ def kruskal(df: DataFrame, value: str, group: str, buckets: int = DEFAULT_BUCKET
 # ----------------------------------------------------------------------- Levene
 def group_medians(df: DataFrame, value: str, group: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Exact median per group from running counts (no per-group value lists)."""
-    counts = (df.select(F.col(value).cast("double").alias(value), F.col(group))
-              .filter(F.col(value).isNotNull() & F.col(group).isNotNull())
-              .groupBy(group, value).agg(F.count(F.lit(1)).alias("c")))
+    counts = materialize(df.select(F.col(value).cast("double").alias(value), F.col(group))
+                         .filter(F.col(value).isNotNull() & F.col(group).isNotNull())
+                         .groupBy(group, value).agg(F.count(F.lit(1)).alias("c")))
     ranked = cumulative_counts(counts, value, "c", keys=[group], buckets=buckets)
     sizes = counts.groupBy(group).agg(F.sum("c").alias("ng"))
     lo_pos = F.floor((F.col("ng") + 1) / 2)

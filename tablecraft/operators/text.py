@@ -114,5 +114,5 @@ def mean_word_length_sql(df: DataFrame, view: str = "ngrams") -> DataFrame:
 def save_matching(df: DataFrame, col: str, word: str, path: str, by: str,
                   mode: str = "overwrite", boundary: str = "java") -> None:
     """Write rows whose ``col`` holds ``word`` to Parquet partitioned by ``by``."""
-    (df.filter(has_word(col, word, boundary))
-     .write.mode(mode).partitionBy(by).parquet(path))
+    from tablecraft.sources.sinks import write_partitioned
+    write_partitioned(df.filter(has_word(col, word, boundary)), path, by, mode=mode)
