@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablecraft.functions.temporal import (
-    hour_bucket, hour_of_epoch_millis, on_day, weekday0, year_month_of_epoch)
+    hour_of_epoch_millis, on_day, weekday0, year_month_of_epoch)
 
 
 def _cols(cols) -> list[str]:
@@ -65,10 +65,12 @@ def distinct_per_hour(df: DataFrame, ts: str = "lpep_pickup_datetime",
 
     The set per hour is bounded by the value's domain, not by the row count.
     """
-    return (df.select(hour_bucket(ts).alias("pickup_hour"), F.col(value))
-            .groupBy("pickup_hour")
+    # Group on the truncated timestamp (8 bytes) and format once per group.
+    return (df.select(F.date_trunc("hour", ts).alias("_hour"), F.col(value))
+            .groupBy("_hour")
             .agg(F.sort_array(F.collect_set(value)).alias("pickup_locations"))
-            .orderBy("pickup_hour"))
+            .orderBy("_hour")
+            .select(F.date_format("_hour", "yyyy-MM-dd HH:mm:ss").alias("pickup_hour"), "pickup_locations"))
 
 
 def distinct_counts_by_hour(df: DataFrame, ts: str = "lpep_pickup_datetime",

@@ -84,10 +84,12 @@ def count_letter(df: DataFrame, text: str = "value", letter: str = "a",
 def mean_word_length(df: DataFrame, ngram: str = "ngram", year: str = "year") -> DataFrame:
     """Mean length per year of n-grams made only of letters once the ``_TAG`` is cut.
 
-    The word is extracted once and then filtered (the SQL form repeats the
-    extraction in WHERE).
+    The word (the first run of characters other than ``_``, as
+    ``regexp_extract(ngram, '([^_]+)_?', 1)`` gives it) is cut with plain
+    string functions and computed once; the SQL form keeps the regex and
+    repeats the extraction in WHERE.
     """
-    word = F.regexp_extract(ngram, r"([^_]+)_?", 1)
+    word = F.substring_index(F.expr(f"ltrim('_', `{ngram}`)"), "_", 1)
     return (df.select(F.col(year), word.alias("word"))
             .filter(~F.col("word").rlike("[^a-zA-Z]+"))
             .groupBy(year).agg(F.avg(F.length("word")).alias("mean_length"))

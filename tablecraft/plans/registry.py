@@ -368,11 +368,10 @@ def q_top_saved(spark, sf):
 @register("merge_drops")
 def q_merge_drops(spark, sf):
     from tablecraft.operators.ingest import drop_counts, merge_drops
-    papers = FX.papers(spark, sf)
-    drops = []
-    for part in (0, 1):
-        path = scratch_path(spark, f"papers-drop-{part}")
-        papers.filter(F.col("paper_id") % 2 == part).select("metadata").write.json(path)
-        drops.append(path)
+    # Both drops are written by one job: one folder per drop (drop=0, drop=1).
+    root = scratch_path(spark, "papers-drops")
+    (FX.papers(spark, sf).select((F.col("paper_id") % 2).alias("drop"), "metadata")
+     .write.partitionBy("drop").json(root))
+    drops = [f"{root}/drop={part}" for part in (0, 1)]
     out = scratch_path(spark, "papers-merged")
     return drop_counts(merge_drops(spark, drops, out))
