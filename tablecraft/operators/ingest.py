@@ -108,12 +108,61 @@ def read_archives(spark: SparkSession, glob: str, schema: str = PAPER_SCHEMA,
     """
     members = archive_members(spark, glob, suffixes)
     parsed = members.withColumn("parsed", F.from_json("doc", schema, {"mode": "PERMISSIVE"}))
-    bad = F.col("doc").isNotNull() & (F.col("parsed").isNull() | F.col("parsed.metadata").isNull())
+    # json_object_keys is null for text that is not a JSON object ('{}' gives []).
+    bad = F.col("doc").isNotNull() & F.json_object_keys("doc").isNull()
     return (parsed.withColumn("error", F.when(F.col("error").isNotNull(), F.col("error"))
                               .when(bad, F.lit("malformed json")))
             .select("path", "member", "parsed.*", "error"))
 
 
+ARCHIVE_WRITE_SCHEMA = "archive string, members long"
+
+
+def _archive_writer(root: str):
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import io
+        from pyarrow import fs as pafs
+        filesystem, base = pafs.FileSystem.from_uri(root)
+        filesystem.create_dir(base, recursive=True)
+        current, stream, tar, count, done = None, None, None, 0, []
+
+        def close():
+            if tar is not None:
+                tar.close()
+                stream.close()
+                done.append((current, count))
+
+        for pdf in batches:
+            for name, member, doc in zip(pdf["archive"], pdf["member"], pdf["doc"]):
+                if name != current:
+                    close()
+                    current, count = name, 0
+                    stream = filesystem.open_output_stream(f"{base}/{name}", compression=None)
+                    tar = tarfile.open(fileobj=stream, mode="w|gz")
+                data = (doc or "").encode("utf-8")
+                info = tarfile.TarInfo(member)
+                info.size = len(data)
+                tar.addfile(info, io.BytesIO(data))
+                count += 1
+        close()
+        if done:
+            yield pd.DataFrame(done, columns=["archive", "members"])
+    return write
+
+
+def pack_archives(df: DataFrame, root: str, archive, member, doc) -> DataFrame:
+    """Write rows as members of tar.gz archives under ``root``; one row per archive written.
+
+    Rows are shuffled by archive name and sorted by member, so each archive is
+    written by exactly one task, member by member (memory holds one member).
+    File names and contents are deterministic, so a retried task rewrites the
+    same archive.  Runs when the returned frame is evaluated.
+    """
+    rows = df.select(archive.alias("archive"), member.alias("member"), doc.alias("doc"))
+    return (rows.repartition("archive").sortWithinPartitions("archive", "member")
+            .mapInPandas(_archive_writer(root), schema=ARCHIVE_WRITE_SCHEMA))
+
+
 def archive_counts(members: DataFrame) -> DataFrame:
     """Members per archive (error rows for whole broken archives excluded)."""
     return (members.filter(F.col("member").isNotNull())

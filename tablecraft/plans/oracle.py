@@ -499,6 +499,16 @@ SELECT country, count FROM (
 ORDER BY count DESC, country LIMIT 10"""
     q["merge_drops"] = """
 SELECT count(*) AS rows, count(*) FILTER (WHERE o_orderkey % 101 <> 0) AS non_null FROM orders"""
+    q["archive_counts"] = """
+SELECT 'day-' || CAST(o_orderkey % 5 AS VARCHAR) || '.tar.gz' AS archive, count(*) AS members
+FROM orders GROUP BY 1"""
+    q["archive_rows"] = """
+WITH n AS (SELECT l_orderkey, count(*) AS c FROM lineitem GROUP BY 1)
+SELECT 'paper-' || CAST(o_orderkey AS VARCHAR) || '.json' AS member,
+       CASE WHEN o_orderkey % 101 = 0 THEN NULL ELSE 'Paper ' || CAST(o_orderkey AS VARCHAR) END AS title,
+       CAST(CASE WHEN o_orderkey % 101 = 0 THEN 0 ELSE coalesce(n.c, 0) END AS INTEGER) AS authors,
+       CAST(NULL AS VARCHAR) AS error
+FROM orders LEFT JOIN n ON n.l_orderkey = o_orderkey"""
     return q
 
 

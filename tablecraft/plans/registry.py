@@ -375,3 +375,33 @@ def q_merge_drops(spark, sf):
     drops = [f"{root}/drop={part}" for part in (0, 1)]
     out = scratch_path(spark, "papers-merged")
     return drop_counts(merge_drops(spark, drops, out))
+
+
+# -------------------------------------------------------------------- archives
+def _paper_archives(spark, sf):
+    """Pack every paper as a JSON member into five day archives; return the glob."""
+    from tablecraft.operators.ingest import pack_archives
+    root = scratch_path(spark, "paper-archives")
+    papers = FX.papers(spark, sf)
+    written = pack_archives(
+        papers, root,
+        archive=F.concat(F.lit("day-"), (F.col("paper_id") % 5).cast("string"), F.lit(".tar.gz")),
+        member=F.concat(F.lit("paper-"), F.col("paper_id").cast("string"), F.lit(".json")),
+        doc=F.to_json(F.struct("metadata")))
+    written.write.format("noop").mode("overwrite").save()
+    return f"{root}/*.tar.gz"
+
+
+@register("archive_rows")
+def q_archive_rows(spark, sf):
+    from tablecraft.operators.ingest import read_archives
+    rows = read_archives(spark, _paper_archives(spark, sf))
+    return rows.select("member", F.col("metadata.title").alias("title"),
+                       F.coalesce(F.size("metadata.authors"), F.lit(0)).alias("authors"), "error")
+
+
+@register("archive_counts")
+def q_archive_counts(spark, sf):
+    from tablecraft.operators.ingest import archive_counts, archive_members
+    counts = archive_counts(archive_members(spark, _paper_archives(spark, sf)))
+    return counts.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("archive"), "members")

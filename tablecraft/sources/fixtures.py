@@ -274,18 +274,26 @@ def paper_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Paper metadata: one row per order, one author per line item.
 
-    The per-order author list is bounded (an order has at most seven lines).
+    Order keys and author lines are unioned and grouped once by key (one
+    shuffle, no join): keys that come only from line items are dropped, so this
+    equals ``orders LEFT JOIN lines``.  An order without line items gets an
+    empty author list.  The per-order list is bounded (at most seven lines).
     Orders whose key is a multiple of 101 carry null metadata.
     """
-    authors = (
-        paper_authors(spark, sf_dir)
-        .groupBy("l_orderkey")
-        .agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "author"))).alias("lines"))
-        .select("l_orderkey", F.transform("lines", lambda x: x["author"]).alias("authors"))
-    )
-    o = read_table(spark, sf_dir, "orders").select("o_orderkey")
-    joined = o.join(authors, o.o_orderkey == authors.l_orderkey, "left")
-    metadata = F.when(F.col("o_orderkey") % 101 == 0, F.lit(None)).otherwise(
-        F.struct(F.concat(F.lit("Paper "), _s(F.col("o_orderkey"))).alias("title"),
-                 F.col("authors").alias("authors")))
-    return joined.select(F.col("o_orderkey").alias("paper_id"), metadata.alias("metadata"))
+    lines = paper_authors(spark, sf_dir).select(
+        F.col("l_orderkey").alias("key"),
+        F.struct("l_linenumber", "author").alias("line"),
+        F.lit(False).alias("is_order"))
+    line_type = lines.schema["line"].dataType.simpleString()
+    orders = read_table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("key"), F.lit(None).cast(line_type).alias("line"),
+        F.lit(True).alias("is_order"))
+    grouped = (orders.unionByName(lines)
+               .groupBy("key")
+               .agg(F.max("is_order").alias("has_order"),
+                    F.sort_array(F.collect_list("line")).alias("lines"))
+               .filter(F.col("has_order")))
+    metadata = F.when(F.col("key") % 101 == 0, F.lit(None)).otherwise(
+        F.struct(F.concat(F.lit("Paper "), _s(F.col("key"))).alias("title"),
+                 F.transform("lines", lambda x: x["author"]).alias("authors")))
+    return grouped.select(F.col("key").alias("paper_id"), metadata.alias("metadata"))
