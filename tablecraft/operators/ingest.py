@@ -138,7 +138,7 @@ def _archive_writer(root: str):
                     close()
                     current, count = name, 0
                     stream = filesystem.open_output_stream(f"{base}/{name}", compression=None)
-                    tar = tarfile.open(fileobj=stream, mode="w|gz")
+                    tar = tarfile.open(fileobj=stream, mode="w|gz", compresslevel=1)
                 data = (doc or "").encode("utf-8")
                 info = tarfile.TarInfo(member)
                 info.size = len(data)

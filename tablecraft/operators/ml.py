@@ -112,12 +112,20 @@ def regression_forest(df: DataFrame, features: Sequence[str], label: str, seed:
     return model
 
 
-def kmeans_silhouette(df: DataFrame, features: Sequence[str], k: int = 3, seed: int = 1):
-    """K-means model and the silhouette of its clustering."""
+def kmeans_silhouette(df: DataFrame, features: Sequence[str] | str, k: int = 3, seed: int = 1):
+    """K-means model and the silhouette of its clustering.
+
+    ``features`` is a list of numeric columns, or the name of one array column
+    (turned into dense vectors with ``array_to_vector``).
+    """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.evaluation import ClusteringEvaluator
-    vec = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
-    data = vec.transform(df)
+    if isinstance(features, str):
+        from pyspark.ml.functions import array_to_vector
+        data = df.filter(F.col(features).isNotNull()).withColumn("features", array_to_vector(features))
+    else:
+        vec = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
+        data = vec.transform(df)
     model = KMeans(k=k, seed=seed).fit(data)
     score = ClusteringEvaluator().evaluate(model.transform(data))
     return model, score

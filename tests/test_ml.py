@@ -41,3 +41,34 @@ def test_feature_columns_rule():
 
 def test_registered_ml_queries_exist():
     assert {"predict_class", "tune_forest"} <= set(queries())
+
+
+def test_other_estimators_run(spark, sf_dir, tmp_path):
+    from tablecraft.sources.tables import read_table
+    emb = read_table(spark, sf_dir, "embeddings")
+    model, score = ml.kmeans_silhouette(emb, "embedding", k=3)
+    assert len(model.clusterCenters()) == 3 and -1.0 <= score <= 1.0
+
+    tweets = FX.tweets(spark, sf_dir).select("id", F.explode("entities.hashtags.text").alias("tag"))
+    fp = ml.frequent_itemsets(tweets, "id", "tag", min_support=0.05)
+    assert fp.freqItemsets.count() > 0
+
+    ev = read_table(spark, sf_dir, "events")
+    ratings = (ev.groupBy("user_id", F.length("event_type").alias("item"))
+               .agg(F.count(F.lit(1)).cast("float").alias("rating")))
+    als = ml.recommend(ratings, "user_id", "item", "rating", rank=2)
+    assert als.transform(ratings).count() > 0
+
+    trips = FX.trips(spark, sf_dir).dropna(subset=["fare_amount"])
+    reg = ml.regression_forest(trips, ["tolls_amount", "extra"], "fare_amount")
+    path = str(tmp_path / "model")
+    ml.save_model(reg, path)
+    again = ml.load_pipeline(path)
+    assert again.transform(trips).select("prediction").count() == trips.count()
+
+    flows = FX.flows(spark, sf_dir).filter(F.col("Label") != "Label")
+    flows = flows.select(F.col("`Fwd Mean`").cast("double").alias("fwd"),
+                         F.col("`Bwd Mean`").cast("double").alias("bwd"), "Label")
+    for kind in ("logistic",):
+        fitted = ml.linear_classifier(flows, ["fwd", "bwd"], "Label", kind=kind)
+        assert fitted.transform(flows).count() == flows.count()
