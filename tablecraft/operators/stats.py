@@ -229,6 +229,13 @@ def ks_2samp(df: DataFrame, value: str, group: str, a, b,
                       F.first(tot["n2"]).cast("long").alias("n2"))
 
 
+def ks_1samp(df: DataFrame, value: str, dist: str = "norm", *params: float) -> DataFrame:
+    """One-sample KS test against a named distribution (MLlib): ``pValue, statistic``."""
+    from pyspark.ml.stat import KolmogorovSmirnovTest
+    data = df.select(F.col(value).cast("double").alias(value)).filter(F.col(value).isNotNull())
+    return KolmogorovSmirnovTest.test(data, value, dist, *params)
+
+
 # ------------------------------------------------------------------ Kruskal-Wallis
 def kruskal(df: DataFrame, value: str, group: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Kruskal-Wallis H (tie-corrected) over all groups: one row ``k, n, h``.
