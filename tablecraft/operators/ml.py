@@ -41,25 +41,31 @@ def predict_class(train: DataFrame, new: DataFrame,
 
     Both frames are cast the same way; ids unseen in training are kept as an
     extra category instead of failing; ``maxBins`` is raised to the largest
-    category count so every category stays usable.  Runs one job to size the
-    bins and the fit jobs.
+    category count the fitted indexer found (plus one for unseen ids), so every
+    category stays usable.  Runs the indexer and forest fit jobs; prediction
+    stays lazy.
     """
+    from pyspark.ml import PipelineModel
     feats = list(features)
     extra = [k for k in keep if k not in feats]
     cast = lambda d: d.select(*extra, *[F.col(c).cast("double").alias(c) for c in feats],
                               *([F.col(label).cast("int").alias(label)] if label in d.columns else []))
-    tr = cast(train).dropna(subset=feats + [label])
-    te = cast(new)
-    widest = tr.agg(F.greatest(*[F.countDistinct(c) for c in feats]) if len(feats) > 1
-                    else F.countDistinct(feats[0])).first()[0] or 2
     assembler = VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep")
-    indexer = VectorIndexer(maxCategories=max_categories, inputCol="features",
-                            outputCol="features_indexed", handleInvalid="keep")
-    forest = RandomForestClassifier(featuresCol="features_indexed", labelCol=label,
-                                    maxBins=max(32, int(widest) + 2), seed=seed)
-    model = Pipeline(stages=[assembler, indexer, forest]).fit(tr)
-    return model.transform(te).select(*extra, *[F.col(c).cast("int").alias(c) for c in feats if c in keep],
-                                      F.col("prediction").cast("int").alias("prediction"))
+    train_rows = assembler.transform(cast(train).dropna(subset=feats + [label])).select("features", label)
+    train_rows = train_rows.cache()  # read by the indexer fit and by every tree level
+    try:
+        indexer = VectorIndexer(maxCategories=max_categories, inputCol="features",
+                                outputCol="features_indexed", handleInvalid="keep").fit(train_rows)
+        widest = max([len(m) for m in indexer.categoryMaps.values()] or [2])
+        forest = RandomForestClassifier(featuresCol="features_indexed", labelCol=label,
+                                        maxBins=max(32, widest + 2), seed=seed)
+        fitted = forest.fit(indexer.transform(train_rows))
+    finally:
+        train_rows.unpersist()
+    model = PipelineModel(stages=[assembler, indexer, fitted])
+    return model.transform(cast(new)).select(
+        *extra, *[F.col(c).cast("int").alias(c) for c in feats if c in keep],
+        F.col("prediction").cast("int").alias("prediction"))
 
 
 # ------------------------------------------------------ cross-validated forest
