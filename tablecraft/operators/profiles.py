@@ -73,6 +73,37 @@ def distinct_per_hour(df: DataFrame, ts: str = "lpep_pickup_datetime",
             .select(F.date_format("_hour", "yyyy-MM-dd HH:mm:ss").alias("pickup_hour"), "pickup_locations"))
 
 
+DISTINCT_PER_HOUR_SQL = """
+    SELECT date_format(date_trunc('hour', {ts}), 'yyyy-MM-dd HH:mm:ss') AS pickup_hour,
+           sort_array(collect_set({value}), TRUE) AS pickup_locations
+    FROM {view}
+    GROUP BY pickup_hour
+    ORDER BY pickup_hour
+"""
+
+CREATION_YEARS_SQL = """
+    SELECT TRY_CAST(SUBSTRING(user.created_at, -4, 4) AS INT) AS year,
+           COUNT(DISTINCT user.id) AS frequency
+    FROM {view}
+    WHERE created_at IS NOT NULL
+    GROUP BY year
+    ORDER BY frequency DESC, year
+"""
+
+
+def distinct_per_hour_sql(df: DataFrame, ts: str = "lpep_pickup_datetime",
+                          value: str = "PULocationID", view: str = "trips") -> DataFrame:
+    """SQL form of :func:`distinct_per_hour` (GROUP BY a select alias)."""
+    df.createOrReplaceTempView(view)
+    return df.sparkSession.sql(DISTINCT_PER_HOUR_SQL.format(ts=ts, value=value, view=view))
+
+
+def creation_years_sql(df: DataFrame, view: str = "tweets2") -> DataFrame:
+    """SQL form of :func:`creation_years`."""
+    df.createOrReplaceTempView(view)
+    return df.sparkSession.sql(CREATION_YEARS_SQL.format(view=view))
+
+
 def distinct_counts_by_hour(df: DataFrame, ts: str = "lpep_pickup_datetime",
                             cols: Sequence[str] = ("PULocationID", "DOLocationID")) -> DataFrame:
     """Exact distinct count of each column per hour of day."""

@@ -42,6 +42,34 @@ def top_tags(df: DataFrame, n: int = 10) -> DataFrame:
             .limit(n))
 
 
+TOP_USERS_SQL = """
+    SELECT DISTINCT user.screen_name AS screen_name, user.friends_count AS friends_count
+    FROM {view}
+    ORDER BY friends_count DESC NULLS LAST, screen_name
+    LIMIT {n}
+"""
+
+TOP_TAGS_SQL = """
+    SELECT hashtag, COUNT(*) AS count
+    FROM (SELECT explode(entities.hashtags.text) AS hashtag FROM {view})
+    GROUP BY hashtag
+    ORDER BY count DESC, hashtag
+    LIMIT {n}
+"""
+
+
+def top_users_sql(df: DataFrame, n: int = 10, view: str = "tweets") -> DataFrame:
+    """SQL form of :func:`top_users` over a temporary view of ``df``."""
+    df.createOrReplaceTempView(view)
+    return df.sparkSession.sql(TOP_USERS_SQL.format(view=view, n=int(n)))
+
+
+def top_tags_sql(df: DataFrame, n: int = 10, view: str = "tweets") -> DataFrame:
+    """SQL form of :func:`top_tags` over a temporary view of ``df``."""
+    df.createOrReplaceTempView(view)
+    return df.sparkSession.sql(TOP_TAGS_SQL.format(view=view, n=int(n)))
+
+
 def priciest_pairs(df: DataFrame, a: str = "PULocationID", b: str = "DOLocationID",
                    value: str = "fare_amount", n: int = 10) -> DataFrame:
     """The ``n`` pairs with the highest maximum ``value``."""

@@ -19,6 +19,21 @@ def count_tokens(df: DataFrame, id_col: str = "id", text: str = "value") -> Data
     return df.select(F.col(id_col).alias("id"), token_count(text).alias("tokens")).orderBy("id")
 
 
+TOKEN_COUNTS_SQL = r"""
+    SELECT {id_col} AS id,
+           size(array_remove(split({text}, '[ \\t\\n\\x0B\\f\\r]+'), '')) AS tokens
+    FROM {view}
+    ORDER BY id
+"""
+
+
+def count_tokens_sql(df: DataFrame, id_col: str = "id", text: str = "value",
+                     view: str = "texts") -> DataFrame:
+    """SQL form of :func:`count_tokens` over a temporary view of ``df``."""
+    df.createOrReplaceTempView(view)
+    return df.sparkSession.sql(TOKEN_COUNTS_SQL.format(id_col=id_col, text=text, view=view))
+
+
 def read_books(spark: SparkSession, paths) -> DataFrame:
     """One row per file (whole text) with the five-digit id taken from the file name."""
     return (spark.read.text(paths, wholetext=True)

@@ -509,6 +509,8 @@ SELECT 'paper-' || CAST(o_orderkey AS VARCHAR) || '.json' AS member,
        CAST(CASE WHEN o_orderkey % 101 = 0 THEN 0 ELSE coalesce(n.c, 0) END AS INTEGER) AS authors,
        CAST(NULL AS VARCHAR) AS error
 FROM orders LEFT JOIN n ON n.l_orderkey = o_orderkey"""
+    for name in ("distinct_per_hour", "top_users", "top_tags", "token_counts", "creation_years"):
+        q[f"{name}_sql"] = q[name]
     return q
 
 

@@ -405,3 +405,30 @@ def q_archive_counts(spark, sf):
     from tablecraft.operators.ingest import archive_counts, archive_members
     counts = archive_counts(archive_members(spark, _paper_archives(spark, sf)))
     return counts.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("archive"), "members")
+
+
+# ------------------------------------------------------------------- SQL forms
+@register("distinct_per_hour_sql")
+def q_distinct_per_hour_sql(spark, sf):
+    out = P.distinct_per_hour_sql(FX.trips(spark, sf))
+    return out.select("pickup_hour", F.array_join("pickup_locations", ",").alias("pickup_locations"))
+
+
+@register("top_users_sql")
+def q_top_users_sql(spark, sf):
+    return R.top_users_sql(FX.tweets(spark, sf))
+
+
+@register("top_tags_sql")
+def q_top_tags_sql(spark, sf):
+    return R.top_tags_sql(FX.tweets(spark, sf))
+
+
+@register("token_counts_sql")
+def q_token_counts_sql(spark, sf):
+    return T.count_tokens_sql(FX.texts(spark, sf))
+
+
+@register("creation_years_sql")
+def q_creation_years_sql(spark, sf):
+    return P.creation_years_sql(FX.tweets(spark, sf))
