@@ -59,9 +59,16 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Use the configured checkpoint folder; set one only where none is set (tests)."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """Use the configured checkpoint folder; set one only where none is set.
+
+    A fallback folder is only chosen for local-mode sessions (tests, the
+    bench); on a cluster an unset ``spark.checkpoint.dir`` is an error, since a
+    machine-local folder would not survive the loss of an executor.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, S3, ...)")
         root = fallback or os.path.join(os.environ.get("TMPDIR", "/tmp"), "tablecraft-checkpoints")
         spark.conf.set("spark.checkpoint.dir", root)
     if not spark.sparkContext.getCheckpointDir():
