@@ -185,26 +185,37 @@ def spearman(df: DataFrame, x: str, y: str, buckets: int = DEFAULT_BUCKETS) -> D
 
     Rows are collapsed to distinct ``(x, y)`` pairs with a weight before ranks
     are joined back, so the rank joins run on distinct values, not on rows.
-    Ranks are centred on their exact mean ``(n+1)/2`` before the products.
+    Doubled midranks are integers, so every sum is exact DECIMAL(38,0) and the
+    centring uses the exact mean: 4*cov = sum(w*2rx*2ry) - n*(n+1)^2, likewise
+    for the variances.  One aggregate, no extra pass for ``n``.
     """
     pairs = materialize(df.select(F.col(x).alias("_x"), F.col(y).alias("_y"))
                         .filter(F.col("_x").isNotNull() & F.col("_y").isNotNull())
                         .groupBy("_x", "_y").agg(F.count(F.lit(1)).alias("w")))
-    rx = midranks_of_weighted(pairs, "_x", buckets).withColumnRenamed("midrank", "rx")
-    ry = midranks_of_weighted(pairs, "_y", buckets).withColumnRenamed("midrank", "ry")
+    rx = twice_midranks_of_weighted(pairs, "_x", buckets).withColumnRenamed("r2", "rx2")
+    ry = twice_midranks_of_weighted(pairs, "_y", buckets).withColumnRenamed("r2", "ry2")
     joined = pairs.join(rx, "_x").join(ry, "_y")
-    n = pairs.select(F.sum("w").cast("double")).scalar()
-    m = (n + 1.0) / 2.0
-    w = F.col("w").cast("double")
-    dx, dy = F.col("rx") - m, F.col("ry") - m
-    return joined.agg(
-        F.try_divide(F.sum(w * dx * dy), F.sqrt(F.sum(w * dx * dx) * F.sum(w * dy * dy))).alias("rho"))
+    w = F.col("w").cast(EXACT)
+    a, b = F.col("rx2").cast(EXACT), F.col("ry2").cast(EXACT)
+    sums = joined.agg(F.sum(w).alias("n"), F.sum(w * a * b).alias("sxy"),
+                      F.sum(w * a * a).alias("sxx"), F.sum(w * b * b).alias("syy"))
+    n = F.col("n")
+    centre = n * (n + 1) * (n + 1)
+    cov, vx, vy = (F.col("sxy") - centre), (F.col("sxx") - centre), (F.col("syy") - centre)
+    return sums.select(F.try_divide(cov.cast("double"),
+                                    F.sqrt(vx.cast("double")) * F.sqrt(vy.cast("double"))).alias("rho"))
 
 
-def midranks_of_weighted(pairs: DataFrame, value: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def twice_midranks_of_weighted(pairs: DataFrame, value: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """Twice the average rank of each distinct ``value`` (an integer), rows weighted by ``w``."""
     counts = pairs.groupBy(value).agg(F.sum("w").alias("n"))
     ranked = cumulative_counts(counts, value, "n", buckets=buckets)
-    return ranked.select(value, (F.col("before_n") + (F.col("n") + 1) / 2.0).alias("midrank"))
+    return ranked.select(value, (2 * F.col("before_n") + F.col("n") + 1).alias("r2"))
+
+
+def midranks_of_weighted(pairs: DataFrame, value: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    return twice_midranks_of_weighted(pairs, value, buckets).select(
+        value, (F.col("r2") / 2.0).alias("midrank"))
 
 
 def spearman_mllib(df: DataFrame, x: str, y: str) -> float:

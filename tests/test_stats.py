@@ -146,3 +146,22 @@ def test_distribution_helpers():
     assert S.f_sf(3.0, 2, 10) == pytest.approx(1.6 ** -5, rel=1e-12)  # closed form for d1 = 2
     assert S.normal_sf2(1.959963984540054) == pytest.approx(0.05, rel=1e-12)
     assert 0.0 < S.ks_sf(0.2, 100, 100) < 0.1
+
+
+def test_hot_value_holding_a_third_of_rows(spark):
+    rnd = random.Random(21)
+    values = [5.0] * 1000 + [float(rnd.randint(0, 400)) for _ in range(2000)]
+    groups = ["a" if i % 3 else "b" for i in range(len(values))]
+    df = spark.createDataFrame(list(zip(values, groups)), "x double, g string").repartition(6)
+    ranks = {r["x"]: (r["n"], r["midrank"]) for r in S.midranks(df, "x", buckets=16).collect()}
+    want = pd.Series(values).rank(method="average")
+    for v, r in zip(values, want):
+        assert ranks[v][1] == r
+    assert ranks[5.0][0] >= 1000
+    row = S.mann_whitney(df, "x", "g", "a", "b", buckets=16).first()
+    r = want.to_numpy()
+    g = np.array(groups)
+    n1 = int((g == "a").sum())
+    assert row["u"] == r[g == "a"].sum() - n1 * (n1 + 1) / 2
+    med = {m["g"]: m["median"] for m in S.group_medians(df, "x", "g", buckets=16).collect()}
+    assert med == {k: float(np.median(np.array(values)[g == k])) for k in ("a", "b")}
