@@ -12,13 +12,16 @@ from pyspark.sql import functions as F
 
 from tablecraft.functions.cleaning import bit_advantage, game_mode_name
 
+# Columns the clean-up drops (missing ones are ignored), the
+# release day before which matches are discarded, and the human player count.
 DROP_COLUMNS = ("pgroup", "chat", "objectives", "version", "radiant_win",
                 "start_year", "start_time")
 RELEASE_DAY = "2013-07-09 00:00:00"
+HUMAN_PLAYERS = 10
 
 
 def clean_matches(df: DataFrame, release_day: str = RELEASE_DAY,
-                  players: int = 10) -> DataFrame:
+                  players: int = HUMAN_PLAYERS) -> DataFrame:
     """Typed, labelled matches after the release day with ``players`` humans.
 
     ``win_type`` is ``radiant`` when ``radiant_win = 't'`` and ``dire``

@@ -20,6 +20,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# Fixed values used as defaults below: the id forest's seed (2020) and bin
+# budget source (10,000 categories); the flow forest's depth 5 and seed 143,
+# its 70/30 split and the depth grid 4, 8, 12 scored by 3-fold accuracy.
+
+
 def split_by_hash(df: DataFrame, train_share: float, *cols: str, seed: int = 143):
     """Deterministic split on ``xxhash64(seed, cols)`` instead of ``randomSplit``."""
     h = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in cols]), F.lit(10_000))
@@ -98,7 +103,7 @@ def tune_forest(df: DataFrame, features: Sequence[str] | None = None, label: str
         evaluator = MulticlassClassificationEvaluator(labelCol="label_idx", predictionCol="prediction",
                                                       metricName="accuracy")
         cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=evaluator,
-                            numFolds=folds, seed=seed)
+                            numFolds=folds, seed=seed, parallelism=min(len(grid), 4))
         model = cv.fit(train)
         accuracy = evaluator.evaluate(model.transform(test))
         best = model.bestModel.stages[-1]

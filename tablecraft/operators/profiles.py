@@ -177,7 +177,11 @@ def by_account_month(df: DataFrame, n: int = 12, created: str = "author_created_
             .limit(n))
 
 
-def crawl_hours(df: DataFrame, prefix: str = "x_commoncrawl_FetchTimestamp:") -> DataFrame:
+# Fixed value: the header line that carries a crawled URL's fetch time (epoch ms).
+FETCH_TIME_PREFIX = "x_commoncrawl_FetchTimestamp:"
+
+
+def crawl_hours(df: DataFrame, prefix: str = FETCH_TIME_PREFIX) -> DataFrame:
     """Crawled URLs per hour of day from fetch-time header lines (epoch ms)."""
     ms = F.regexp_extract("value", r"\d+", 0).try_cast("long")
     return (df.filter(F.col("value").startswith(prefix))
