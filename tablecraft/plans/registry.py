@@ -9,6 +9,7 @@ noisy floating results are rounded to 6 places on both sides.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,6 +48,11 @@ def queries() -> dict[str, Query]:
     return dict(_REGISTRY)
 
 
+def view_name(base: str) -> str:
+    """A per-call temporary view name, so concurrent analyses never share a view."""
+    return f"{base}_{uuid.uuid4().hex[:8]}"
+
+
 def r6(c) -> F.Column:
     """Round to 6 places; -0.0 becomes 0.0 so both engines agree on zero."""
     r = F.round(F.col(c) if isinstance(c, str) else c, 6)
@@ -66,13 +72,13 @@ def q_mean_by(spark, sf):
 
 @register("mean_by_sql")
 def q_mean_by_sql(spark, sf):
-    trips = FX.trips(spark, sf)
-    trips.createOrReplaceTempView("trips")
-    return spark.sql("""
+    view = view_name("trips")
+    FX.trips(spark, sf).createOrReplaceTempView(view)
+    return spark.sql(f"""
         SELECT PULocationID,
                try_divide(CAST(SUM(CAST(fare_amount AS DECIMAL(38,2))) AS DOUBLE),
                           CAST(COUNT(fare_amount) AS DOUBLE)) AS `mean fare amount`
-        FROM trips
+        FROM {view}
         GROUP BY PULocationID
         ORDER BY PULocationID""")
 
@@ -205,7 +211,7 @@ def q_word_split(spark, sf):
 
 @register("word_split_sql")
 def q_word_split_sql(spark, sf):
-    return T.word_split_sql(FX.texts(spark, sf), "the", boundary="ascii")
+    return T.word_split_sql(FX.texts(spark, sf), "the", view=view_name("texts"), boundary="ascii")
 
 
 @register("letter_count")
@@ -231,7 +237,7 @@ def q_word_length_by_year(spark, sf):
 
 @register("word_length_by_year_sql")
 def q_word_length_by_year_sql(spark, sf):
-    return T.mean_word_length_sql(FX.ngrams(spark, sf))
+    return T.mean_word_length_sql(FX.ngrams(spark, sf), view=view_name("ngrams"))
 
 
 @register("by_account_month")
@@ -411,25 +417,25 @@ def q_archive_counts(spark, sf):
 # ------------------------------------------------------------------- SQL forms
 @register("distinct_per_hour_sql")
 def q_distinct_per_hour_sql(spark, sf):
-    out = P.distinct_per_hour_sql(FX.trips(spark, sf))
+    out = P.distinct_per_hour_sql(FX.trips(spark, sf), view=view_name("trips"))
     return out.select("pickup_hour", F.array_join("pickup_locations", ",").alias("pickup_locations"))
 
 
 @register("top_users_sql")
 def q_top_users_sql(spark, sf):
-    return R.top_users_sql(FX.tweets(spark, sf))
+    return R.top_users_sql(FX.tweets(spark, sf), view=view_name("tweets"))
 
 
 @register("top_tags_sql")
 def q_top_tags_sql(spark, sf):
-    return R.top_tags_sql(FX.tweets(spark, sf))
+    return R.top_tags_sql(FX.tweets(spark, sf), view=view_name("tweets"))
 
 
 @register("token_counts_sql")
 def q_token_counts_sql(spark, sf):
-    return T.count_tokens_sql(FX.texts(spark, sf))
+    return T.count_tokens_sql(FX.texts(spark, sf), view=view_name("texts"))
 
 
 @register("creation_years_sql")
 def q_creation_years_sql(spark, sf):
-    return P.creation_years_sql(FX.tweets(spark, sf))
+    return P.creation_years_sql(FX.tweets(spark, sf), view=view_name("tweets2"))
