@@ -31,7 +31,9 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     m = re.search(r"sf([0-9.]+)$", sf_dir)
     sf = float(m.group(1)) if m else None
-    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")))
+    # One shuffle partition per core locally (AQE coalesces further); on a
+    # cluster size it from the data instead (see README, "On a cluster").
+    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus)))
     registry = queries()
     wanted = os.environ.get("BENCH_QUERIES")
     names = [n.strip() for n in wanted.split(",")] if wanted else sorted(registry)
