@@ -8,6 +8,8 @@ window:
    so a value holding a third of all rows costs one row here);
 2. distinct values are cut into ``buckets`` ranges by approximate quantiles
    (one scalar subquery), so each window partition holds ~1/buckets of them;
+   the range count grows with the data (about a million distinct values per
+   range, 256 to 65,536 ranges);
 3. a running sum inside each range plus the total of all lower ranges (a table
    of at most ``buckets`` rows per key) gives the count below each value.
 
@@ -32,7 +34,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 256
+DEFAULT_BUCKETS = None  # sized from the data by auto_buckets
+MIN_BUCKETS, MAX_BUCKETS = 256, 65_536
+VALUES_PER_BUCKET = 1_000_000
 EXACT = "decimal(38,0)"
 
 
@@ -48,14 +52,31 @@ def _cols(cols) -> list[str]:
 
 
 # ------------------------------------------------------------------ running counts
+def auto_buckets(counts: DataFrame) -> int:
+    """Range count so one window partition holds about a million distinct values.
+
+    A power of two between 256 and 65,536; counting is one cheap job over the
+    (already collapsed, usually checkpointed) distinct-value table.
+    """
+    n = counts.count()
+    want = max(MIN_BUCKETS, -(-n // VALUES_PER_BUCKET))
+    b = MIN_BUCKETS
+    while b < want and b < MAX_BUCKETS:
+        b *= 2
+    return b
+
+
 def cumulative_counts(counts: DataFrame, value: str, count_cols: Sequence[str] | str,
-                      keys=None, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                      keys=None, buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """Add ``before_<c>`` = sum of ``c`` over rows with the same keys and a smaller value.
 
-    ``counts`` must hold one row per (keys, value).
+    ``counts`` must hold one row per (keys, value).  ``buckets`` defaults to
+    :func:`auto_buckets`.
     """
     keys = _cols(keys)
     count_cols = _cols(count_cols)
+    if buckets is None:
+        buckets = auto_buckets(counts)
     bucketed = with_quantile_bucket(counts, value, buckets)
     inside = Window.partitionBy(*keys, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     for c in count_cols:
@@ -71,7 +92,7 @@ def cumulative_counts(counts: DataFrame, value: str, count_cols: Sequence[str] |
     return out.drop("_bucket", *[f"_in_{c}" for c in count_cols], *[f"_off_{c}" for c in count_cols])
 
 
-def with_quantile_bucket(df: DataFrame, value: str, buckets: int = DEFAULT_BUCKETS,
+def with_quantile_bucket(df: DataFrame, value: str, buckets: int = MIN_BUCKETS,
                          out: str = "_bucket") -> DataFrame:
     """Add ``out``: index of ``value``'s approximate-quantile range among ``buckets``.
 
@@ -85,7 +106,8 @@ def with_quantile_bucket(df: DataFrame, value: str, buckets: int = DEFAULT_BUCKE
     while steps < buckets:
         steps *= 2
     fractions = [i / buckets for i in range(1, buckets)]
-    bounds = df.select(F.percentile_approx(value, fractions, 10_000)).scalar()
+    accuracy = max(10_000, 4 * buckets)  # cut points finer than the ranges they cut
+    bounds = df.select(F.percentile_approx(value, fractions, accuracy)).scalar()
     v = F.col(value)
     out_df = df.withColumn(out, F.lit(0))
     step = steps // 2
@@ -97,7 +119,7 @@ def with_quantile_bucket(df: DataFrame, value: str, buckets: int = DEFAULT_BUCKE
     return out_df
 
 
-def midranks(df: DataFrame, value: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def midranks(df: DataFrame, value: str, buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """One row per distinct non-null ``value``: ``n`` rows and their average rank ``midrank``."""
     counts = materialize(df.select(value).filter(F.col(value).isNotNull())
                          .groupBy(value).agg(F.count(F.lit(1)).alias("n")))
@@ -153,7 +175,7 @@ def _two_group_counts(df: DataFrame, value: str, group: str, a, b) -> DataFrame:
 
 
 def mann_whitney(df: DataFrame, value: str, group: str, a, b,
-                 buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                 buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """Two-sided Mann-Whitney U of ``value`` between groups ``a`` and ``b``.
 
     One row: ``n1, n2, u`` (U of group ``a``) and ``z`` (tie-corrected normal
@@ -180,7 +202,7 @@ def mann_whitney(df: DataFrame, value: str, group: str, a, b,
 
 
 # --------------------------------------------------------------- Spearman rank corr
-def spearman(df: DataFrame, x: str, y: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def spearman(df: DataFrame, x: str, y: str, buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """Spearman rank correlation (average ranks for ties), one row ``rho``.
 
     Rows are collapsed to distinct ``(x, y)`` pairs with a weight before ranks
@@ -206,14 +228,14 @@ def spearman(df: DataFrame, x: str, y: str, buckets: int = DEFAULT_BUCKETS) -> D
                                     F.sqrt(vx.cast("double")) * F.sqrt(vy.cast("double"))).alias("rho"))
 
 
-def twice_midranks_of_weighted(pairs: DataFrame, value: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def twice_midranks_of_weighted(pairs: DataFrame, value: str, buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """Twice the average rank of each distinct ``value`` (an integer), rows weighted by ``w``."""
     counts = pairs.groupBy(value).agg(F.sum("w").alias("n"))
     ranked = cumulative_counts(counts, value, "n", buckets=buckets)
     return ranked.select(value, (2 * F.col("before_n") + F.col("n") + 1).alias("r2"))
 
 
-def midranks_of_weighted(pairs: DataFrame, value: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def midranks_of_weighted(pairs: DataFrame, value: str, buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     return twice_midranks_of_weighted(pairs, value, buckets).select(
         value, (F.col("r2") / 2.0).alias("midrank"))
 
@@ -229,7 +251,7 @@ def spearman_mllib(df: DataFrame, x: str, y: str) -> float:
 
 # ------------------------------------------------------------ Kolmogorov-Smirnov (2)
 def ks_2samp(df: DataFrame, value: str, group: str, a, b,
-             buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+             buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """Two-sample KS statistic ``d``: the largest gap between the two running shares."""
     counts = _two_group_counts(df, value, group, a, b)
     ranked = cumulative_counts(counts, value, ["c1", "c2"], buckets=buckets)
@@ -248,7 +270,7 @@ def ks_1samp(df: DataFrame, value: str, dist: str = "norm", *params: float) -> D
 
 
 # ------------------------------------------------------------------ Kruskal-Wallis
-def kruskal(df: DataFrame, value: str, group: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def kruskal(df: DataFrame, value: str, group: str, buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """Kruskal-Wallis H (tie-corrected) over all groups: one row ``k, n, h``.
 
     Rank sums come from (value, group) cell counts joined to the value's
@@ -275,7 +297,7 @@ def kruskal(df: DataFrame, value: str, group: str, buckets: int = DEFAULT_BUCKET
 
 
 # ----------------------------------------------------------------------- Levene
-def group_medians(df: DataFrame, value: str, group: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def group_medians(df: DataFrame, value: str, group: str, buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """Exact median per group from running counts (no per-group value lists)."""
     counts = materialize(df.select(F.col(value).cast("double").alias(value), F.col(group))
                          .filter(F.col(value).isNotNull() & F.col(group).isNotNull())
@@ -291,7 +313,7 @@ def group_medians(df: DataFrame, value: str, group: str, buckets: int = DEFAULT_
             .agg(F.avg(value).alias("median"), F.first("ng").alias("ng")))
 
 
-def levene(df: DataFrame, value: str, group: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def levene(df: DataFrame, value: str, group: str, buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """Brown-Forsythe / Levene W with median centring: one row ``k, n, w``.
 
     With per-group size n_g, mean deviation z_g and deviation variance v_g,

@@ -165,3 +165,16 @@ def test_hot_value_holding_a_third_of_rows(spark):
     assert row["u"] == r[g == "a"].sum() - n1 * (n1 + 1) / 2
     med = {m["g"]: m["median"] for m in S.group_medians(df, "x", "g", buckets=16).collect()}
     assert med == {k: float(np.median(np.array(values)[g == k])) for k in ("a", "b")}
+
+
+def test_auto_buckets_grows_with_distinct_values():
+    class Counted:
+        def __init__(self, n):
+            self.n = n
+
+        def count(self):
+            return self.n
+    assert S.auto_buckets(Counted(10)) == 256
+    assert S.auto_buckets(Counted(300_000_000)) == 512
+    assert S.auto_buckets(Counted(5_000_000_000)) == 8192
+    assert S.auto_buckets(Counted(10 ** 12)) == 65_536
