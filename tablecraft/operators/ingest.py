@@ -96,7 +96,9 @@ def archive_members(spark: SparkSession, glob: str,
     """
     listing = spark.read.format("binaryFile").load(glob).select("path")
     n = max(1, listing.count())
-    return (listing.repartition(n, "path")
+    # Range partitioning on distinct paths gives each archive its own task
+    # (hash partitioning would pair some archives and leave tasks idle).
+    return (listing.repartitionByRange(n, "path")
             .mapInPandas(_archive_members(suffixes), schema=ARCHIVE_ROW_SCHEMA))
 
 
