@@ -197,9 +197,10 @@ def matches_by_mode(df: DataFrame, mode: str = "game_mode", key: str = "match_id
             .orderBy(F.asc("matches"), F.asc_nulls_first(mode)))
 
 
-def _range_stats(values: DataFrame, col: str) -> Column:
-    """Scalar subquery holding ``struct(lo, hi)`` of ``col``."""
-    return values.select(F.struct(F.min(col).alias("lo"), F.max(col).alias("hi"))).scalar()
+def _with_range(values: DataFrame, col: str, out: str) -> DataFrame:
+    """Add ``out`` = ``struct(lo, hi)`` of ``col``: one scalar subquery, referenced once."""
+    rng = values.select(F.struct(F.min(col).alias("lo"), F.max(col).alias("hi"))).scalar()
+    return values.withColumn(out, rng)
 
 
 def _bin_of(x: Column, rng: Column, bins: int) -> Column:
@@ -215,22 +216,21 @@ def histogram(df: DataFrame, col: str, bins: int = 20, by=None) -> DataFrame:
     Edges span the overall min..max (shared by every ``by`` group, so groups
     are comparable); the last bin is closed on the right.  Empty bins are
     present with count 0.  The result has at most ``bins`` rows per group.
+    The range is one scalar subquery carried as a column into the (small)
+    per-bin table, so it is computed once.
     """
     keys = _cols(by)
     values = df.select(*keys, F.col(col).cast("double").alias("x")).filter(F.col("x").isNotNull())
-    rng = _range_stats(values, "x")
-    counts = (values.select(*keys, _bin_of(F.col("x"), rng, bins).alias("bin"))
-              .groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias("count")))
-    grid_bins = F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
-    if keys:
-        grid = counts.select(*keys).distinct().select(*keys, grid_bins)
-    else:
-        grid = counts.agg(F.count(F.lit(1)).alias("_n")).select(grid_bins)
-    width = (rng["hi"] - rng["lo"]) / F.lit(float(bins))
-    return (grid.join(counts, [*keys, "bin"], "left")
+    staged = _with_range(values, "x", "_r")
+    counts = (staged.select(*keys, _bin_of(F.col("x"), F.col("_r"), bins).alias("bin"), "_r")
+              .groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias("count"), F.first("_r").alias("_r")))
+    per_group = counts.groupBy(*keys).agg(F.first("_r").alias("_r"))
+    grid = per_group.select(*keys, "_r", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    width = (F.col("_r.hi") - F.col("_r.lo")) / F.lit(float(bins))
+    return (grid.join(counts.drop("_r"), [*keys, "bin"], "left")
             .select(*keys, "bin",
-                    (rng["lo"] + F.col("bin") * width).alias("lo"),
-                    (rng["lo"] + (F.col("bin") + 1) * width).alias("hi"),
+                    (F.col("_r.lo") + F.col("bin") * width).alias("lo"),
+                    (F.col("_r.lo") + (F.col("bin") + 1) * width).alias("hi"),
                     F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count"))
             .orderBy(*keys, "bin"))
 
@@ -239,9 +239,9 @@ def binned_pairs(df: DataFrame, x: str, y: str, bins: int = 20) -> DataFrame:
     """2-D equal-width binned counts of ``(x, y)``: the scatter plot at any scale."""
     values = (df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
               .filter(F.col("x").isNotNull() & F.col("y").isNotNull()))
-    rx, ry = _range_stats(values, "x"), _range_stats(values, "y")
-    return (values.select(_bin_of(F.col("x"), rx, bins).alias("xbin"),
-                          _bin_of(F.col("y"), ry, bins).alias("ybin"))
+    staged = _with_range(_with_range(values, "x", "_rx"), "y", "_ry")
+    return (staged.select(_bin_of(F.col("x"), F.col("_rx"), bins).alias("xbin"),
+                          _bin_of(F.col("y"), F.col("_ry"), bins).alias("ybin"))
             .groupBy("xbin", "ybin").agg(F.count(F.lit(1)).alias("count"))
             .orderBy("xbin", "ybin"))
 

@@ -109,14 +109,14 @@ def with_quantile_bucket(df: DataFrame, value: str, buckets: int = MIN_BUCKETS,
     accuracy = max(10_000, 4 * buckets)  # cut points finer than the ranges they cut
     bounds = df.select(F.percentile_approx(value, fractions, accuracy)).scalar()
     v = F.col(value)
-    out_df = df.withColumn(out, F.lit(0))
+    out_df = df.withColumn("_cuts", bounds).withColumn(out, F.lit(0))  # subquery referenced once
     step = steps // 2
     while step >= 1:
         probe = F.col(out) + step
-        out_df = out_df.withColumn(out, F.when(F.try_element_at(bounds, probe) < v, probe)
+        out_df = out_df.withColumn(out, F.when(F.try_element_at(F.col("_cuts"), probe) < v, probe)
                                    .otherwise(F.col(out)))
         step //= 2
-    return out_df
+    return out_df.drop("_cuts")
 
 
 def midranks(df: DataFrame, value: str, buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
@@ -139,7 +139,9 @@ def zscore(df: DataFrame, value: str, by=None, name: str = "z") -> DataFrame:
     x = F.col(value).cast("double")
     if not keys:
         s = df.select(F.struct(F.avg(x).alias("mu"), F.stddev_samp(x).alias("sd"))).scalar()
-        return df.withColumn(name, F.try_divide(x - s["mu"], s["sd"]))
+        return (df.withColumn("_s", s)
+                .withColumn(name, F.try_divide(x - F.col("_s.mu"), F.col("_s.sd")))
+                .drop("_s"))
     stats = df.groupBy(*keys).agg(F.avg(x).alias("_mu"), F.stddev_samp(x).alias("_sd"))
     return (df.join(stats, keys, "left")
             .withColumn(name, F.try_divide(x - F.col("_mu"), F.col("_sd")))
@@ -257,9 +259,11 @@ def ks_2samp(df: DataFrame, value: str, group: str, a, b,
     ranked = cumulative_counts(counts, value, ["c1", "c2"], buckets=buckets)
     tot = counts.select(F.struct(F.sum("c1").cast("double").alias("n1"),
                                  F.sum("c2").cast("double").alias("n2"))).scalar()
-    gap = F.abs((F.col("before_c1") + F.col("c1")) / tot["n1"] - (F.col("before_c2") + F.col("c2")) / tot["n2"])
-    return ranked.agg(F.max(gap).alias("d"), F.first(tot["n1"]).cast("long").alias("n1"),
-                      F.first(tot["n2"]).cast("long").alias("n2"))
+    staged = ranked.withColumn("_t", tot)  # subquery referenced once
+    gap = F.abs((F.col("before_c1") + F.col("c1")) / F.col("_t.n1")
+                - (F.col("before_c2") + F.col("c2")) / F.col("_t.n2"))
+    return staged.agg(F.max(gap).alias("d"), F.first("_t.n1").cast("long").alias("n1"),
+                      F.first("_t.n2").cast("long").alias("n2"))
 
 
 def ks_1samp(df: DataFrame, value: str, dist: str = "norm", *params: float) -> DataFrame:
