@@ -216,6 +216,8 @@ def spearman(df: DataFrame, x: str, y: str, buckets: int | None = DEFAULT_BUCKET
     pairs = materialize(df.select(F.col(x).alias("_x"), F.col(y).alias("_y"))
                         .filter(F.col("_x").isNotNull() & F.col("_y").isNotNull())
                         .groupBy("_x", "_y").agg(F.count(F.lit(1)).alias("w")))
+    if buckets is None:  # distinct pairs bound the distinct values of either side
+        buckets = auto_buckets(pairs)
     rx = twice_midranks_of_weighted(pairs, "_x", buckets).withColumnRenamed("r2", "rx2")
     ry = twice_midranks_of_weighted(pairs, "_y", buckets).withColumnRenamed("r2", "ry2")
     joined = pairs.join(rx, "_x").join(ry, "_y")
@@ -283,6 +285,8 @@ def kruskal(df: DataFrame, value: str, group: str, buckets: int | None = DEFAULT
     """
     data = df.select(F.col(value), F.col(group)).filter(F.col(value).isNotNull() & F.col(group).isNotNull())
     per_cell = materialize(data.groupBy(value, group).agg(F.count(F.lit(1)).alias("c")))
+    if buckets is None:  # cells bound the distinct values
+        buckets = auto_buckets(per_cell)
     ranks = cumulative_counts(per_cell.groupBy(value).agg(F.sum("c").alias("t")), value, "t",
                               buckets=buckets)
     ranks = ranks.select(value, "t", (F.col("before_t") + (F.col("t") + 1) / 2.0).alias("midrank"))
