@@ -9,7 +9,8 @@ window:
 2. distinct values are cut into ``buckets`` ranges by approximate quantiles
    (one scalar subquery), so each window partition holds ~1/buckets of them;
    the range count grows with the data (about a million distinct values per
-   range, 256 to 65,536 ranges);
+   range, 256 to 65,536 ranges); a table of at most a million distinct values
+   (counted first) needs no ranges and runs as one ordered window;
 3. a running sum inside each range plus the total of all lower ranges (a table
    of at most ``buckets`` rows per key) gives the count below each value.
 
@@ -52,13 +53,8 @@ def _cols(cols) -> list[str]:
 
 
 # ------------------------------------------------------------------ running counts
-def auto_buckets(counts: DataFrame) -> int:
-    """Range count so one window partition holds about a million distinct values.
-
-    A power of two between 256 and 65,536; counting is one cheap job over the
-    (already collapsed, usually checkpointed) distinct-value table.
-    """
-    n = counts.count()
+def buckets_for(n: int) -> int:
+    """Range count for ``n`` distinct values: about a million per range, 256 to 65,536."""
     want = max(MIN_BUCKETS, -(-n // VALUES_PER_BUCKET))
     b = MIN_BUCKETS
     while b < want and b < MAX_BUCKETS:
@@ -66,17 +62,32 @@ def auto_buckets(counts: DataFrame) -> int:
     return b
 
 
+def auto_buckets(counts: DataFrame) -> int:
+    """:func:`buckets_for` the row count of ``counts`` (one cheap job)."""
+    return buckets_for(counts.count())
+
+
 def cumulative_counts(counts: DataFrame, value: str, count_cols: Sequence[str] | str,
                       keys=None, buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """Add ``before_<c>`` = sum of ``c`` over rows with the same keys and a smaller value.
 
-    ``counts`` must hold one row per (keys, value).  ``buckets`` defaults to
-    :func:`auto_buckets`.
+    ``counts`` must hold one row per (keys, value).  With ``buckets=None`` the
+    table is counted first: up to ``VALUES_PER_BUCKET`` distinct values (a
+    proven bound, the same one each range obeys) run as one ordered window;
+    larger tables are cut into :func:`buckets_for` quantile ranges.
     """
     keys = _cols(keys)
     count_cols = _cols(count_cols)
     if buckets is None:
-        buckets = auto_buckets(counts)
+        n = counts.count()
+        if n <= VALUES_PER_BUCKET:
+            below = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+            out = counts
+            for c in count_cols:
+                out = out.withColumn(f"before_{c}",
+                                     F.coalesce(F.sum(c).over(below), F.lit(0)).cast("long"))
+            return out
+        buckets = buckets_for(n)
     bucketed = with_quantile_bucket(counts, value, buckets)
     inside = Window.partitionBy(*keys, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     for c in count_cols:
@@ -216,8 +227,6 @@ def spearman(df: DataFrame, x: str, y: str, buckets: int | None = DEFAULT_BUCKET
     pairs = materialize(df.select(F.col(x).alias("_x"), F.col(y).alias("_y"))
                         .filter(F.col("_x").isNotNull() & F.col("_y").isNotNull())
                         .groupBy("_x", "_y").agg(F.count(F.lit(1)).alias("w")))
-    if buckets is None:  # distinct pairs bound the distinct values of either side
-        buckets = auto_buckets(pairs)
     rx = twice_midranks_of_weighted(pairs, "_x", buckets).withColumnRenamed("r2", "rx2")
     ry = twice_midranks_of_weighted(pairs, "_y", buckets).withColumnRenamed("r2", "ry2")
     joined = pairs.join(rx, "_x").join(ry, "_y")
@@ -285,8 +294,6 @@ def kruskal(df: DataFrame, value: str, group: str, buckets: int | None = DEFAULT
     """
     data = df.select(F.col(value), F.col(group)).filter(F.col(value).isNotNull() & F.col(group).isNotNull())
     per_cell = materialize(data.groupBy(value, group).agg(F.count(F.lit(1)).alias("c")))
-    if buckets is None:  # cells bound the distinct values
-        buckets = auto_buckets(per_cell)
     ranks = cumulative_counts(per_cell.groupBy(value).agg(F.sum("c").alias("t")), value, "t",
                               buckets=buckets)
     ranks = ranks.select(value, "t", (F.col("before_t") + (F.col("t") + 1) / 2.0).alias("midrank"))

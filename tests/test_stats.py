@@ -7,6 +7,7 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -178,3 +179,12 @@ def test_auto_buckets_grows_with_distinct_values():
     assert S.auto_buckets(Counted(300_000_000)) == 512
     assert S.auto_buckets(Counted(5_000_000_000)) == 8192
     assert S.auto_buckets(Counted(10 ** 12)) == 65_536
+
+
+def test_single_window_and_bucketed_paths_agree(spark):
+    rnd = random.Random(4)
+    rows = [(k, float(rnd.randint(0, 500)), rnd.randint(1, 5)) for k in ("p", "q") for _ in range(300)]
+    df = spark.createDataFrame(rows, "k string, v double, c long").groupBy("k", "v").agg(F.sum("c").alias("c"))
+    small = {(r["k"], r["v"]): r["before_c"] for r in S.cumulative_counts(df, "v", "c", keys="k").collect()}
+    ranged = {(r["k"], r["v"]): r["before_c"] for r in S.cumulative_counts(df, "v", "c", keys="k", buckets=8).collect()}
+    assert small == ranged and len(small) == df.count()
