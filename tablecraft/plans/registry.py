@@ -22,7 +22,7 @@ from tablecraft.operators import rankings as R
 from tablecraft.operators import stats as S
 from tablecraft.operators import text as T
 from tablecraft.operators.series import mean_daily_views
-from tablecraft.session import ensure_checkpoint_dir, pin_utc, scratch_path
+from tablecraft.session import ensure_checkpoint_dir, pin_utc, scratch_path, ship_package
 from tablecraft.sources import fixtures as FX
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,7 @@ def register(name: str):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             pin_utc(spark)
             ensure_checkpoint_dir(spark)
+            ship_package(spark)
             return fn(spark, sf_dir)
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
