@@ -74,3 +74,18 @@ def test_ks_one_sample(spark):
     df = spark.createDataFrame([(float(x) / 10,) for x in range(-30, 31)], "x double")
     row = S.ks_1samp(df, "x", "norm", 0.0, 1.0).first()
     assert 0.0 <= row["pValue"] <= 1.0 and row["statistic"] > 0
+
+
+def test_ship_package_once_per_application(spark):
+    import glob
+    import zipfile
+
+    from tablecraft import session as SS
+    SS._SHIPPED.discard(spark.sparkContext.applicationId)
+    SS.ship_package(spark)
+    SS.ship_package(spark)  # second call is a no-op
+    zips = glob.glob(f"{SS.checkpoint_root(spark)}/tablecraft-pyfiles/tablecraft-*.zip")
+    assert zips
+    names = zipfile.ZipFile(sorted(zips, key=lambda p: __import__("os").path.getmtime(p))[-1]).namelist()
+    assert "tablecraft/operators/ingest.py" in names and "tablecraft/plans/registry.py" in names
+    assert spark.sparkContext.applicationId in SS._SHIPPED
