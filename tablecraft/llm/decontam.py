@@ -8,8 +8,6 @@ two rarest words are intersected, and the survivors are compared word by word.
 
 from __future__ import annotations
 
-import hashlib
-
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -19,8 +17,6 @@ from pyspark.sql import types as T
 from tablecraft.llm.common import alnum_words, bitmap_of, in_bitmap, map_texts, row_key, share, written
 
 WINDOW = 10
-#: Words of a window whose postings are intersected.
-ANCHORS = 2
 #: Extra words that may stand between two anchors of a proximity match.
 SLACK = 3
 #: Words counted by a task before it hands its counts on.
@@ -92,21 +88,22 @@ def word_counts(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
 
 
 def anchors(items: DataFrame, counts: DataFrame) -> DataFrame:
-    """Of each window the places of its ``ANCHORS`` rarest words: ``item_key, start, width, at, term``.
+    """The places of the two rarest words of each window: ``item_key, at, term, at2, term2``, distinct.
 
     Windows with a word that the corpus lacks are left out: they cannot occur.
-    Places are taken from the item; one word may be both anchors.
+    Places are taken from the item; a window of one word has it twice.
     """
     width = F.least(F.size("words"), F.lit(WINDOW))
     wins = (items.select("item_key", "words", width.alias("width"))
             .select("item_key", "width", "words", F.explode(F.sequence(F.lit(0), F.size("words") - F.col("width"))).alias("start"))
-            .select("item_key", "width", "start", F.posexplode(F.slice("words", F.col("start") + 1, F.col("width"))).alias("off", "term")))
+            .select("item_key", "start", F.posexplode(F.slice("words", F.col("start") + 1, F.col("width"))).alias("off", "term")))
     ranked = (wins.join(counts, "term", "left")
-              .groupBy("item_key", "start", "width")
+              .groupBy("item_key", "start")
               .agg(F.array_sort(F.collect_list(F.struct(F.coalesce("tf", F.lit(0)).alias("tf"), F.col("off"), F.col("term")))).alias("w")))
-    return (ranked.filter("w[0].tf > 0")
-            .select("item_key", "start", "width", F.explode(F.slice("w", 1, ANCHORS)).alias("x"))
-            .select("item_key", "start", "width", (F.col("start") + F.col("x.off")).alias("at"), F.col("x.term").alias("term")))
+    second = F.coalesce(F.get("w", F.lit(1)), F.get("w", F.lit(0)))
+    return (ranked.filter("w[0].tf > 0").withColumn("x", second)
+            .select("item_key", (F.col("start") + F.col("w")[0]["off"]).alias("at"), F.col("w")[0]["term"].alias("term"),
+                    (F.col("start") + F.col("x.off")).alias("at2"), F.col("x.term").alias("term2")).distinct())
 
 
 def positional_index(docs: DataFrame, terms: DataFrame) -> DataFrame:
@@ -134,43 +131,26 @@ def positional_index(docs: DataFrame, terms: DataFrame) -> DataFrame:
                              carry=("doc_key", "doc_id")), "index")
 
 
-def _alignments(lists: DataFrame) -> DataFrame:
-    """Intersect the offset-adjusted posting lists of each item in each document.
+def alignments(postings: DataFrame, marks: DataFrame) -> DataFrame:
+    """Intersect the offset-adjusted posting lists of each window's two rarest words.
 
-    ``lists``: ``doc_key, item_key, words, anchors [(start, width, at, term)],
-    posts [(term, places)]``.  Adds ``starts`` [(window start, place)] where all
-    anchors agree, and ``near`` [(window start, place, gap)] where they stand
-    in order with up to ``SLACK`` words more or fewer between them.
+    A posting minus the word's place in the item is where the item would start
+    in the document.  ``doc_key, item_key, place, gap``: the rarest word's
+    starts at which the other one agrees (gap 0), or stands up to ``SLACK``
+    words off (the gap).
     """
-    def setup():
-        def work(cells):
-            exact, near = [], []
-            for c in cells:
-                places = {p["term"]: p["places"] for p in c["posts"]}
-                wins: dict = {}
-                for a in c["anchors"]:
-                    wins.setdefault((a["start"], a["width"]), []).append((a["at"] - a["start"], a["term"]))
-                hits, close = [], []
-                for (start, _), marks in sorted(wins.items()):
-                    lists = [{p - off for p in places.get(term, ())} for off, term in marks]
-                    if not all(lists):
-                        continue
-                    both = set.intersection(*lists)
-                    hits += [{"start": start, "place": p} for p in sorted(both) if p >= 0]
-                    if len(lists) > 1:
-                        for p in sorted(lists[0] - both):
-                            gaps = [g for g in range(-SLACK, SLACK + 1) if g and all(p + g in other for other in lists[1:])]
-                            if gaps:
-                                close.append({"start": start, "place": p, "gap": min(gaps, key=abs)})
-                exact.append(hits)
-                near.append(close)
-            return [exact, near]
-        return work
+    def starts(at: str, term: str) -> DataFrame:
+        lists = marks.select("item_key", F.col(at).alias("at"), F.col(term).alias("term")).distinct()
+        return (postings.join(lists, "term")
+                .select("doc_key", "item_key", "at", F.explode(F.transform("places", lambda p: p - F.col("at"))).alias("place")))
 
-    cell = F.struct("anchors", "posts").alias("cell")
-    return map_texts(lists.select("doc_key", "item_key", cell), setup,
-                     "starts array<struct<start: int, place: int>>, near array<struct<start: int, place: int, gap: int>>",
-                     carry=("doc_key", "item_key"), text="cell")
+    pairs = marks.select("item_key", "at", "at2").distinct()
+    rare = starts("at", "term").join(pairs, ["item_key", "at"]).select("doc_key", "item_key", "at2", "place")
+    other = starts("at2", "term2").select(F.col("doc_key").alias("k"), F.col("item_key").alias("i"), F.col("at").alias("a"), F.col("place").alias("place2"))
+    gap = F.col("place2") - F.col("place")
+    return (rare.join(other, (F.col("doc_key") == F.col("k")) & (F.col("item_key") == F.col("i")) & (F.col("at2") == F.col("a"))
+                      & (F.abs(gap) <= SLACK))
+            .select("doc_key", "item_key", "place", gap.alias("gap")).distinct())
 
 
 def find_passages(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -178,8 +158,9 @@ def find_passages(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, Dat
 
     documents: one row per row of ``docs``: ``doc_key, doc_id, n_words, n_hit``
     (words inside an occurrence of a window), ``items`` (sorted ids, as strings,
-    of items with occurring windows), ``n_near``.
-    matches: ``doc_key, item_id, item_key, starts, near`` before the word-by-word check.
+    of items with occurring windows), ``n_near`` (proximity matches).
+    matches: ``doc_key, item_id, place, gap``: where an item would start, exact
+    phrase candidates (gap 0) and proximity matches (another gap).
 
     A window is ``WINDOW`` consecutive words of an item; a shorter item is one
     window.  Null and empty texts have no words and no windows.  Rows that
@@ -191,20 +172,16 @@ def find_passages(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, Dat
     items = written(item_words(benchmark.select("item_id", "text")), "items")
     vocabulary = items.select(F.explode("words").alias("term")).distinct()
     marks = written(anchors(items, word_counts(docs, vocabulary)), "anchors")
-    index = positional_index(docs, marks.select("term").distinct())
-
-    # one row for each item and posting list, then one for each item and document
-    by_term = marks.select("term", "item_key").distinct()
-    posts = (index.select("doc_key", F.explode("postings").alias("p")).select("doc_key", "p.term", "p.places")
-             .dropDuplicates(["doc_key", "term"]))
-    per_item = marks.groupBy("item_key").agg(F.collect_list(F.struct("start", "width", "at", "term")).alias("anchors"))
-    lists = (posts.join(by_term, "term").groupBy("doc_key", "item_key")
-             .agg(F.collect_list(F.struct("term", "places")).alias("posts")).join(per_item, "item_key"))
-    found = written(_alignments(lists).filter("size(starts) > 0 OR size(near) > 0"), "alignments")
-    named = found.join(items, "item_key")
+    terms = marks.select(F.explode(F.array("term", "term2")).alias("term")).distinct()
+    index = positional_index(docs, terms)
+
+    postings = (index.select("doc_key", F.explode("postings").alias("p")).select("doc_key", "p.term", "p.places")
+                .dropDuplicates(["doc_key", "term"]))
+    found = written(alignments(postings, marks), "alignments")
+    exact = found.filter("gap = 0")
 
     # the whole texts of candidate documents, to compare word by word
-    wanted = found.filter("size(starts) > 0").select("doc_key").distinct()
+    wanted = exact.select("doc_key").distinct()
     bits = share(spark, bitmap_of(wanted, "doc_key"))
 
     def setup():
@@ -218,8 +195,8 @@ def find_passages(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, Dat
     keyed = docs.withColumn("doc_key", row_key("doc_id", "text"))
     texts = map_texts(keyed.select("doc_key", F.struct(F.col("doc_key").alias("key"), "text").alias("cell")),
                       setup, "text string, there boolean", carry=("doc_key",), text="cell", keep=True).dropDuplicates(["doc_key"])
-    cases = (named.filter("size(starts) > 0").groupBy("doc_key")
-             .agg(F.collect_list(F.struct(F.col("item_id").cast("string").alias("id"), "words", "starts")).alias("cases")))
+    cases = (exact.groupBy("doc_key", "item_key").agg(F.collect_set("place").alias("places")).join(items, "item_key")
+             .groupBy("doc_key").agg(F.collect_list(F.struct(F.col("item_id").cast("string").alias("id"), "words", "places")).alias("cases")))
 
     def verify():
         def work(cells):
@@ -230,12 +207,14 @@ def find_passages(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, Dat
                 for case in c["cases"]:
                     item = case["words"]
                     width = min(WINDOW, len(item))
-                    for m in case["starts"]:
-                        s, p = m["start"], m["place"]
-                        if words[p:p + width] == item[s:s + width]:
-                            covered.update(range(p, p + width))
-                            if case["id"] is not None:
-                                hit_items.add(case["id"])
+                    for place in case["places"]:
+                        run = 0  # words that agree up to here
+                        for i, w in enumerate(item):
+                            run = run + 1 if 0 <= place + i < len(words) and words[place + i] == w else 0
+                            if run >= width:
+                                covered.update(range(place + i + 1 - (width if run == width else 1), place + i + 1))
+                                if case["id"] is not None:
+                                    hit_items.add(case["id"])
                 hits.append(len(covered))
                 ids.append(sorted(hit_items))
             return [hits, ids]
@@ -243,14 +222,9 @@ def find_passages(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, Dat
 
     checked = map_texts(texts.join(cases, "doc_key").select("doc_key", F.struct("text", "cases").alias("cell")),
                         verify, "n_hit long, items array<string>", carry=("doc_key",), text="cell")
-    near = found.filter("size(near) > 0").groupBy("doc_key").agg(F.sum(F.size("near")).alias("n_near"))
+    near = found.filter("gap <> 0").groupBy("doc_key").agg(F.count("*").alias("n_near"))
     rows = (index.select("doc_key", "doc_id", "n_words").join(checked, "doc_key", "left").join(near, "doc_key", "left")
             .select("doc_key", "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
                     F.coalesce("items", F.array().cast("array<string>")).alias("items"),
                     F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near")))
-    return rows, named.select("doc_key", "item_id", "item_key", "starts", "near")
-
-
-def items_digest(items) -> str:
-    """sha256 of the ids, comma-joined."""
-    return hashlib.sha256(",".join(items).encode("utf-8")).hexdigest()
+    return rows, found.join(items.select("item_key", "item_id"), "item_key").select("doc_key", "item_id", "place", "gap")
