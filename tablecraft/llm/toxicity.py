@@ -84,7 +84,7 @@ def sigmoid(z: float) -> float:
 
 
 def fit_weights(rows: list[np.ndarray], labels: np.ndarray, prior: float, swaps: dict,
-                counterfactual: float = 10.0, l1: float = 2e-4, l2: float = 1e-4, steps: int = 400) -> Model:
+                counterfactual: float = 10.0, l1: float = 2e-5, l2: float = 1e-5, steps: int = 400) -> Model:
     """Proximal gradient for the weighted logistic loss + L1 + L2 + swapped-sentence penalty.
 
     rows: sorted distinct feature ids of each labelled text; prior: share of
