@@ -176,8 +176,9 @@ def _remaining_pairs(slots: DataFrame, sets: DataFrame) -> DataFrame:
     least P m / 100; so the smaller one's n - (first bound) + 1 rarest shingles
     and the larger one's m - (second bound) + 1 rarest have one in common
     (rarity counted among these documents, ties by hash).  Shingles that occur
-    once are never looked up, and a pair whose other shingles cannot reach the
-    bound is not listed.  What a large group has in common is frequent, so its
+    once are never looked up, and a pair is listed only where the shingles from
+    the common one on (``left`` of either set, in order of rarity) can reach the
+    bound, which holds at the first one that linked sets have in common.  What a large group has in common is frequent, so its
     members are not paired through it.
     """
     mixed = slots.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("band")
@@ -200,12 +201,13 @@ def _remaining_pairs(slots: DataFrame, sets: DataFrame) -> DataFrame:
     tokens = written(
         rows.filter("long > 0")
         .select("id", "n", "comp", "c", "short", F.posexplode(F.slice("shared", F.lit(1), F.col("long"))).alias("at", "t"))
-        .select("id", "n", "comp", "c", (F.col("at") < F.col("short")).alias("short"), F.col("t.s").alias("s")), "prefixes")
+        .select("id", "n", "comp", (F.col("c") - F.col("at")).alias("left"), (F.col("at") < F.col("short")).alias("short"),
+                F.col("t.s").alias("s")), "prefixes")
     small = tokens.filter("short").drop("short")
-    large = tokens.select("s", *[F.col(x).alias(f"{x}2") for x in ("id", "n", "comp", "c")])
+    large = tokens.select("s", *[F.col(x).alias(f"{x}2") for x in ("id", "n", "comp", "left")])
     return (small.join(large, (small["s"] == large["s"])
                        & F.expr("(n < n2 OR (n = n2 AND id < id2)) AND comp <> comp2")
-                       & F.expr(f"least(c, c2) * {100 + PERCENT} >= (n + n2) * {PERCENT}"))
+                       & F.expr(f"least(left, left2) * {100 + PERCENT} >= (n + n2) * {PERCENT}"))
             .select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct())
 
 
