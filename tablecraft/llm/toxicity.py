@@ -14,10 +14,12 @@ import zlib
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tablecraft.llm.common import letter_words, map_texts, share
+from tablecraft.llm.common import letter_words, map_texts, share, written
 
 #: Hashed feature space.
 BITS = 20
@@ -83,40 +85,27 @@ def sigmoid(z: float) -> float:
     return 1 / (1 + np.exp(-z)) if z >= 0 else np.exp(z) / (1 + np.exp(z))
 
 
-def fit_weights(rows: list[np.ndarray], labels: np.ndarray, prior: float, swaps: dict,
+def fit_weights(rows: list[np.ndarray], labels: np.ndarray, prior: float, swaps: dict, used: np.ndarray,
                 counterfactual: float = 10.0, l1: float = 2e-5, l2: float = 1e-5, steps: int = 400) -> Model:
     """Proximal gradient for the weighted logistic loss + L1 + L2 + swapped-sentence penalty.
 
-    rows: sorted distinct feature ids of each labelled text; prior: share of
-    label 1 among all labelled rows, which the sample is weighted back to;
-    swaps: (word, other word) -> sentences.
+    rows: distinct feature ids of each labelled text, all of them in ``used``
+    (sorted); prior: share of label 1 among all labelled rows, which the sample
+    is weighted back to; swaps: (word, other word) -> sentences.
     """
     n1, n = int(labels.sum()), len(labels)
     if not n1 or n1 == n:
         return Model({}, float(np.log((n1 + 1) / (n - n1 + 1))))
-    size = 1 << BITS
-    lengths = np.fromiter((len(r) for r in rows), np.int64, n)
-    ids = np.concatenate(rows)
-    on1 = np.bincount(ids[np.repeat(labels.astype(bool), lengths)], minlength=size)
-    on0 = np.bincount(ids, minlength=size) - on1
-    p = (on1 + on0) / n
-    with np.errstate(divide="ignore", invalid="ignore"):
-        z = (on1 / n1 - on0 / (n - n1)) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / (n - n1)))
-    used = (np.abs(np.nan_to_num(z)) >= 3) & (on1 + on0 >= 3)
+    k = len(used)
+    cols = np.searchsorted(used, np.concatenate(rows))
+    row_of = np.repeat(np.arange(n), np.fromiter((len(r) for r in rows), np.int64, n))
     marks = [(np.array(feature_ids(a.encode())), np.array(feature_ids(b.encode())), c) for (a, b), c in sorted(swaps.items())]
-    for a, b, _ in marks:
-        used[a] = used[b] = True
-    at = np.full(size, -1)
-    at[used] = np.arange(used.sum())
-    keep = used[ids]
-    cols, row_of = at[ids[keep]], np.repeat(np.arange(n), lengths)[keep]
-    k = int(used.sum())
     weight = np.where(labels == 1, prior / n1, (1 - prior) / (n - n1))
     total = max(sum(c for *_, c in marks), 1)
     diffs = np.zeros((len(marks), k)) if marks else None
     for i, (a, b, _) in enumerate(marks):
-        np.add.at(diffs[i], at[b], 1.0)
-        np.add.at(diffs[i], at[a], -1.0)
+        np.add.at(diffs[i], np.searchsorted(used, b), 1.0)
+        np.add.at(diffs[i], np.searchsorted(used, a), -1.0)
     share_of = np.array([c / total for *_, c in marks])
 
     def matvec(w):
@@ -145,8 +134,7 @@ def fit_weights(rows: list[np.ndarray], labels: np.ndarray, prior: float, swaps:
         tt = (1 + np.sqrt(1 + 4 * t * t)) / 2
         yw, yb = to + (t - 1) / tt * (to - w), tb + (t - 1) / tt * (tb - b)
         w, b, t = to, tb, tt
-    places = np.flatnonzero(used)
-    return Model({int(places[i]): float(w[i]) for i in np.flatnonzero(w)}, float(b))
+    return Model({int(used[i]): float(w[i]) for i in np.flatnonzero(w)}, float(b))
 
 
 def train(docs: DataFrame, labels: DataFrame, groups=IDENTITY_GROUPS, counterfactual: float = 10.0,
@@ -175,17 +163,43 @@ def train(docs: DataFrame, labels: DataFrame, groups=IDENTITY_GROUPS, counterfac
         return work
 
     rows = docs.select("doc_id", "text").join(picked, "doc_id")
-    table = map_texts(rows, setup, "feats binary, swaps array<struct<a: string, b: string>>", carry=("doc_id", "toxic"))
-    got = table.collect()  # bounded: the sample's feature ids
-    got.sort(key=lambda r: (r.doc_id, r.feats))
-    swaps: dict = {}
-    for r in got:
-        for s in r.swaps:
-            swaps[s.a, s.b] = swaps.get((s.a, s.b), 0) + 1
+    table = written(map_texts(rows, setup, "feats binary, swaps array<struct<a: string, b: string>>",
+                              carry=("doc_id", "toxic")), "sample")
+    swaps = {(r.a, r.b): r.n for r in table.select(F.explode("swaps").alias("s")).groupBy("s.a", "s.b")
+             .agg(F.count("*").alias("n")).collect()}  # at most the lexicon's pairs
+    telling = _telling_features(table)
+    used = np.unique(np.array([r.f for r in telling.collect()] + [i for pair in swaps for w in pair for i in feature_ids(w.encode())], np.int64))
+    known = share(docs.sparkSession, used)
+
+    def select():
+        return lambda packed: [[np.intersect1d(np.frombuffer(x, np.int32), known.value).astype(np.int32).tobytes() for x in packed]]
+
+    got = map_texts(table.select("doc_id", "toxic", "feats"), select, "kept binary", carry=("doc_id", "toxic"), text="feats").collect()
+    got.sort(key=lambda r: (r.doc_id, r.kept))  # bounded: the sample's telling features
     every = counts.get(1, 0) + counts.get(0, 0)
     prior = min(max(counts.get(1, 0) / every, 1e-6), 1 - 1e-6) if every else 0.5
-    return fit_weights([np.frombuffer(r.feats, np.int32) for r in got], np.array([r.toxic for r in got], float),
-                       prior, swaps, counterfactual)
+    return fit_weights([np.frombuffer(r.kept, np.int32) for r in got], np.array([r.toxic for r in got], float),
+                       prior, swaps, used, counterfactual)
+
+
+def _telling_features(table: DataFrame) -> DataFrame:
+    """``f``: features whose share differs between the classes by three standard errors or more."""
+    sizes = {r.toxic: r.n for r in table.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    n1, n0 = max(sizes.get(1, 0), 1), max(sizes.get(0, 0), 1)
+    out = T.StructType([T.StructField("f", T.IntegerType()), T.StructField("on1", T.LongType()), T.StructField("on0", T.LongType())])
+
+    def run(batches):
+        on = np.zeros((2, 1 << BITS), np.int64)
+        for batch in batches:
+            for toxic, feats in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                on[toxic][np.frombuffer(feats, np.int32)] += 1
+        f = np.flatnonzero(on.sum(0))
+        yield pa.RecordBatch.from_arrays([pa.array(f, pa.int32()), pa.array(on[1][f]), pa.array(on[0][f])], names=["f", "on1", "on0"])
+
+    p = (F.col("on1") + F.col("on0")) / (n1 + n0)
+    z = (F.col("on1") / n1 - F.col("on0") / n0) / F.sqrt(p * (1 - p) * (1 / n1 + 1 / n0))
+    return (table.select("toxic", "feats").mapInArrow(run, out).groupBy("f").agg(F.sum("on1").alias("on1"), F.sum("on0").alias("on0"))
+            .filter("on1 + on0 >= 3").filter((p < 1) & (F.abs(z) >= 3)).select("f"))
 
 
 def _scorer(model):
