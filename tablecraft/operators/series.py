@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-PAGEVIEW_SCHEMA = "project STRING, page STRING, monthly_total INT, hourly_counts STRING"
+PAGEVIEW_SCHEMA = "project STRING, page STRING, monthly_total BIGINT, hourly_counts STRING"
 
 
 def read_pageviews(spark: SparkSession, path) -> DataFrame:
@@ -22,9 +22,12 @@ def read_pageviews(spark: SparkSession, path) -> DataFrame:
 
 
 def day_views(daily) -> F.Column:
-    """Total views of one packed day: the digits after the first hour letter, summed."""
-    counts = F.split(F.substring(daily, 3, 1 << 30), r"\D").try_cast("array<int>")
-    return F.aggregate(F.filter(counts, lambda x: x.isNotNull()), F.lit(0).cast("long"), lambda acc, x: acc + x)
+    """Total views of one packed day: the digits after the first hour letter, summed.
+
+    A count beyond the long range is an error, never skipped.
+    """
+    counts = F.filter(F.split(F.substr(daily, F.lit(3)), r"\D"), lambda x: x != "")
+    return F.aggregate(counts, F.lit(0).cast("long"), lambda acc, x: acc + x.cast("long"))
 
 
 def mean_daily_views(df: DataFrame, project: str = "en.z", page: str = "Big_Data") -> DataFrame:

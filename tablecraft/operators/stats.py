@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKETS = None  # sized from the data by auto_buckets
-MIN_BUCKETS, MAX_BUCKETS = 256, 65_536
+MIN_BUCKETS = 256
 VALUES_PER_BUCKET = 1_000_000
 EXACT = "decimal(38,0)"
 
@@ -54,10 +54,9 @@ def _cols(cols) -> list[str]:
 
 # ------------------------------------------------------------------ running counts
 def buckets_for(n: int) -> int:
-    """Range count for ``n`` distinct values: about a million per range, 256 to 65,536."""
-    want = max(MIN_BUCKETS, -(-n // VALUES_PER_BUCKET))
+    """Range count for ``n`` distinct values: about a million per range, however many there are."""
     b = MIN_BUCKETS
-    while b < want and b < MAX_BUCKETS:
+    while b * VALUES_PER_BUCKET < n:
         b *= 2
     return b
 
@@ -72,22 +71,13 @@ def cumulative_counts(counts: DataFrame, value: str, count_cols: Sequence[str] |
     """Add ``before_<c>`` = sum of ``c`` over rows with the same keys and a smaller value.
 
     ``counts`` must hold one row per (keys, value).  With ``buckets=None`` the
-    table is counted first: up to ``VALUES_PER_BUCKET`` distinct values (a
-    proven bound, the same one each range obeys) run as one ordered window;
-    larger tables are cut into :func:`buckets_for` quantile ranges.
+    table is counted first and cut into :func:`buckets_for` quantile ranges;
+    tables of every size take this one path.
     """
     keys = _cols(keys)
     count_cols = _cols(count_cols)
     if buckets is None:
-        n = counts.count()
-        if n <= VALUES_PER_BUCKET:
-            below = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-            out = counts
-            for c in count_cols:
-                out = out.withColumn(f"before_{c}",
-                                     F.coalesce(F.sum(c).over(below), F.lit(0)).cast("long"))
-            return out
-        buckets = buckets_for(n)
+        buckets = auto_buckets(counts)
     bucketed = with_quantile_bucket(counts, value, buckets)
     inside = Window.partitionBy(*keys, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     for c in count_cols:
@@ -243,16 +233,11 @@ def spearman(df: DataFrame, x: str, y: str, buckets: int | None = DEFAULT_BUCKET
 
 def twice_midranks_of_weighted(pairs: DataFrame, value: str, buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """Twice the average rank of each distinct ``value`` (an integer), rows weighted by ``w``."""
-    counts = pairs.groupBy(value).agg(F.sum("w").alias("n"))
+    counts = materialize(pairs.groupBy(value).agg(F.sum("w").alias("n")))
     ranked = cumulative_counts(counts, value, "n", buckets=buckets)
     return ranked.select(value, (2 * F.col("before_n") + F.col("n") + 1).alias("r2"))
 
 
-def midranks_of_weighted(pairs: DataFrame, value: str, buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
-    return twice_midranks_of_weighted(pairs, value, buckets).select(
-        value, (F.col("r2") / 2.0).alias("midrank"))
-
-
 def spearman_mllib(df: DataFrame, x: str, y: str) -> float:
     """The MLlib form: ``Correlation.corr(method='spearman')`` (runs a job)."""
     from pyspark.ml.feature import VectorAssembler
@@ -289,24 +274,27 @@ def kruskal(df: DataFrame, value: str, group: str, buckets: int | None = DEFAULT
     """Kruskal-Wallis H (tie-corrected) over all groups: one row ``k, n, h``.
 
     Rank sums come from (value, group) cell counts joined to the value's
-    midrank; the tie term sum(t^3 - t) over values equals sum(c * (t^2 - 1))
+    doubled midrank, summed exactly; H adds up the groups' squared distances
+    from the mean rank, so no two nearly equal numbers are subtracted.  The tie term sum(t^3 - t) over values equals sum(c * (t^2 - 1))
     over cells, so everything is one pass over the per-group table.
     """
     data = df.select(F.col(value), F.col(group)).filter(F.col(value).isNotNull() & F.col(group).isNotNull())
     per_cell = materialize(data.groupBy(value, group).agg(F.count(F.lit(1)).alias("c")))
     ranks = cumulative_counts(per_cell.groupBy(value).agg(F.sum("c").alias("t")), value, "t",
                               buckets=buckets)
-    ranks = ranks.select(value, "t", (F.col("before_t") + (F.col("t") + 1) / 2.0).alias("midrank"))
+    ranks = ranks.select(value, "t", (2 * F.col("before_t") + F.col("t") + 1).alias("r2"))
     cells = per_cell.join(ranks, value)
     t = F.col("t").cast("double")
     per_group = cells.groupBy(group).agg(F.sum("c").cast("double").alias("ng"),
-                                         F.sum(F.col("c") * F.col("midrank")).alias("rg"),
+                                         (F.sum(F.col("c").cast(EXACT) * F.col("r2")).cast("double") / 2).alias("rg"),
                                          F.sum(F.col("c") * (t * t - 1.0)).alias("tie"))
-    agg = per_group.agg(F.count(F.lit(1)).alias("k"), F.sum("ng").alias("n"),
-                        F.sum(F.col("rg") * F.col("rg") / F.col("ng")).alias("s"),
-                        F.sum("tie").alias("tie"))
+    total = per_cell.agg(F.sum("c").cast("double").alias("n")).scalar()
+    away = F.col("rg") / F.col("ng") - (F.col("n_all") + 1.0) / 2
+    agg = per_group.withColumn("n_all", total).agg(
+        F.count(F.lit(1)).alias("k"), F.sum("ng").alias("n"),
+        F.sum(F.col("ng") * away * away).alias("s"), F.sum("tie").alias("tie"))
     n = F.col("n")
-    h = (12.0 / (n * (n + 1.0)) * F.col("s") - 3.0 * (n + 1.0))
+    h = 12.0 / (n * (n + 1.0)) * F.col("s")
     return agg.select("k", n.cast("long").alias("n"),
                       F.try_divide(h, 1.0 - F.col("tie") / (n * n * n - n)).alias("h"))
 
@@ -332,22 +320,22 @@ def levene(df: DataFrame, value: str, group: str, buckets: int | None = DEFAULT_
     """Brown-Forsythe / Levene W with median centring: one row ``k, n, w``.
 
     With per-group size n_g, mean deviation z_g and deviation variance v_g,
-    the between-group sum is sum(n_g z_g^2) - (sum n_g z_g)^2 / N, so one
-    aggregate over the per-group table finishes the statistic.
+    the between-group sum is sum(n_g (z_g - z)^2) around the overall mean z.
     """
     med = group_medians(df, value, group, buckets).select(group, "median")
     z = (df.select(F.col(value).cast("double").alias("_x"), F.col(group))
          .filter(F.col("_x").isNotNull() & F.col(group).isNotNull())
          .join(med, group)
          .select(group, F.abs(F.col("_x") - F.col("median")).alias("_z")))
-    per_group = z.groupBy(group).agg(F.count(F.lit(1)).cast("double").alias("ng"),
-                                     F.avg("_z").alias("zg"), F.var_pop("_z").alias("vg"))
-    agg = per_group.agg(F.count(F.lit(1)).alias("k"), F.sum("ng").alias("n"),
-                        F.sum(F.col("ng") * F.col("zg") * F.col("zg")).alias("a"),
-                        F.sum(F.col("ng") * F.col("zg")).alias("b"),
-                        F.sum(F.col("ng") * F.col("vg")).alias("within"))
+    per_group = materialize(z.groupBy(group).agg(F.count(F.lit(1)).cast("double").alias("ng"),
+                                                 F.avg("_z").alias("zg"), F.var_pop("_z").alias("vg")))
+    mean = per_group.agg((F.sum(F.col("ng") * F.col("zg")) / F.sum("ng")).alias("z")).scalar()
+    away = F.col("zg") - F.col("z_all")
+    agg = per_group.withColumn("z_all", mean).agg(
+        F.count(F.lit(1)).alias("k"), F.sum("ng").alias("n"),
+        F.sum(F.col("ng") * away * away).alias("between"), F.sum(F.col("ng") * F.col("vg")).alias("within"))
     k, n = F.col("k").cast("double"), F.col("n")
-    between = F.col("a") - F.col("b") * F.col("b") / n
+    between = F.col("between")
     return agg.select(F.col("k").cast("long").alias("k"), n.cast("long").alias("n"),
                       F.try_divide((n - k) * between, (k - 1.0) * F.col("within")).alias("w"))
 

@@ -63,7 +63,7 @@ TWEETS = """tweets AS (
     FROM events)"""
 
 TEXTS = """texts AS (
-    SELECT doc_id, lpad(CAST(doc_id AS VARCHAR), 5, '0') AS id, text AS value
+    SELECT doc_id, lpad(CAST(doc_id AS VARCHAR), CAST(greatest(5, length(CAST(doc_id AS VARCHAR))) AS INTEGER), '0') AS id, text AS value
     FROM documents)"""
 
 PAGEVIEWS = """pv_hour AS (
@@ -78,7 +78,7 @@ pv_day AS (
     FROM pv_hour
     GROUP BY file, month, page, day),
 pageviews AS (
-    SELECT 'en.z' AS project, page, CAST(sum(views) AS INTEGER) AS monthly_total,
+    SELECT 'en.z' AS project, page, CAST(sum(views) AS BIGINT) AS monthly_total,
            string_agg(packed, ',' ORDER BY day) || ',' AS hourly_counts
     FROM pv_day
     GROUP BY file, month, page)"""

@@ -83,35 +83,24 @@ _SHIPPED: set[str] = set()
 def ship_package(spark: SparkSession) -> None:
     """Make ``tablecraft`` importable in Python workers (what ``--py-files`` does).
 
-    Analyses with a Python UDF, ``mapInPandas`` or ``applyInPandas`` step send
-    functions that import ``tablecraft`` on the executors.  The package is
-    zipped once per application into the shared checkpoint folder and added
-    with ``addPyFile``, so every executor (and any replacement executor) gets
-    it from the same place.
+    Analyses with a Python step send functions that import ``tablecraft`` on
+    the executors.  The package's source is zipped once per application and
+    handed to Spark with ``addPyFile``: the driver serves it to every executor
+    and to any that replaces a lost one, whatever store the data is in.
     """
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
-    import hashlib
-    import io
+    import tempfile
     import zipfile
     from pathlib import Path
 
-    from pyarrow import fs as pafs
-
     pkg = Path(__file__).resolve().parent
-    buf = io.BytesIO()
-    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+    target = Path(tempfile.mkdtemp(prefix="tablecraft-")) / "tablecraft-src.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
         for f in sorted(pkg.rglob("*.py")):
             zf.write(f, f.relative_to(pkg.parent).as_posix())
-    data = buf.getvalue()
-    root = ensure_checkpoint_dir(spark)
-    target = f"{root}/tablecraft-pyfiles/tablecraft-{hashlib.sha1(data).hexdigest()[:12]}.zip"
-    filesystem, inner = pafs.FileSystem.from_uri(target if "://" in target else f"file://{target}")
-    filesystem.create_dir(inner.rsplit("/", 1)[0], recursive=True)
-    with filesystem.open_output_stream(inner, compression=None) as out:
-        out.write(data)
-    sc.addPyFile(target)
+    sc.addPyFile(str(target))
     _SHIPPED.add(sc.applicationId)
 
 

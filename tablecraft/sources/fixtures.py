@@ -94,11 +94,11 @@ def tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --------------------------------------------------------------------------- texts
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per book: ``value`` text and the five-digit file id."""
+    """One row per book: ``value`` text and the file id of five digits or more."""
     docs = read_table(spark, sf_dir, "documents")
     return docs.select(
         F.col("doc_id"),
-        F.lpad(_s(F.col("doc_id")), 5, "0").alias("id"),
+        F.lpad(_s(F.col("doc_id")), F.greatest(F.lit(5), F.length(_s(F.col("doc_id")))), F.lit("0")).alias("id"),
         F.col("text").alias("value"),
     )
 
@@ -133,7 +133,7 @@ def pageviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     per_month = (
         per_day.groupBy("file", "month", "page")
         .agg(F.sort_array(F.collect_list(F.struct("day", "packed"))).alias("days"),
-             F.sum("views").cast("int").alias("monthly_total"))
+             F.sum("views").alias("monthly_total"))
     )
     return per_month.select(
         F.lit("en.z").alias("project"),

@@ -3,33 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-SMALL_RESULT_ROWS = 100_000
-FILES_PER_VALUE = 8
 
+def cluster_for_partitioned_write(df: DataFrame, by) -> DataFrame:
+    """Rebalance rows on the partition columns, so each task writes few folders.
 
-def cluster_for_partitioned_write(df: DataFrame, by, files_per_value: int = FILES_PER_VALUE) -> DataFrame:
-    """Shuffle rows so each task writes few partition folders.
-
-    Rows are hashed on the partition columns plus a salt taken from a hash of
-    the whole row, so one partition value is spread over up to
-    ``files_per_value`` tasks (a value holding a third of the rows is still
-    split) and each task touches few folders (no small-file explosion).  The
-    salt is deterministic, so a retried task writes exactly the same rows.
+    Spark sizes the tasks from the measured bytes: small values share a task,
+    and a value holding a third of the rows is split over as many as it needs.
     """
     cols = [by] if isinstance(by, str) else list(by)
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(files_per_value))
-    return df.repartition(*[F.col(c) for c in cols], salt)
+    return df.hint("rebalance", *cols)
 
 
-def write_partitioned(df: DataFrame, path: str, by, mode: str = "overwrite",
-                      files_per_value: int | None = FILES_PER_VALUE) -> None:
+def write_partitioned(df: DataFrame, path: str, by, mode: str = "overwrite") -> None:
     """Parquet partitioned by ``by`` (one folder per value; readers prune them)."""
     cols = [by] if isinstance(by, str) else list(by)
-    if files_per_value:
-        df = cluster_for_partitioned_write(df, cols, files_per_value)
-    df.write.mode(mode).partitionBy(*cols).parquet(path)
+    cluster_for_partitioned_write(df, cols).write.mode(mode).partitionBy(*cols).parquet(path)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -39,14 +28,7 @@ def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> None
 
 def save_small_csv(df: DataFrame, path: str, limit: int | None = None,
                    mode: str = "overwrite") -> None:
-    """A small, already reduced result as one CSV file with a header.
-
-    Only bounded results may be funnelled into one file: the row count is
-    capped by ``limit`` when given, and checked against ``SMALL_RESULT_ROWS``
-    otherwise (the check is a count of the already reduced result).
-    """
+    """A small, already reduced result (or its first ``limit`` rows) as one CSV file with a header."""
     if limit is not None:
         df = df.limit(limit)
-    elif df.count() > SMALL_RESULT_ROWS:
-        raise ValueError("save_small_csv is for reduced results; write Parquet instead")
-    df.coalesce(1).write.mode(mode).option("header", True).csv(path)
+    df.repartition(1).write.mode(mode).option("header", True).csv(path)

@@ -77,15 +77,14 @@ def test_ks_one_sample(spark):
 
 
 def test_ship_package_once_per_application(spark):
-    import glob
     import zipfile
 
+    from pyspark import SparkFiles
+
     from tablecraft import session as SS
     SS._SHIPPED.discard(spark.sparkContext.applicationId)
     SS.ship_package(spark)
     SS.ship_package(spark)  # second call is a no-op
-    zips = glob.glob(f"{SS.checkpoint_root(spark)}/tablecraft-pyfiles/tablecraft-*.zip")
-    assert zips
-    names = zipfile.ZipFile(sorted(zips, key=lambda p: __import__("os").path.getmtime(p))[-1]).namelist()
+    names = zipfile.ZipFile(SparkFiles.get("tablecraft-src.zip")).namelist()
     assert "tablecraft/operators/ingest.py" in names and "tablecraft/plans/registry.py" in names
     assert spark.sparkContext.applicationId in SS._SHIPPED

@@ -78,3 +78,15 @@ def test_mean_word_length_sql_and_dataframe_agree(spark):
     assert a == b
     # 2000: word(4), ab(2), x(1); a1 dropped.  2001: abc(3), ''(0)
     assert a == [(2000, 7 / 3), (2001, 1.5)]
+
+
+def test_long_ids_and_large_counts_are_kept_whole(spark):
+    from tablecraft.operators.series import day_views
+    df = spark.createDataFrame([("AB99999999999C5",)], "d string")
+    assert df.select(day_views(F.col("d")).alias("v")).first()["v"] == 100_000_000_004
+
+
+def test_small_csv_has_no_row_limit(spark, tmp_path):
+    from tablecraft.sources.sinks import save_small_csv
+    save_small_csv(spark.range(100_001), str(tmp_path / "out"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "out")).count() == 100_001
