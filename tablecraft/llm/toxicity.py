@@ -2,8 +2,8 @@
 
 A sparse logistic model over the words (and word beginnings) of a text.  For
 every labelled sentence that names a group, the group's word is swapped for
-another of its kind, and the squared change of the score is part of the loss:
-weight that neutral group mentions would pick up from their company is taken
+another of its kind and for a word that names no group, and the squared change
+of the score is part of the loss: weight that neutral group mentions would pick up from their company is taken
 from them.
 """
 
@@ -45,7 +45,9 @@ _SENTENCE = re.compile(r"[.!?\n]+")
 
 
 def feature_ids(word: bytes) -> list[int]:
-    """Hashed features of one word: itself and its beginnings."""
+    """Hashed features of one word: itself and its beginnings; no word has none."""
+    if not word:
+        return []
     mask = (1 << BITS) - 1
     return [zlib.crc32(b"=" + word) & mask] + [zlib.crc32(b"^" + word[:n]) & mask for n in PREFIXES if len(word) >= n]
 
@@ -62,12 +64,13 @@ class _Features(dict):
 
 
 def identity_swaps(text: str, groups=IDENTITY_GROUPS) -> list[tuple[str, str]]:
-    """(word, word put in its place) of every sentence that names a group."""
+    """(word, word put in its place) of every sentence that names a group; "" is a word that names none."""
     kin = {w: g for g in groups for w in g}
     out = []
     for sentence in _SENTENCE.split(text.lower()):
         words = set(re.findall(r"[^\W\d_]+", sentence))
-        out += [(w, o) for w in sorted(words & kin.keys()) for o in kin[w] if o != w and o not in words]
+        for w in sorted(words & kin.keys()):
+            out += [(w, "")] + [(w, o) for o in kin[w] if o != w and o not in words]
     return out
 
 
@@ -86,7 +89,7 @@ def sigmoid(z: float) -> float:
 
 
 def fit_weights(rows: list[np.ndarray], labels: np.ndarray, prior: float, swaps: dict, used: np.ndarray,
-                counterfactual: float = 10.0, l1: float = 2e-5, l2: float = 1e-5, steps: int = 400) -> Model:
+                counterfactual: float = 3.0, l1: float = 2e-5, l2: float = 1e-5, steps: int = 400) -> Model:
     """Proximal gradient for the weighted logistic loss + L1 + L2 + swapped-sentence penalty.
 
     rows: distinct feature ids of each labelled text, all of them in ``used``
@@ -99,7 +102,7 @@ def fit_weights(rows: list[np.ndarray], labels: np.ndarray, prior: float, swaps:
     k = len(used)
     cols = np.searchsorted(used, np.concatenate(rows))
     row_of = np.repeat(np.arange(n), np.fromiter((len(r) for r in rows), np.int64, n))
-    marks = [(np.array(feature_ids(a.encode())), np.array(feature_ids(b.encode())), c) for (a, b), c in sorted(swaps.items())]
+    marks = [(np.array(feature_ids(a.encode()), int), np.array(feature_ids(b.encode()), int), c) for (a, b), c in sorted(swaps.items())]
     weight = np.where(labels == 1, prior / n1, (1 - prior) / (n - n1))
     total = max(sum(c for *_, c in marks), 1)
     diffs = np.zeros((len(marks), k)) if marks else None
@@ -137,7 +140,7 @@ def fit_weights(rows: list[np.ndarray], labels: np.ndarray, prior: float, swaps:
     return Model({int(used[i]): float(w[i]) for i in np.flatnonzero(w)}, float(b))
 
 
-def train(docs: DataFrame, labels: DataFrame, groups=IDENTITY_GROUPS, counterfactual: float = 10.0,
+def train(docs: DataFrame, labels: DataFrame, groups=IDENTITY_GROUPS, counterfactual: float = 3.0,
           sample_toxic: int = SAMPLE_TOXIC, sample_clean: int = SAMPLE_CLEAN) -> Model:
     """Fit on a bounded sample of ``labels`` (doc_id, toxic) and the texts of those ids.
 
