@@ -3,8 +3,8 @@
 A sparse logistic model over the words (and word beginnings) of a text.  For
 every labelled sentence that names a group, the group's word is swapped for
 another of its kind and for a word that names no group, and the squared change
-of the score is part of the loss: weight that neutral group mentions would pick up from their company is taken
-from them.
+of the score is part of the loss: weight that neutral group mentions would pick
+up from their company is taken from them.
 """
 
 from __future__ import annotations
