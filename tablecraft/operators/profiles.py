@@ -45,7 +45,7 @@ def mean_by(df: DataFrame, key: str = "PULocationID", value: str = "fare_amount"
 
 
 MEAN_BY_SQL = """
-    SELECT {key}, AVG({value}) AS `{name}`
+    SELECT {key}, {mean} AS `{name}`
     FROM {view}
     GROUP BY {key}
     ORDER BY {key}
@@ -53,10 +53,12 @@ MEAN_BY_SQL = """
 
 
 def mean_by_sql(df: DataFrame, key: str = "PULocationID", value: str = "fare_amount",
-                name: str = "mean fare amount", view: str = "trips") -> DataFrame:
+                name: str = "mean fare amount", view: str = "trips", exact_scale: int | None = None) -> DataFrame:
     """SQL form of :func:`mean_by` over a temporary view of ``df``."""
     df.createOrReplaceTempView(view)
-    return df.sparkSession.sql(MEAN_BY_SQL.format(key=key, value=value, name=name, view=view))
+    mean = f"avg({value})" if exact_scale is None else (
+        f"try_divide(CAST(sum(CAST({value} AS DECIMAL(38,{exact_scale}))) AS DOUBLE), CAST(count({value}) AS DOUBLE))")
+    return df.sparkSession.sql(MEAN_BY_SQL.format(key=key, mean=mean, name=name, view=view))
 
 
 def distinct_per_hour(df: DataFrame, ts: str = "lpep_pickup_datetime",
@@ -74,18 +76,22 @@ def distinct_per_hour(df: DataFrame, ts: str = "lpep_pickup_datetime",
 
 
 DISTINCT_PER_HOUR_SQL = """
-    SELECT date_format(date_trunc('hour', {ts}), 'yyyy-MM-dd HH:mm:ss') AS pickup_hour,
-           sort_array(collect_set({value}), TRUE) AS pickup_locations
-    FROM {view}
-    GROUP BY pickup_hour
-    ORDER BY pickup_hour
+    WITH hourly AS (
+        SELECT date_trunc('hour', {ts}) AS bucket, collect_set({value}) AS found
+        FROM {view}
+        GROUP BY 1)
+    SELECT date_format(bucket, 'yyyy-MM-dd HH:mm:ss') AS pickup_hour, array_sort(found) AS pickup_locations
+    FROM hourly
+    ORDER BY bucket
 """
 
 CREATION_YEARS_SQL = """
-    SELECT TRY_CAST(SUBSTRING(user.created_at, -4, 4) AS INT) AS year,
-           COUNT(DISTINCT user.id) AS frequency
-    FROM {view}
-    WHERE created_at IS NOT NULL
+    WITH accounts AS (
+        SELECT DISTINCT user.id AS account, try_cast(right(user.created_at, 4) AS INT) AS year
+        FROM {view}
+        WHERE created_at IS NOT NULL)
+    SELECT year, count(account) AS frequency
+    FROM accounts
     GROUP BY year
     ORDER BY frequency DESC, year
 """
@@ -93,7 +99,7 @@ CREATION_YEARS_SQL = """
 
 def distinct_per_hour_sql(df: DataFrame, ts: str = "lpep_pickup_datetime",
                           value: str = "PULocationID", view: str = "trips") -> DataFrame:
-    """SQL form of :func:`distinct_per_hour` (GROUP BY a select alias)."""
+    """SQL form of :func:`distinct_per_hour` (group on the hour, format once per group)."""
     df.createOrReplaceTempView(view)
     return df.sparkSession.sql(DISTINCT_PER_HOUR_SQL.format(ts=ts, value=value, view=view))
 
@@ -119,9 +125,10 @@ def pair_key(a: str = "PULocationID", b: str = "DOLocationID") -> Column:
 
 def pair_count_by_hour(df: DataFrame, ts: str = "lpep_pickup_datetime",
                        a: str = "PULocationID", b: str = "DOLocationID") -> DataFrame:
-    """Distinct ``a-b`` pairs per hour of day."""
-    return (df.select(F.hour(ts).alias("hour"), pair_key(a, b).alias("pudo"))
-            .groupBy("hour").agg(F.countDistinct("pudo").alias("pairs"))
+    """Distinct ``a-b`` pairs per hour of day, told apart as :func:`pair_key` does (a null side is left out)."""
+    both = F.struct(F.coalesce(a, b).alias("x"), F.when(F.col(a).isNotNull(), F.col(b)).alias("y"))
+    return (df.select(F.hour(ts).alias("hour"), both.alias("pair"))
+            .groupBy("hour").agg(F.countDistinct("pair").alias("pairs"))
             .orderBy("hour"))
 
 

@@ -9,8 +9,7 @@ window:
 2. distinct values are cut into ``buckets`` ranges by approximate quantiles
    (one scalar subquery), so each window partition holds ~1/buckets of them;
    the range count grows with the data (about a million distinct values per
-   range, 256 to 65,536 ranges); a table of at most a million distinct values
-   (counted first) needs no ranges and runs as one ordered window;
+   range, at least 256 ranges); tables of every size take this path;
 3. a running sum inside each range plus the total of all lower ranges (a table
    of at most ``buckets`` rows per key) gives the count below each value.
 
@@ -300,11 +299,13 @@ def kruskal(df: DataFrame, value: str, group: str, buckets: int | None = DEFAULT
 
 
 # ----------------------------------------------------------------------- Levene
-def group_medians(df: DataFrame, value: str, group: str, buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
-    """Exact median per group from running counts (no per-group value lists)."""
-    counts = materialize(df.select(F.col(value).cast("double").alias(value), F.col(group))
-                         .filter(F.col(value).isNotNull() & F.col(group).isNotNull())
-                         .groupBy(group, value).agg(F.count(F.lit(1)).alias("c")))
+def _group_value_counts(df: DataFrame, value: str, group: str) -> DataFrame:
+    return materialize(df.select(F.col(value).cast("double").alias(value), F.col(group))
+                       .filter(F.col(value).isNotNull() & F.col(group).isNotNull())
+                       .groupBy(group, value).agg(F.count(F.lit(1)).alias("c")))
+
+
+def _medians_of_counts(counts: DataFrame, value: str, group: str, buckets: int | None) -> DataFrame:
     ranked = cumulative_counts(counts, value, "c", keys=[group], buckets=buckets)
     sizes = counts.groupBy(group).agg(F.sum("c").alias("ng"))
     lo_pos = F.floor((F.col("ng") + 1) / 2)
@@ -316,28 +317,35 @@ def group_medians(df: DataFrame, value: str, group: str, buckets: int | None = D
             .agg(F.avg(value).alias("median"), F.first("ng").alias("ng")))
 
 
+def group_medians(df: DataFrame, value: str, group: str, buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
+    """Exact median per group from running counts (no per-group value lists)."""
+    return _medians_of_counts(_group_value_counts(df, value, group), value, group, buckets)
+
+
 def levene(df: DataFrame, value: str, group: str, buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """Brown-Forsythe / Levene W with median centring: one row ``k, n, w``.
 
-    With per-group size n_g, mean deviation z_g and deviation variance v_g,
-    the between-group sum is sum(n_g (z_g - z)^2) around the overall mean z.
+    The source is read once, into one weighted row per (group, value); the
+    deviations are taken from that table.  With per-group size n_g and mean
+    deviation z_g, the between-group sum is sum(n_g (z_g - z)^2) around the
+    overall mean z, the within-group sum is sum(c (z_i - z_g)^2).
     """
-    med = group_medians(df, value, group, buckets).select(group, "median")
-    z = (df.select(F.col(value).cast("double").alias("_x"), F.col(group))
-         .filter(F.col("_x").isNotNull() & F.col(group).isNotNull())
-         .join(med, group)
-         .select(group, F.abs(F.col("_x") - F.col("median")).alias("_z")))
-    per_group = materialize(z.groupBy(group).agg(F.count(F.lit(1)).cast("double").alias("ng"),
-                                                 F.avg("_z").alias("zg"), F.var_pop("_z").alias("vg")))
-    mean = per_group.agg((F.sum(F.col("ng") * F.col("zg")) / F.sum("ng")).alias("z")).scalar()
+    counts = _group_value_counts(df, value, group)
+    med = _medians_of_counts(counts, value, group, buckets).select(group, "median")
+    c = F.col("c").cast("double")
+    z = counts.join(med, group).select(group, c.alias("_c"), F.abs(F.col(value) - F.col("median")).alias("_z"))
+    means = materialize(z.groupBy(group).agg(F.sum("_c").alias("ng"),
+                                             (F.sum(F.col("_c") * F.col("_z")) / F.sum("_c")).alias("zg")))
+    spread = (z.join(means.select(group, "zg"), group).select(group, "_c", (F.col("_z") - F.col("zg")).alias("_d"))
+              .groupBy(group).agg(F.sum(F.col("_c") * F.col("_d") * F.col("_d")).alias("within")))
+    mean = means.agg((F.sum(F.col("ng") * F.col("zg")) / F.sum("ng")).alias("z")).scalar()
     away = F.col("zg") - F.col("z_all")
-    agg = per_group.withColumn("z_all", mean).agg(
+    agg = means.withColumn("z_all", mean).join(spread, group).agg(
         F.count(F.lit(1)).alias("k"), F.sum("ng").alias("n"),
-        F.sum(F.col("ng") * away * away).alias("between"), F.sum(F.col("ng") * F.col("vg")).alias("within"))
+        F.sum(F.col("ng") * away * away).alias("between"), F.sum("within").alias("within"))
     k, n = F.col("k").cast("double"), F.col("n")
-    between = F.col("between")
     return agg.select(F.col("k").cast("long").alias("k"), n.cast("long").alias("n"),
-                      F.try_divide((n - k) * between, (k - 1.0) * F.col("within")).alias("w"))
+                      F.try_divide((n - k) * F.col("between"), (k - 1.0) * F.col("within")).alias("w"))
 
 
 # ------------------------------------------------------------------ p-value helpers

@@ -73,15 +73,7 @@ def q_mean_by(spark, sf):
 
 @register("mean_by_sql")
 def q_mean_by_sql(spark, sf):
-    view = view_name("trips")
-    FX.trips(spark, sf).createOrReplaceTempView(view)
-    return spark.sql(f"""
-        SELECT PULocationID,
-               try_divide(CAST(SUM(CAST(fare_amount AS DECIMAL(38,2))) AS DOUBLE),
-                          CAST(COUNT(fare_amount) AS DOUBLE)) AS `mean fare amount`
-        FROM {view}
-        GROUP BY PULocationID
-        ORDER BY PULocationID""")
+    return P.mean_by_sql(FX.trips(spark, sf), view=view_name("trips"), exact_scale=2)
 
 
 @register("distinct_per_hour")

@@ -182,8 +182,6 @@ def crawl_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- flows
-FLOW_FEATURES = ("Fwd Mean", "Fwd Std", "Bwd Mean")
-
 
 def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All-string network flow rows from ``lineitem`` with repeated header rows.
@@ -234,6 +232,7 @@ def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # -------------------------------------------------------------------------- papers
+# Fixed value: the author record of the paper schema.
 AUTHOR_TYPE = (
     "struct<first:string,middle:array<string>,last:string,suffix:string,email:string,"
     "affiliation:struct<institution:string,laboratory:string,"
@@ -277,7 +276,8 @@ def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
     Order keys and author lines are unioned and grouped once by key (one
     shuffle, no join): keys that come only from line items are dropped, so this
     equals ``orders LEFT JOIN lines``.  An order without line items gets an
-    empty author list.  The per-order list is bounded (at most seven lines).
+    empty author list.  The per-order list
+    holds the order's lines (17 at most at sf0.1) and grows with the order.
     Orders whose key is a multiple of 101 carry null metadata.
     """
     lines = paper_authors(spark, sf_dir).select(
