@@ -2,14 +2,19 @@
 tar.gz archives of JSON documents to rows.
 
 Archives are streamed member by member inside executor tasks (one archive per
-task, memory bounded by one member), never downloaded to the driver.  Bad
-members become rows with an ``error`` instead of failing the job.
+task; memory holds one member and a batch of at most ``BATCH_BYTES``), never
+downloaded to the driver.  An archive with a broken format gives an ``error``
+row; a storage error fails the task, so Spark tries it again.
 """
 
 from __future__ import annotations
 
+import gzip
 import tarfile
+import uuid
+import zlib
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +24,12 @@ from tablecraft.sources.fixtures import PAPER_SCHEMA
 from tablecraft.sources.sinks import write_partitioned
 
 ARCHIVE_ROW_SCHEMA = "path string, member string, doc string, error string"
-BATCH_ROWS = 512
+ARCHIVE_COUNT_SCHEMA = "path string, members long, complete boolean, error string"
+BATCH_BYTES = 8 << 20
+#: Faults of an archive's own format; anything else is a storage error.
+BAD_FORMAT = (tarfile.TarError, gzip.BadGzipFile, zlib.error, EOFError)
+#: Hadoop names of stores that Arrow knows by another name.
+ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3"}
 
 
 # ------------------------------------------------------------------- JSON drops
@@ -55,51 +65,84 @@ def csv_to_partitioned(spark: SparkSession, src, out: str, by: str,
 
 
 # ---------------------------------------------------------------------- archives
-def _open_stream(path: str):
-    """Open a file URI for streaming reads (local, HDFS, S3 via pyarrow.fs)."""
+def _filesystem(path: str):
+    """Arrow file system and inner path of a Hadoop-style URI."""
     from pyarrow import fs as pafs
-    filesystem, inner = pafs.FileSystem.from_uri(path)
-    return filesystem.open_input_stream(inner, compression=None)
+    scheme, colon, rest = path.partition(":")
+    return pafs.FileSystem.from_uri(ARROW_SCHEMES.get(scheme, scheme) + colon + rest)
+
+
+@contextmanager
+def _open_archive(path: str):
+    """The members of a tar.gz, streamed; the end of the compressed data is checked on leaving."""
+    filesystem, inner = _filesystem(path)
+    with filesystem.open_input_stream(inner, compression=None) as raw, gzip.GzipFile(fileobj=raw) as data:
+        with tarfile.open(fileobj=data, mode="r|") as tar:
+            yield tar
+        while data.read(1 << 20):
+            pass
 
 
 def _archive_members(suffixes: tuple[str, ...]):
+    columns = ["path", "member", "doc", "error"]
+
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for path in pdf["path"]:
-                rows: list[tuple] = []
-                try:
-                    with _open_stream(path) as raw, tarfile.open(fileobj=raw, mode="r|gz") as tar:
-                        for member in tar:
-                            if not member.isfile() or (suffixes and not member.name.endswith(suffixes)):
-                                continue
-                            try:
-                                data = tar.extractfile(member).read()
-                                rows.append((path, member.name, data.decode("utf-8"), None))
-                            except Exception as exc:  # unreadable member → error row
-                                rows.append((path, member.name, None, f"{type(exc).__name__}: {exc}"))
-                            if len(rows) >= BATCH_ROWS:
-                                yield pd.DataFrame(rows, columns=["path", "member", "doc", "error"])
-                                rows = []
-                except Exception as exc:  # broken archive → one error row
-                    rows.append((path, None, None, f"{type(exc).__name__}: {exc}"))
-                if rows:
-                    yield pd.DataFrame(rows, columns=["path", "member", "doc", "error"])
+        for path in (p for pdf in batches for p in pdf["path"]):
+            rows: list[tuple] = []
+            held = 0
+            try:
+                with _open_archive(path) as tar:
+                    for member in tar:
+                        if not member.isfile() or (suffixes and not member.name.endswith(suffixes)):
+                            continue
+                        data = tar.extractfile(member).read()
+                        try:
+                            rows.append((path, member.name, data.decode("utf-8"), None))
+                        except UnicodeDecodeError as exc:  # member that is no text
+                            rows.append((path, member.name, None, f"{type(exc).__name__}: {exc}"))
+                        held += len(data)
+                        if held >= BATCH_BYTES:
+                            yield pd.DataFrame(rows, columns=columns)
+                            rows, held = [], 0
+            except BAD_FORMAT as exc:  # broken or cut archive: one error row after what was read
+                rows.append((path, None, None, f"{type(exc).__name__}: {exc}"))
+            if rows:
+                yield pd.DataFrame(rows, columns=columns)
     return read
 
 
+def _count_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        for path in pdf["path"]:
+            members, error = 0, None
+            try:
+                with _open_archive(path) as tar:
+                    for member in tar:
+                        members += member.isfile()
+            except BAD_FORMAT as exc:
+                error = f"{type(exc).__name__}: {exc}"
+            yield pd.DataFrame([(path, members, error is None, error)],
+                               columns=["path", "members", "complete", "error"])
+
+
+def _archive_listing(spark: SparkSession, glob: str) -> DataFrame:
+    """Paths of the archives, one per task.
+
+    Listed with the ``binaryFile`` source reading only ``path`` (the content
+    column is pruned).  Range partitioning on distinct paths gives each archive
+    its own task (hash partitioning would pair some and leave tasks idle).
+    """
+    listing = spark.read.format("binaryFile").load(glob).select("path")
+    return listing.repartitionByRange(max(1, listing.count()), "path")
+
+
 def archive_members(spark: SparkSession, glob: str,
                     suffixes: tuple[str, ...] = (".json", ".jsonl")) -> DataFrame:
     """One row per archive member: ``path, member, doc, error``.
 
-    Archives are listed with the ``binaryFile`` source reading only ``path``
-    (the content column is pruned), spread one per task, and streamed.
+    A broken or cut archive adds a row with only ``path`` and ``error``.
     """
-    listing = spark.read.format("binaryFile").load(glob).select("path")
-    n = max(1, listing.count())
-    # Range partitioning on distinct paths gives each archive its own task
-    # (hash partitioning would pair some archives and leave tasks idle).
-    return (listing.repartitionByRange(n, "path")
-            .mapInPandas(_archive_members(suffixes), schema=ARCHIVE_ROW_SCHEMA))
+    return _archive_listing(spark, glob).mapInPandas(_archive_members(suffixes), schema=ARCHIVE_ROW_SCHEMA)
 
 
 def read_archives(spark: SparkSession, glob: str, schema: str = PAPER_SCHEMA,
@@ -123,15 +166,15 @@ ARCHIVE_WRITE_SCHEMA = "archive string, members long"
 def _archive_writer(root: str):
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import io
-        from pyarrow import fs as pafs
-        filesystem, base = pafs.FileSystem.from_uri(root)
+        filesystem, base = _filesystem(root)
         filesystem.create_dir(base, recursive=True)
-        current, stream, tar, count, done = None, None, None, 0, []
+        current, part, stream, tar, count, done = None, None, None, None, 0, []
 
         def close():
             if tar is not None:
                 tar.close()
                 stream.close()
+                filesystem.move(part, f"{base}/{current}")
                 done.append((current, count))
 
         for pdf in batches:
@@ -139,7 +182,8 @@ def _archive_writer(root: str):
                 if name != current:
                     close()
                     current, count = name, 0
-                    stream = filesystem.open_output_stream(f"{base}/{name}", compression=None)
+                    part = f"{base}/{name}.{uuid.uuid4().hex}.part"
+                    stream = filesystem.open_output_stream(part, compression=None)
                     tar = tarfile.open(fileobj=stream, mode="w|gz", compresslevel=1)
                 data = (doc or "").encode("utf-8")
                 info = tarfile.TarInfo(member)
@@ -157,7 +201,8 @@ def pack_archives(df: DataFrame, root: str, archive, member, doc) -> DataFrame:
 
     Rows are shuffled by archive name and sorted by member, so each archive is
     written by exactly one task, member by member (memory holds one member).
-    File names and contents are deterministic, so a retried task rewrites the
+    Each attempt writes under a name of its own and renames when the archive is
+    whole; names and contents are deterministic, so a retried task ends with the
     same archive.  Runs when the returned frame is evaluated.
     """
     rows = df.select(archive.alias("archive"), member.alias("member"), doc.alias("doc"))
@@ -165,10 +210,13 @@ def pack_archives(df: DataFrame, root: str, archive, member, doc) -> DataFrame:
             .mapInPandas(_archive_writer(root), schema=ARCHIVE_WRITE_SCHEMA))
 
 
-def archive_counts(members: DataFrame) -> DataFrame:
-    """Members per archive (error rows for whole broken archives excluded)."""
-    return (members.filter(F.col("member").isNotNull())
-            .groupBy("path").agg(F.count(F.lit(1)).alias("members")))
+def archive_counts(spark: SparkSession, glob: str) -> DataFrame:
+    """``path, members, complete, error``: every file member of each archive, whatever its name.
+
+    Only member headers are looked at.  ``complete`` is false where the archive
+    is broken or cut short; ``members`` then counts what could be read.
+    """
+    return _archive_listing(spark, glob).mapInPandas(_count_members, schema=ARCHIVE_COUNT_SCHEMA)
 
 
 def count_files(spark: SparkSession, glob: str) -> DataFrame:

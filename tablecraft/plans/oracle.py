@@ -467,6 +467,11 @@ adv AS (SELECT win_type,
                CAST(bit_count(tower_status_radiant) - bit_count(tower_status_dire) AS INTEGER) AS tower_adv_radiant
         FROM cleaned),""" + _hist_sql("adv", "tower_adv_radiant", 20, "win_type")
 
+    q["advantage_hist_barracks"] = with_(MATCHES, CLEANED) + """,
+adv AS (SELECT win_type,
+               CAST(bit_count(barracks_status_radiant) - bit_count(barracks_status_dire) AS INTEGER) AS barracks_adv_radiant
+        FROM cleaned),""" + _hist_sql("adv", "barracks_adv_radiant", 20, "win_type")
+
     match_cols = ("match_id", "start_time", "radiant_win", "duration", "first_blood_time",
                   "tower_status_radiant", "tower_status_dire", "barracks_status_radiant",
                   "barracks_status_dire", "game_mode", "human_players", "lobby_type",
@@ -500,8 +505,10 @@ ORDER BY count DESC, country LIMIT 10"""
     q["merge_drops"] = """
 SELECT count(*) AS rows, count(*) FILTER (WHERE o_orderkey % 101 <> 0) AS non_null FROM orders"""
     q["archive_counts"] = """
-SELECT 'day-' || CAST(o_orderkey % 5 AS VARCHAR) || '.tar.gz' AS archive, count(*) AS members
+SELECT 'papers-' || CAST(o_orderkey // 1000 AS VARCHAR) || '.tar.gz' AS archive, count(*) AS members, TRUE AS complete
 FROM orders GROUP BY 1"""
+    q["archive_files"] = """
+SELECT count(DISTINCT o_orderkey // 1000) AS files, TRUE AS any_bytes FROM orders"""
     q["archive_rows"] = """
 WITH n AS (SELECT l_orderkey, count(*) AS c FROM lineitem GROUP BY 1)
 SELECT 'paper-' || CAST(o_orderkey AS VARCHAR) || '.json' AS member,
@@ -511,6 +518,8 @@ SELECT 'paper-' || CAST(o_orderkey AS VARCHAR) || '.json' AS member,
 FROM orders LEFT JOIN n ON n.l_orderkey = o_orderkey"""
     for name in ("distinct_per_hour", "top_users", "top_tags", "token_counts", "creation_years"):
         q[f"{name}_sql"] = q[name]
+    q["daily_views_dump"] = q["daily_views"]
+    q["crawl_hours_lines"] = q["crawl_hours"]
     return q
 
 

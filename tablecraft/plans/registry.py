@@ -21,9 +21,10 @@ from tablecraft.operators import profiles as P
 from tablecraft.operators import rankings as R
 from tablecraft.operators import stats as S
 from tablecraft.operators import text as T
-from tablecraft.operators.series import mean_daily_views
+from tablecraft.operators.series import mean_daily_views, read_pageviews
 from tablecraft.session import ensure_checkpoint_dir, pin_utc, scratch_path, ship_package
 from tablecraft.sources import fixtures as FX
+from tablecraft.sources.readers import read_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -223,6 +224,14 @@ def q_daily_views(spark, sf):
     return mean_daily_views(FX.pageviews(spark, sf), "en.z", "view")
 
 
+@register("daily_views_dump")
+def q_daily_views_dump(spark, sf):
+    path = scratch_path(spark, "pageviews-dump")
+    dump = FX.pageviews(spark, sf)
+    dump.select(F.concat_ws(" ", *[F.col(c).cast("string") for c in dump.columns])).write.text(path)
+    return mean_daily_views(read_pageviews(spark, path), "en.z", "view")
+
+
 @register("word_length_by_year")
 def q_word_length_by_year(spark, sf):
     return T.mean_word_length(FX.ngrams(spark, sf))
@@ -243,6 +252,13 @@ def q_crawl_hours(spark, sf):
     return P.crawl_hours(FX.crawl_lines(spark, sf))
 
 
+@register("crawl_hours_lines")
+def q_crawl_hours_lines(spark, sf):
+    path = scratch_path(spark, "crawl-lines")
+    FX.crawl_lines(spark, sf).write.text(path)
+    return P.crawl_hours(read_lines(spark, path))
+
+
 @register("chance_criterion")
 def q_chance_criterion(spark, sf):
     return S.chance_criterion(FX.flows(spark, sf))
@@ -321,6 +337,12 @@ def q_advantage_hist(spark, sf):
     return P.histogram(adv, "tower_adv_radiant", 20, by="win_type")
 
 
+@register("advantage_hist_barracks")
+def q_advantage_hist_barracks(spark, sf):
+    adv = M.with_advantages(_cleaned(spark, sf))
+    return P.histogram(adv, "barracks_adv_radiant", 20, by="win_type")
+
+
 @register("null_profile")
 def q_null_profile(spark, sf):
     return P.null_profile(FX.matches(spark, sf))
@@ -378,14 +400,19 @@ def q_merge_drops(spark, sf):
 
 
 # -------------------------------------------------------------------- archives
+#: Paper ids per archive, so the number of archives grows with the table.
+IDS_PER_ARCHIVE = 1000
+
+
 def _paper_archives(spark, sf):
-    """Pack every paper as a JSON member into five day archives; return the glob."""
+    """Pack every paper as a JSON member into archives of consecutive ids; return the glob."""
     from tablecraft.operators.ingest import pack_archives
     root = scratch_path(spark, "paper-archives")
     papers = FX.papers(spark, sf)
     written = pack_archives(
         papers, root,
-        archive=F.concat(F.lit("day-"), (F.col("paper_id") % 5).cast("string"), F.lit(".tar.gz")),
+        archive=F.concat(F.lit("papers-"), F.floor(F.col("paper_id") / IDS_PER_ARCHIVE).cast("string"),
+                         F.lit(".tar.gz")),
         member=F.concat(F.lit("paper-"), F.col("paper_id").cast("string"), F.lit(".json")),
         doc=F.to_json(F.struct("metadata")))
     written.write.format("noop").mode("overwrite").save()
@@ -402,9 +429,15 @@ def q_archive_rows(spark, sf):
 
 @register("archive_counts")
 def q_archive_counts(spark, sf):
-    from tablecraft.operators.ingest import archive_counts, archive_members
-    counts = archive_counts(archive_members(spark, _paper_archives(spark, sf)))
-    return counts.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("archive"), "members")
+    from tablecraft.operators.ingest import archive_counts
+    counts = archive_counts(spark, _paper_archives(spark, sf))
+    return counts.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("archive"), "members", "complete")
+
+
+@register("archive_files")
+def q_archive_files(spark, sf):
+    from tablecraft.operators.ingest import count_files
+    return count_files(spark, _paper_archives(spark, sf)).select("files", (F.col("bytes") > 0).alias("any_bytes"))
 
 
 # ------------------------------------------------------------------- SQL forms

@@ -2,8 +2,10 @@
 
 import io
 import json
+import random
 import tarfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from tablecraft.operators import ingest as I
@@ -37,14 +39,32 @@ def test_archives_to_rows_and_counts(spark, tmp_path):
     assert ("d/p1.json", None) in got and ("d/bad.json", "malformed json") in got
     assert not any(m == "d/readme.txt" for m, _ in got)
     assert any(m is None and e for m, e in got)  # broken archive → one error row
-    counts = {r["path"].rsplit("/", 1)[-1]: r["members"] for r in I.archive_counts(rows).collect()}
-    assert counts == {"day1.tar.gz": 2, "day3.tar.gz": 2}
+    counts = {r["path"].rsplit("/", 1)[-1]: (r["members"], r["complete"])
+              for r in I.archive_counts(spark, str(tmp_path / "*.tar.gz")).collect()}
+    assert counts == {"day1.tar.gz": (3, True), "day3.tar.gz": (2, True), "broken.tar.gz": (0, False)}
     titles = sorted(r["title"] for r in rows.filter(F.col("error").isNull()).select("metadata.title").collect())
     assert titles == ["one", "three", "two"]
     files = I.count_files(spark, str(tmp_path / "*.tar.gz")).first()
     assert files["files"] == 3 and files["bytes"] > 0
 
 
+def test_cut_archive_is_flagged_and_missing_file_fails(spark, tmp_path):
+    rng = random.Random(1)
+    _tar(tmp_path / "whole.tar.gz", [(f"p{i}.json", rng.randbytes(400).hex().encode()) for i in range(500)])
+    data = (tmp_path / "whole.tar.gz").read_bytes()
+    (tmp_path / "cut.tar.gz").write_bytes(data[:len(data) // 2])
+    (tmp_path / "tail.tar.gz").write_bytes(data[:-4])
+    counts = {r["path"].rsplit("/", 1)[-1]: r for r in I.archive_counts(spark, str(tmp_path / "*.tar.gz")).collect()}
+    assert counts["whole.tar.gz"]["members"] == 500 and counts["whole.tar.gz"]["complete"]
+    assert 0 < counts["cut.tar.gz"]["members"] < 500 and not counts["cut.tar.gz"]["complete"]
+    assert not counts["tail.tar.gz"]["complete"]
+    rows = I.archive_members(spark, str(tmp_path / "cut.tar.gz"))
+    assert rows.filter("member IS NULL AND error IS NOT NULL").count() == 1
+    gone = spark.createDataFrame([(f"{(tmp_path / 'gone.tar.gz').as_uri()}",)], "path string")
+    with pytest.raises(Exception, match="gone.tar.gz"):
+        gone.mapInPandas(I._count_members, schema=I.ARCHIVE_COUNT_SCHEMA).collect()
+
+
 def test_merge_drops_round_trip(spark, tmp_path):
     for i, (title, cs) in enumerate([("a", ["X"]), ("b", ["Y"])]):
         d = tmp_path / f"drop{i}"
