@@ -10,6 +10,8 @@ re-run on the same data gives the same train/test rows on any partitioning.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import RandomForestClassifier
@@ -80,14 +82,18 @@ def tune_forest(df: DataFrame, features: Sequence[str] | None = None, label: str
     """Scale + index + random forest, depth chosen by k-fold CV on accuracy.
 
     Returns rows ``(param, value)``: the best forest's parameters and a final
-    ``test_accuracy`` row.  Repeated header rows (``label == header_value``)
+    ``test_accuracy`` row and
+    ``dropped_rows``, the rows with an unreadable feature or no label.  Repeated header rows (``label == header_value``)
     are dropped; numeric text is read with ``try_cast``.
     """
     spark = df.sparkSession
     feats = list(features) if features else feature_columns(df)
     data = df.filter(F.col(label) != header_value) if header_value is not None else df
     data = data.select(*[F.col(f"`{c}`").try_cast("double").alias(c) for c in feats],
-                       F.col(label).alias("Label")).dropna()
+                       F.col(label).alias("Label"))
+    incomplete = reduce(or_, [F.col(f"`{c}`").isNull() for c in [*feats, "Label"]])
+    dropped = data.filter(incomplete).count()
+    data = data.dropna()
     train, test = split_by_hash(data, train_share, *feats, "Label", seed=seed)
     train, test = train.cache(), test.cache()
     try:
@@ -109,6 +115,7 @@ def tune_forest(df: DataFrame, features: Sequence[str] | None = None, label: str
         best = model.bestModel.stages[-1]
         rows = [(p.name, str(v)) for p, v in sorted(best.extractParamMap().items(), key=lambda kv: kv[0].name)]
         rows.append(("test_accuracy", repr(float(accuracy))))
+        rows.append(("dropped_rows", str(dropped)))
     finally:
         train.unpersist()
         test.unpersist()
@@ -157,7 +164,7 @@ def recommend(df: DataFrame, user: str, item: str, rating: str, rank: int = 10,
 
 
 def linear_classifier(df: DataFrame, features: Sequence[str], label: str, kind: str = "logistic"):
-    """Logistic regression, linear SVM (one-vs-rest) or boosted trees (binary)."""
+    """Logistic regression, linear SVM (one-vs-rest) or boosted trees (two classes only)."""
     from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, OneVsRest
     est = {"logistic": LogisticRegression(labelCol="label_idx"),
            "svm": OneVsRest(classifier=LinearSVC(), labelCol="label_idx"),

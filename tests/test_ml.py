@@ -69,6 +69,7 @@ def test_other_estimators_run(spark, sf_dir, tmp_path):
     flows = FX.flows(spark, sf_dir).filter(F.col("Label") != "Label")
     flows = flows.select(F.col("`Fwd Mean`").cast("double").alias("fwd"),
                          F.col("`Bwd Mean`").cast("double").alias("bwd"), "Label")
-    for kind in ("logistic",):
-        fitted = ml.linear_classifier(flows, ["fwd", "bwd"], "Label", kind=kind)
-        assert fitted.transform(flows).count() == flows.count()
+    two = flows.filter(F.col("Label") != "N")
+    for kind, rows in (("logistic", flows), ("svm", flows), ("gbt", two)):
+        fitted = ml.linear_classifier(rows, ["fwd", "bwd"], "Label", kind=kind)
+        assert fitted.transform(rows).count() == rows.count()
