@@ -3,10 +3,7 @@
 Each query is executed in full through Spark's ``noop`` sink (every row is
 computed, nothing is pulled to the driver).  Prints one JSON line:
 ``{"metric": ..., "value": total_sec, "unit": "sec", "queries": {...}, "sf": ...}``.
-Set ``BENCH_QUERIES`` (comma separated) to run a subset.  Two groups are
-opt-in because they are not query throughput: the cross-validated forest
-(``tune_forest``, ``BENCH_ML=1``) and the tar.gz pack-and-read round trips
-(``archive_rows``, ``archive_counts``, ``BENCH_INGEST=1``).
+Set ``BENCH_QUERIES`` (comma separated) to run a subset; without it every analysis runs.
 """
 
 from __future__ import annotations
@@ -22,8 +19,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from tablecraft.plans import queries  # noqa: E402
 from tablecraft.session import local_session  # noqa: E402
 
-ML_OPT_IN = {"tune_forest"}
-INGEST_OPT_IN = {"archive_rows", "archive_counts"}
 
 
 def main() -> None:
@@ -37,10 +32,6 @@ def main() -> None:
     registry = queries()
     wanted = os.environ.get("BENCH_QUERIES")
     names = [n.strip() for n in wanted.split(",")] if wanted else sorted(registry)
-    if not wanted and os.environ.get("BENCH_ML") != "1":
-        names = [n for n in names if n not in ML_OPT_IN]
-    if not wanted and os.environ.get("BENCH_INGEST") != "1":
-        names = [n for n in names if n not in INGEST_OPT_IN]
 
     # Warm-up, not timed: one pass over the smallest tables compiles the same
     # generated code and JIT-warms the JVM, so the timed pass measures steady
