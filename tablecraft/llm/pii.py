@@ -3,8 +3,9 @@
 Patterns find e-mail addresses, IPs, card and phone numbers.  The field's nodes
 are those spans and the other tokens with a digit or ``@``; neighbours share a
 chain potential, and tokens that repeat or resemble each other anywhere in the
-document share a skip potential.  Loopy message passing then labels tokens the
-patterns missed consistently with the ones they found.
+document share a skip potential, through one shared variable for all of them.
+Loopy message passing then labels tokens the patterns missed consistently with
+the ones they found.
 """
 
 from __future__ import annotations
@@ -27,7 +28,12 @@ LABELS = ("none", *KINDS)
 SHAPES = 4096
 #: Digits from which two digit strings are compared without their separators.
 SAME_DIGITS = 7
+#: Rounds after which the damping grows by a tenth of what is left to 1.
 ROUNDS, DAMPING = 12, 0.3
+#: Change of a message, in nats, under which it has settled.
+SETTLED = 1e-6
+#: Links whose messages are computed at once; bounds the working memory.
+BLOCK_LINKS = 1 << 16
 #: Belief from which a label is taken.
 TAKE = 0.5
 
@@ -140,6 +146,15 @@ def skip_links(nodes: list[Node]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def key_groups(nodes: list[Node]) -> list[tuple[int, ...]]:
+    """The nodes that share a key, for every key that several have; keys of the same nodes give one group."""
+    found: dict[str, list[int]] = {}
+    for i, n in enumerate(nodes):
+        for k in n.keys[1:] or n.keys:  # equal tokens share all their keys
+            found.setdefault(k, []).append(i)
+    return list(dict.fromkeys(tuple(g) for g in found.values() if len(g) > 1))
+
+
 @dataclass
 class Potentials:
     shape: np.ndarray  # (SHAPES, labels)
@@ -147,34 +162,82 @@ class Potentials:
     skip: np.ndarray
 
 
+def propagate_all(docs: list[list[Node]], model: Potentials) -> list[np.ndarray]:
+    """Beliefs (nodes x labels) of each document by loopy sum-product message passing, in the log domain.
+
+    Nodes that share a key are tied to one more variable, so a label is two
+    hops from all its repeats.  A token that stands ``m`` times unmatched is one
+    token: each place brings an m-th of its shape's and neighbours' evidence, so
+    places without a match do not outvote the match by their number.  A
+    document's messages are passed until they settle; a swing that does not die
+    away by itself is damped more and more.  The documents only share the
+    arrays: what stands beside one does not change its beliefs.
+    """
+    k, unary, ends, links = len(LABELS), [], [], []
+    size, starts = 0, []
+    for nodes in docs:
+        groups = key_groups(nodes)
+        times = np.ones(len(nodes))
+        for g in groups:
+            unsure = sum(not nodes[i].label for i in g)
+            for i in g:
+                if not nodes[i].label:
+                    times[i] = max(times[i], unsure)
+        own = np.zeros((len(nodes) + len(groups), k))
+        own[:len(nodes)] = model.shape[[x.shape for x in nodes]] / times[:, None]
+        for i, x in enumerate(nodes):
+            if x.label:
+                own[i] = -50.0
+                own[i, x.label] = 0.0
+        starts.append(len(links))
+        links += [(size + i, size + i + 1, max(times[i], times[i + 1])) for i in range(len(nodes) - 1)]
+        links += [(size + i, size + len(nodes) + h, 0) for h, g in enumerate(groups) for i in g]
+        unary.append(own)
+        ends.append((size, size + len(nodes)))
+        size += len(own)
+    unary = np.concatenate(unary) if unary else np.zeros((0, k))
+    table = np.array(links).reshape(-1, 3)
+    a, b = table[:, 0].astype(np.int64), table[:, 1].astype(np.int64)
+    shares, which = np.unique(table[:, 2], return_inverse=True)
+    pots = np.exp(np.stack([model.chain / m if m else model.skip for m in shares])) if links else None
+    owner = np.repeat(np.arange(len(docs)), np.diff([*starts, len(links)]))
+
+    def inbox(to_b, to_a, a, b):
+        return unary + np.stack([np.bincount(b, to_b[:, j], size) + np.bincount(a, to_a[:, j], size) for j in range(k)], axis=1)
+
+    def sent(cavity, which, pots):
+        top = cavity.max(axis=1, keepdims=True)
+        e, out = np.exp(cavity - top), np.empty_like(cavity)
+        for at in range(0, len(e), BLOCK_LINKS):
+            part = slice(at, at + BLOCK_LINKS)
+            out[part] = (e[part, :, None] * pots[which[part]]).sum(axis=1)
+        out = np.log(out)
+        return out - out.max(axis=1, keepdims=True)
+
+    done_b, done_a = np.zeros((len(links), k)), np.zeros((len(links), k))
+    live, damping, turn = np.arange(len(links)), DAMPING, 0
+    while len(live):
+        x, y, kind, to_b, to_a = a[live], b[live], which[live], done_b[live], done_a[live]
+        box = inbox(to_b, to_a, x, y)
+        new_b = sent(box[x] - to_a, kind, pots)
+        new_a = sent(box[y] - to_b, kind, pots.transpose(0, 2, 1))
+        step = (1 - damping) * np.maximum(np.abs(new_b - to_b).max(axis=1), np.abs(new_a - to_a).max(axis=1))
+        done_b[live], done_a[live] = damping * to_b + (1 - damping) * new_b, damping * to_a + (1 - damping) * new_a
+        moved = np.zeros(len(docs))
+        np.maximum.at(moved, owner[live], step)
+        live = live[moved[owner[live]] > SETTLED]
+        turn += 1
+        if turn % ROUNDS == 0:
+            damping = 1 - (1 - damping) * 0.9
+    belief = inbox(done_b, done_a, a, b) if links else unary
+    belief = np.exp(belief - belief.max(axis=1, keepdims=True)) if size else belief
+    belief = belief / belief.sum(axis=1, keepdims=True)
+    return [belief[s:e] for s, e in ends]
+
+
 def propagate(nodes: list[Node], model: Potentials) -> np.ndarray:
-    """Beliefs (nodes x labels) of loopy sum-product message passing, in the log domain."""
-    n, k = len(nodes), len(LABELS)
-    unary = model.shape[[x.shape for x in nodes]].copy()
-    for i, x in enumerate(nodes):
-        if x.label:
-            unary[i] = -50.0
-            unary[i, x.label] = 0.0
-    links = [(i, i + 1, model.chain) for i in range(n - 1)] + [(a, b, model.skip) for a, b in skip_links(nodes)]
-    a, b = np.array([x[0] for x in links]), np.array([x[1] for x in links])
-    pot = np.stack([x[2] for x in links])
-    src, dst = np.concatenate([a, b]), np.concatenate([b, a])
-    pots = np.concatenate([pot, pot.transpose(0, 2, 1)])
-    half, msg = len(links), np.zeros((2 * len(links), k))
-    for _ in range(ROUNDS):
-        inbox = unary.copy()
-        np.add.at(inbox, dst, msg)
-        back = np.concatenate([msg[half:], msg[:half]])
-        out = (inbox[src] - back)[:, :, None] + pots
-        top = out.max(axis=1, keepdims=True)
-        new = np.log(np.exp(out - top).sum(axis=1)) + top[:, 0]
-        new -= new.max(axis=1, keepdims=True)
-        msg = DAMPING * msg + (1 - DAMPING) * new
-    belief = unary.copy()
-    np.add.at(belief, dst, msg)
-    belief -= belief.max(axis=1, keepdims=True)
-    belief = np.exp(belief)
-    return belief / belief.sum(axis=1, keepdims=True)
+    """Beliefs (nodes x labels) of one document."""
+    return propagate_all([nodes], model)[0]
 
 
 def added_spans(text: str, base: list, model: Potentials) -> list[tuple[str, int, int]]:

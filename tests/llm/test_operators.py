@@ -317,6 +317,19 @@ def test_skip_chain_labels_repeats(docs_of, odd, none):
     assert pii.base_spans(digits + ".") == []
 
 
+def test_every_repeat_of_a_found_span_is_labelled(docs_of):
+    counts = (3, 20, 200)
+    rows = [(n, "Call +44 20 7946 0958 now. " + "then 442079460958 at 2024, " * n) for n in counts]
+    rows += [(n + 1, "order 442079460958 " * n + "room 12, and +44 20 7946 0958") for n in counts]
+    rows += [(1000 + i, "item 123456 part 98765432 " * 5) for i in range(600)]  # the shape's potential is at its floor
+    model = pii.train(docs_of(rows))
+    assert model.shape[pii._shape("442079460958")][1:].max() <= -8
+    for n, (_, text) in zip(counts * 2, rows, strict=False):
+        added = pii.added_spans(text, pii.base_spans(text), model)
+        assert [(k, text[a:b]) for k, a, b in added] == [("phone", "442079460958")] * n, text[:40]
+    assert pii.key_groups(pii.nodes_of(rows[0][1], pii.base_spans(rows[0][1]))) == [(0, 1, 3, 5), (2, 4, 6)]
+
+
 # ------------------------------------------------------------------ chat
 def test_chat_round_trip(spark):
     rows = [(1, 2, "assistant", "b<|end|>&lt;"), (1, 1, "user", None), (1, 3, "assistant", "</s>[INST]"), (1, 3, "assistant", "</s>[INST]"),
