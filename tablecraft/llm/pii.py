@@ -11,11 +11,11 @@ the ones they found.
 from __future__ import annotations
 
 import re
-import zlib
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,14 +24,16 @@ from tablecraft.llm.common import map_texts, share
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
-#: Hashed token shapes.
-SHAPES = 4096
+#: Hashed token shapes, and the tables that count them by different hashes.
+SHAPES, HASHES = 4096, 3
 #: Digits from which two digit strings are compared without their separators.
 SAME_DIGITS = 7
 #: Rounds after which the damping grows by a tenth of what is left to 1.
 ROUNDS, DAMPING = 12, 0.3
 #: Change of a message, in nats, under which it has settled.
 SETTLED = 1e-6
+#: Nodes from which the documents gathered so far are labelled.
+BATCH_NODES = 50_000
 #: Links whose messages are computed at once; bounds the working memory.
 BLOCK_LINKS = 1 << 16
 #: Belief from which a label is taken.
@@ -44,7 +46,8 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_TOKEN = re.compile(r"\S*[0-9@]\S*")
+# tried from the start of a word only
+_TOKEN = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*")
 _EDGES = ".,;:!?()[]{}<>\"'"
 
 
@@ -95,7 +98,7 @@ class Node:
     start: int
     end: int
     label: int  # of the pattern that matched; 0: none did
-    shape: int
+    shape: tuple  # its row in each table
     keys: tuple
 
 
@@ -110,10 +113,16 @@ def _keys(s: str) -> tuple:
     return tuple(keys)
 
 
-def _shape(s: str) -> int:
-    """Hash of the token's character classes, runs cut to three."""
-    form = re.sub(r"(.)\1{3,}", r"\1\1\1", re.sub(r"[a-zà-ÿ]", "a", re.sub(r"[0-9]", "9", s[:64].lower())))
-    return zlib.crc32(form.encode("utf-8")) % SHAPES
+def _rejected(s: str) -> bool:
+    """Whether a token that no pattern matched has a pattern's form, so that its check (octets, Luhn, digits) failed."""
+    return bool(_IP.search(s) or ("+" in s and _PHONE.search(s)) or any(m.end() - m.start() >= 14 for m in _CARD.finditer(s)))
+
+
+def _shape(s: str, rejected: bool = False) -> tuple:
+    """Hashes of the token's character classes, runs of other classes than digits cut to three; a rejected token's shapes are its own."""
+    form = re.sub(r"([^9])\1{3,}", r"\1\1\1", re.sub(r"[a-zà-ÿ]", "a", re.sub(r"[0-9]", "9", s[:64].lower())))
+    h = xxhash.xxh3_64_intdigest((form + "\n" * rejected).encode("utf-8", "surrogatepass"))
+    return tuple(t * SHAPES + (h >> 16 * t) % SHAPES for t in range(HASHES))
 
 
 def nodes_of(text: str, base: list) -> list[Node]:
@@ -131,7 +140,7 @@ def nodes_of(text: str, base: list) -> list[Node]:
             reach = max(reach, taken[i][1])
             i += 1
         if a < b and reach <= a:
-            out.append(Node(a, b, 0, _shape(text[a:b]), _keys(text[a:b])))
+            out.append(Node(a, b, 0, _shape(text[a:b], _rejected(text[a:b])), _keys(text[a:b])))
     return sorted(out, key=lambda n: (n.start, n.end, n.label))
 
 
@@ -157,10 +166,15 @@ def key_groups(nodes: list[Node]) -> list[tuple[int, ...]]:
 
 @dataclass
 class Potentials:
-    shape: np.ndarray  # (SHAPES, labels)
+    shape: np.ndarray  # (HASHES * SHAPES, labels), smoothed counts
     chain: np.ndarray  # (labels, labels)
     skip: np.ndarray
 
+    def unary(self, shapes: list[tuple]) -> np.ndarray:
+        """Log-shares of the labels: a shape's count is the least over the tables, so shapes that collide in one stay apart."""
+        n = self.shape[np.array(shapes, np.int64).reshape(-1, HASHES)].min(axis=1)
+        return np.clip(np.log(n / n.sum(axis=1, keepdims=True)), -8.0, 0.0)
+
 
 def propagate_all(docs: list[list[Node]], model: Potentials) -> list[np.ndarray]:
     """Beliefs (nodes x labels) of each document by loopy sum-product message passing, in the log domain.
@@ -184,7 +198,7 @@ def propagate_all(docs: list[list[Node]], model: Potentials) -> list[np.ndarray]
                 if not nodes[i].label:
                     times[i] = max(times[i], unsure)
         own = np.zeros((len(nodes) + len(groups), k))
-        own[:len(nodes)] = model.shape[[x.shape for x in nodes]] / times[:, None]
+        own[:len(nodes)] = model.unary([x.shape for x in nodes]) / times[:, None]
         for i, x in enumerate(nodes):
             if x.label:
                 own[i] = -50.0
@@ -240,17 +254,31 @@ def propagate(nodes: list[Node], model: Potentials) -> np.ndarray:
     return propagate_all([nodes], model)[0]
 
 
-def added_spans(text: str, base: list, model: Potentials) -> list[tuple[str, int, int]]:
-    """Spans the field adds to the patterns' spans; none touches them."""
-    if not base:
-        return []
-    nodes = nodes_of(text, base)
-    known = {k for x in nodes if x.label for k in x.keys}
-    if not any(not x.label and known.intersection(x.keys) for x in nodes):
-        return []  # no missed token repeats or resembles a found one: evidence reaches none
-    belief = propagate(nodes, model)
-    return [(LABELS[i], x.start, x.end) for x, p in zip(nodes, belief, strict=True)
-            if not x.label and (i := int(p.argmax())) and p[i] > TAKE]
+def added_to(texts: list, bases: list, model: Potentials) -> list[list[tuple[str, int, int]]]:
+    """``added_spans`` of every text; the field runs on each that has a node without a label."""
+    out, held, size = [[] for _ in texts], [], 0
+
+    def label():
+        for (at, nodes), belief in zip(held, propagate_all([n for _, n in held], model), strict=True):
+            out[at] = [(LABELS[i], x.start, x.end) for x, p in zip(nodes, belief, strict=True)
+                       if not x.label and (i := int(p.argmax())) and p[i] > TAKE]
+        held.clear()
+
+    for at, (text, base) in enumerate(zip(texts, bases, strict=True)):
+        nodes = nodes_of(text, base) if text else []
+        if any(not x.label for x in nodes):
+            held.append((at, nodes))
+            size += len(nodes)
+        if size >= BATCH_NODES:
+            label()
+            size = 0
+    label()
+    return out
+
+
+def added_spans(text: str | None, base: list, model: Potentials) -> list[tuple[str, int, int]]:
+    """Spans the field adds to the patterns' spans, by any of its potentials; none touches them."""
+    return added_to([text], [base], model)[0]
 
 
 def count_labels(docs: DataFrame) -> DataFrame:
@@ -264,7 +292,7 @@ def count_labels(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         k = len(LABELS)
-        tables = [np.zeros((SHAPES, k), np.int64), np.zeros((k, k), np.int64), np.zeros((k, k), np.int64)]
+        tables = [np.zeros((HASHES * SHAPES, k), np.int64), np.zeros((k, k), np.int64), np.zeros((k, k), np.int64)]
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
                 for text in batch.column(0).slice(at, 128).to_pylist():
@@ -275,7 +303,7 @@ def count_labels(docs: DataFrame) -> DataFrame:
                     open_ = [not n.label and bool(known.intersection(n.keys)) for n in nodes]
                     for n, unsure in zip(nodes, open_, strict=True):
                         if not unsure:
-                            tables[0][n.shape, n.label] += 1
+                            tables[0][list(n.shape), n.label] += 1
                     for i in range(len(nodes) - 1):
                         if not open_[i] and not open_[i + 1]:
                             tables[1][nodes[i].label, nodes[i + 1].label] += 1
@@ -295,12 +323,11 @@ def count_labels(docs: DataFrame) -> DataFrame:
 def train(docs: DataFrame) -> Potentials:
     """Potentials as smoothed log-ratios of the counts over all of ``docs`` (their number is fixed)."""
     k = len(LABELS)
-    tables = [np.full((SHAPES, k), 0.5), np.full((k, k), 0.5), np.full((k, k), 0.5)]
-    for r in count_labels(docs).collect():  # at most SHAPES * labels rows
+    tables = [np.full((HASHES * SHAPES, k), 0.5), np.full((k, k), 0.5), np.full((k, k), 0.5)]
+    for r in count_labels(docs).collect():  # at most HASHES * SHAPES * labels rows
         tables[r.what][r.i, r.j] += r.n
     shape, chain, skip = tables
     skip = skip + skip.T
-    shape = np.log(shape / shape.sum(1, keepdims=True))
 
     def lift(t):
         return np.log(t * t.sum() / (t.sum(1, keepdims=True) * t.sum(0, keepdims=True)))
@@ -308,7 +335,7 @@ def train(docs: DataFrame) -> Potentials:
     pull = np.clip(lift(skip), -8.0, 8.0)
     pull[np.diag_indices(k)] = np.maximum(np.diag(pull), 8.0)
     pull[0, 1:], pull[1:, 0] = -8.0, -8.0
-    return Potentials(np.clip(shape, -8.0, 0.0), np.clip(lift(chain), -2.0, 2.0), pull)
+    return Potentials(shape, np.clip(lift(chain), -2.0, 2.0), pull)
 
 
 def find_pii(docs: DataFrame, model: Potentials) -> DataFrame:
@@ -323,12 +350,9 @@ def find_pii(docs: DataFrame, model: Potentials) -> DataFrame:
         m = shared.value
 
         def work(texts):
-            base, added = [], []
-            for t in texts:
-                b = base_spans(t)
-                base.append([{"kind": k, "start": s, "end": e} for k, s, e in b])
-                added.append([{"kind": k, "start": s, "end": e} for k, s, e in (added_spans(t, b, m) if b else ())])
-            return [base, added]
+            base = [base_spans(t) for t in texts]
+            return [[[{"kind": k, "start": s, "end": e} for k, s, e in spans] for spans in found]
+                    for found in (base, added_to(texts, base, m))]
         return work
     one = "array<struct<kind: string, start: int, end: int>>"
     return map_texts(docs, setup, f"base {one}, added {one}")

@@ -321,15 +321,30 @@ def test_every_repeat_of_a_found_span_is_labelled(docs_of):
     counts = (3, 20, 200)
     rows = [(n, "Call +44 20 7946 0958 now. " + "then 442079460958 at 2024, " * n) for n in counts]
     rows += [(n + 1, "order 442079460958 " * n + "room 12, and +44 20 7946 0958") for n in counts]
-    rows += [(1000 + i, "item 123456 part 98765432 " * 5) for i in range(600)]  # the shape's potential is at its floor
+    rows += [(1000 + i, "item 123456789012 part 98765432 " * 5) for i in range(600)]  # the shape's potential is at its floor
     model = pii.train(docs_of(rows))
-    assert model.shape[pii._shape("442079460958")][1:].max() <= -8
+    assert model.unary([pii._shape("442079460958")])[0, 1:].max() <= -8
     for n, (_, text) in zip(counts * 2, rows, strict=False):
         added = pii.added_spans(text, pii.base_spans(text), model)
         assert [(k, text[a:b]) for k, a, b in added] == [("phone", "442079460958")] * n, text[:40]
     assert pii.key_groups(pii.nodes_of(rows[0][1], pii.base_spans(rows[0][1]))) == [(0, 1, 3, 5), (2, 4, 6)]
 
 
+def test_field_runs_on_every_document(docs_of):
+    """Shape evidence counts with and without a match or a repeat; what a check rejected is no match by its shape."""
+    rng = random.Random(6)
+    names = ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(300)]
+    rows = [(i, f"mail {n}@{n}host.de or 10.20.30.{i % 200} room {i}") for i, n in enumerate(names)]
+    rows += [(1000 + i, f"paid with 41111111111111{i:02d} there") for i in range(100)]
+    rows += [(2000 + i, t) for i, t in enumerate([
+        "only joe@exämple.de here", "joe@exämple.de and 10.20.30.40", "joe@exämple.de, 10.20.30.40, again 010.20.30.40 and 10.20.30.40",
+        "room 269", "in 2024 paid 4111111111111112", "4111111111111112 or 4111111111111111", "host 10.20.30.444", "none", ""])]
+    docs = docs_of(rows)
+    got = {r.doc_id: [(x.kind, rows[r.doc_id - 2000 + 400][1][x.start:x.end]) for x in r.added]
+           for r in pii.find_pii(docs, pii.train(docs)).collect() if r.doc_id >= 2000}
+    assert [got[2000 + i] for i in range(9)] == [[("email", "joe@exämple.de")]] * 3 + [[]] * 6
+
+
 # ------------------------------------------------------------------ chat
 def test_chat_round_trip(spark):
     rows = [(1, 2, "assistant", "b<|end|>&lt;"), (1, 1, "user", None), (1, 3, "assistant", "</s>[INST]"), (1, 3, "assistant", "</s>[INST]"),
