@@ -4,6 +4,8 @@ The corpus is scanned once to count the benchmark's words, once to store the
 postings (document, word, positions) of every window's rarest words.  Postings
 minus the word's place in the item give alignments; the lists of a window's
 two rarest words are intersected, and the survivors are compared word by word.
+Any two of the three rarest words that the corpus has, nearly as far apart as in
+the item, are a proximity match.
 """
 
 from __future__ import annotations
@@ -19,6 +21,8 @@ from tablecraft.llm.common import alnum_words, bitmap_of, in_bitmap, map_texts,
 WINDOW = 10
 #: Extra words that may stand between two anchors of a proximity match.
 SLACK = 3
+#: Rarest words of a window of which any two make a proximity match.
+ANCHORS = 3
 #: Words counted by a task before it hands its counts on.
 FLUSH_WORDS = 1_000_000
 
@@ -88,10 +92,13 @@ def word_counts(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
 
 
 def anchors(items: DataFrame, counts: DataFrame) -> DataFrame:
-    """The places of the two rarest words of each window: ``item_key, at, term, at2, term2``, distinct.
+    """Pairs of the ``ANCHORS`` rarest words of each window that the corpus has:
+    ``item_key, at, term, at2, term2, whole``, distinct, the rarer word first.
 
-    Windows with a word that the corpus lacks are left out: they cannot occur.
-    Places are taken from the item; a window of one word has it twice.
+    ``whole``: the two rarest words of a window that the corpus has every word
+    of; only such windows can occur as they are.  The other pairs find windows
+    with replaced words.  Places are taken from the item; a window of one word
+    has it twice.
     """
     width = F.least(F.size("words"), F.lit(WINDOW))
     wins = (items.select("item_key", "words", width.alias("width"))
@@ -99,11 +106,18 @@ def anchors(items: DataFrame, counts: DataFrame) -> DataFrame:
             .select("item_key", "start", F.posexplode(F.slice("words", F.col("start") + 1, F.col("width"))).alias("off", "term")))
     ranked = (wins.join(counts, "term", "left")
               .groupBy("item_key", "start")
-              .agg(F.array_sort(F.collect_list(F.struct(F.coalesce("tf", F.lit(0)).alias("tf"), F.col("off"), F.col("term")))).alias("w")))
-    second = F.coalesce(F.get("w", F.lit(1)), F.get("w", F.lit(0)))
-    return (ranked.filter("w[0].tf > 0").withColumn("x", second)
-            .select("item_key", (F.col("start") + F.col("w")[0]["off"]).alias("at"), F.col("w")[0]["term"].alias("term"),
-                    (F.col("start") + F.col("x.off")).alias("at2"), F.col("x.term").alias("term2")).distinct())
+              .agg(F.array_sort(F.collect_list(F.struct(F.coalesce("tf", F.lit(0)).alias("tf"), F.col("off"), F.col("term")))).alias("w"))
+              .withColumn("known", F.filter("w", lambda x: x["tf"] > 0)))
+    whole = F.size("known") == F.size("w")
+
+    def pair(i: int, j: int):
+        one, two = F.get("known", F.lit(i)), F.get("known", F.lit(j))
+        return F.struct((F.col("start") + one["off"]).alias("at"), one["term"].alias("term"), (F.col("start") + two["off"]).alias("at2"),
+                        two["term"].alias("term2"), (whole if (i, j) in ((0, 0), (0, 1)) else F.lit(False)).alias("whole"))
+    pairs = F.when(F.size("w") == 1, F.array(pair(0, 0))).otherwise(
+        F.array(*[pair(i, j) for j in range(1, ANCHORS) for i in range(j)]))
+    return (ranked.select("item_key", F.inline(F.filter(pairs, lambda x: x["term2"].isNotNull())))
+            .groupBy("item_key", "at", "term", "at2", "term2").agg(F.max("whole").alias("whole")))
 
 
 def positional_index(docs: DataFrame, terms: DataFrame) -> DataFrame:
@@ -132,25 +146,25 @@ def positional_index(docs: DataFrame, terms: DataFrame) -> DataFrame:
 
 
 def alignments(postings: DataFrame, marks: DataFrame) -> DataFrame:
-    """Intersect the offset-adjusted posting lists of each window's two rarest words.
+    """Intersect the offset-adjusted posting lists of each pair of a window's rarest words.
 
     A posting minus the word's place in the item is where the item would start
-    in the document.  ``doc_key, item_key, place, gap``: the rarest word's
+    in the document.  ``doc_key, item_key, place, gap, whole``: the rarer word's
     starts at which the other one agrees (gap 0), or stands up to ``SLACK``
-    words off (the gap).
+    words off (the gap), and whether a ``whole`` pair says so.
     """
     def starts(at: str, term: str) -> DataFrame:
         lists = marks.select("item_key", F.col(at).alias("at"), F.col(term).alias("term")).distinct()
         return (postings.join(lists, "term")
                 .select("doc_key", "item_key", "at", F.explode(F.transform("places", lambda p: p - F.col("at"))).alias("place")))
 
-    pairs = marks.select("item_key", "at", "at2").distinct()
-    rare = starts("at", "term").join(pairs, ["item_key", "at"]).select("doc_key", "item_key", "at2", "place")
+    pairs = marks.select("item_key", "at", "at2", "whole")
+    rare = starts("at", "term").join(pairs, ["item_key", "at"]).select("doc_key", "item_key", "at2", "place", "whole")
     other = starts("at2", "term2").select(F.col("doc_key").alias("k"), F.col("item_key").alias("i"), F.col("at").alias("a"), F.col("place").alias("place2"))
     gap = F.col("place2") - F.col("place")
     return (rare.join(other, (F.col("doc_key") == F.col("k")) & (F.col("item_key") == F.col("i")) & (F.col("at2") == F.col("a"))
                       & (F.abs(gap) <= SLACK))
-            .select("doc_key", "item_key", "place", gap.alias("gap")).distinct())
+            .groupBy("doc_key", "item_key", "place", gap.alias("gap")).agg(F.max("whole").alias("whole")))
 
 
 def find_passages(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -159,8 +173,11 @@ def find_passages(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, Dat
     documents: one row per row of ``docs``: ``doc_key, doc_id, n_words, n_hit``
     (words inside an occurrence of a window), ``items`` (sorted ids, as strings,
     of items with occurring windows), ``n_near`` (proximity matches).
-    matches: ``doc_key, item_id, place, gap``: where an item would start, exact
-    phrase candidates (gap 0) and proximity matches (another gap).
+    matches: ``doc_key, item_id, place, gap, phrase``: where an item would
+    start; ``phrase`` rows (gap 0) were compared word by word and hold a window,
+    the others are proximity matches: two of a window's ``ANCHORS`` rarest words
+    that the corpus has stand as far apart as in the item (gap 0) or up to
+    ``SLACK`` words off.
 
     A window is ``WINDOW`` consecutive words of an item; a shorter item is one
     window.  Null and empty texts have no words and no windows.  Rows that
@@ -178,7 +195,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, Dat
     postings = (index.select("doc_key", F.explode("postings").alias("p")).select("doc_key", "p.term", "p.places")
                 .dropDuplicates(["doc_key", "term"]))
     found = written(alignments(postings, marks), "alignments")
-    exact = found.filter("gap = 0")
+    exact = found.filter("gap = 0 AND whole")
 
     # the whole texts of candidate documents, to compare word by word
     wanted = exact.select("doc_key").distinct()
@@ -196,35 +213,44 @@ def find_passages(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, Dat
     texts = map_texts(keyed.select("doc_key", F.struct(F.col("doc_key").alias("key"), "text").alias("cell")),
                       setup, "text string, there boolean", carry=("doc_key",), text="cell", keep=True).dropDuplicates(["doc_key"])
     cases = (exact.groupBy("doc_key", "item_key").agg(F.collect_set("place").alias("places")).join(items, "item_key")
-             .groupBy("doc_key").agg(F.collect_list(F.struct(F.col("item_id").cast("string").alias("id"), "words", "places")).alias("cases")))
+             .groupBy("doc_key").agg(F.collect_list(F.struct("item_key", F.col("item_id").cast("string").alias("id"), "words", "places")).alias("cases")))
 
     def verify():
         def work(cells):
-            hits, ids = [], []
+            hits, ids, phrases = [], [], []
             for c in cells:
                 words = [word_key(w) for w in alnum_words(c["text"])]
-                covered, hit_items = set(), set()
+                covered, hit_items, starts = set(), set(), []
                 for case in c["cases"]:
                     item = case["words"]
                     width = min(WINDOW, len(item))
                     for place in case["places"]:
-                        run = 0  # words that agree up to here
+                        run, longest = 0, 0  # words that agree up to here
                         for i, w in enumerate(item):
                             run = run + 1 if 0 <= place + i < len(words) and words[place + i] == w else 0
+                            longest = max(longest, run)
                             if run >= width:
                                 covered.update(range(place + i + 1 - (width if run == width else 1), place + i + 1))
                                 if case["id"] is not None:
                                     hit_items.add(case["id"])
+                        if longest >= width:
+                            starts.append({"item_key": case["item_key"], "place": place})
                 hits.append(len(covered))
                 ids.append(sorted(hit_items))
-            return [hits, ids]
+                phrases.append(starts)
+            return [hits, ids, phrases]
         return work
 
-    checked = map_texts(texts.join(cases, "doc_key").select("doc_key", F.struct("text", "cases").alias("cell")),
-                        verify, "n_hit long, items array<string>", carry=("doc_key",), text="cell")
-    near = found.filter("gap <> 0").groupBy("doc_key").agg(F.count("*").alias("n_near"))
-    rows = (index.select("doc_key", "doc_id", "n_words").join(checked, "doc_key", "left").join(near, "doc_key", "left")
+    checked = written(map_texts(
+        texts.join(cases, "doc_key").select("doc_key", F.struct("text", "cases").alias("cell")), verify,
+        "n_hit long, items array<string>, phrases array<struct<item_key: long, place: int>>", carry=("doc_key",), text="cell"), "checked")
+    phrases = (checked.select("doc_key", F.inline("phrases"))
+               .select("doc_key", "item_key", "place", F.lit(0).alias("gap"), F.lit(True).alias("phrase")))
+    told = (found.join(phrases, ["doc_key", "item_key", "place", "gap"], "left")
+            .withColumn("phrase", F.coalesce("phrase", F.lit(False))))
+    near = told.filter("NOT phrase").groupBy("doc_key").agg(F.count("*").alias("n_near"))
+    rows = (index.select("doc_key", "doc_id", "n_words").join(checked.drop("phrases"), "doc_key", "left").join(near, "doc_key", "left")
             .select("doc_key", "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
                     F.coalesce("items", F.array().cast("array<string>")).alias("items"),
                     F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near")))
-    return rows, found.join(items.select("item_key", "item_id"), "item_key").select("doc_key", "item_id", "place", "gap")
+    return rows, told.join(items.select("item_key", "item_id"), "item_key").select("doc_key", "item_id", "place", "gap", "phrase")

@@ -50,7 +50,7 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, _ = decontam.find_passages(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return rows.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
-                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), "n_near")
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -139,6 +139,23 @@ def test_passages_match_brute_force(spark, docs_of):
     assert matches.filter("gap <> 0").count() > 0  # the interrupted copy is a proximity match
 
 
+def test_proximity_of_copies_with_replaced_words(spark, docs_of):
+    passage = "the quick onyx goblin jumps over one lazy dwarf today"  # one window
+    rows = [(i, "the quick one over today lazy jumps dwarf goblin") for i in range(4)]  # all but onyx, in another order
+    rows += [(10, passage), (11, passage.replace("onyx", "red")), (12, passage.replace("onyx", "very red")), (13, "nothing at all"),
+             (20, "some rare zebra words stand here"), (21, "some rare words")]
+    items = [("a", passage), ("b", "some absentword rare zebra words stand here")]
+    out, matches = decontam.find_passages(docs_of(rows), spark.createDataFrame(items, "item_id string, text string"))
+    got = {r.doc_id: r for r in out.collect()}
+    assert (got[10].n_hit, got[11].n_hit, got[12].n_hit, got[20].n_hit) == (10, 0, 0, 0)
+    assert got[11].n_near and got[12].n_near and got[20].n_near and not got[13].n_near
+    keys = {r.doc_key: r.doc_id for r in got.values()}
+    rows = matches.collect()
+    assert [(keys[r.doc_key], r.item_id, r.place, r.gap) for r in rows if r.phrase] == [(10, "a", 0, 0)]
+    assert {(11, "a", 0, 0), (20, "b", 0, 0)} & {(keys[r.doc_key], r.item_id, r.place, r.gap) for r in rows if not r.phrase}
+    assert sum(not r.phrase for r in rows) == sum(r.n_near for r in got.values())
+
+
 def test_passages_empty(spark, odd, none):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert {r.n_hit for r in decontam.find_passages(odd, bench)[0].collect()} == {0}
