@@ -151,19 +151,26 @@ def alignments(postings: DataFrame, marks: DataFrame) -> DataFrame:
     A posting minus the word's place in the item is where the item would start
     in the document.  ``doc_key, item_key, place, gap, whole``: the rarer word's
     starts at which the other one agrees (gap 0), or stands up to ``SLACK``
-    words off (the gap), and whether a ``whole`` pair says so.
+    words off (the gap), and whether a ``whole`` pair says so.  Starts meet by
+    bins of ``SLACK + 1`` places, each with its neighbours, so only near ones do
+    and a long document is dealt over the tasks.
     """
     def starts(at: str, term: str) -> DataFrame:
         lists = marks.select("item_key", F.col(at).alias("at"), F.col(term).alias("term")).distinct()
         return (postings.join(lists, "term")
                 .select("doc_key", "item_key", "at", F.explode(F.transform("places", lambda p: p - F.col("at"))).alias("place")))
 
+    def slot(place: str):
+        return F.floor(F.col(place) / (SLACK + 1))
+
     pairs = marks.select("item_key", "at", "at2", "whole")
-    rare = starts("at", "term").join(pairs, ["item_key", "at"]).select("doc_key", "item_key", "at2", "place", "whole")
-    other = starts("at2", "term2").select(F.col("doc_key").alias("k"), F.col("item_key").alias("i"), F.col("at").alias("a"), F.col("place").alias("place2"))
+    rare = starts("at", "term").join(pairs, ["item_key", "at"]).select(
+        "doc_key", "item_key", "at2", "place", "whole", F.explode(F.array(*[slot("place") + i for i in (-1, 0, 1)])).alias("bin"))
+    other = starts("at2", "term2").select(F.col("doc_key").alias("k"), F.col("item_key").alias("i"), F.col("at").alias("a"), F.col("place").alias("place2"),
+                                            slot("place").alias("b"))
     gap = F.col("place2") - F.col("place")
     return (rare.join(other, (F.col("doc_key") == F.col("k")) & (F.col("item_key") == F.col("i")) & (F.col("at2") == F.col("a"))
-                      & (F.abs(gap) <= SLACK))
+                      & (F.col("bin") == F.col("b")) & (F.abs(gap) <= SLACK))
             .groupBy("doc_key", "item_key", "place", gap.alias("gap")).agg(F.max("whole").alias("whole")))
 
 

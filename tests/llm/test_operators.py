@@ -156,6 +156,18 @@ def test_proximity_of_copies_with_replaced_words(spark, docs_of):
     assert sum(not r.phrase for r in rows) == sum(r.n_near for r in got.values())
 
 
+def test_alignments_meet_near_places_only(spark):
+    rng = random.Random(8)
+    places = [sorted(rng.sample(range(400), 120)) for _ in range(2)]
+    postings = spark.createDataFrame([(1, 10, places[0]), (1, 20, places[1])], "doc_key long, term long, places array<int>")
+    marks = spark.createDataFrame([(5, 7, 10, 2, 20, True)], "item_key long, at int, term long, at2 int, term2 long, whole boolean")
+    out = decontam.alignments(postings, marks)
+    want = {(a - 7, b - 2 - a + 7) for a in places[0] for b in places[1] if abs(b - 2 - a + 7) <= decontam.SLACK}
+    assert sorted((r.place, r.gap) for r in out.collect()) == sorted(want)  # places before the document's start among them
+    joins = re.findall(r"Join \[([^\]]*at2#[^\]]*)\]", out._jdf.queryExecution().executedPlan().toString())
+    assert joins and all("bin#" in keys for keys in joins)
+
+
 def test_passages_empty(spark, odd, none):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert {r.n_hit for r in decontam.find_passages(odd, bench)[0].collect()} == {0}
