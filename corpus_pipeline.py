@@ -10,18 +10,25 @@ import sys
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from tablecraft.llm import bpe, decontam, exact, minhash, toxicity  # noqa: E402
-from tablecraft.llm.common import written  # noqa: E402
+from tablecraft.llm.common import row_key, written  # noqa: E402
 from tablecraft.session import ensure_checkpoint_dir  # noqa: E402
 from tablecraft.sources.tables import read_table  # noqa: E402
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``doc_key``, the key of a row's id and text."""
+    return docs.withColumn("doc_key", row_key("doc_id", "text"))
+
+
 def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is not in ``gone`` (column doc_id); null ids stay."""
-    return docs.join(gone.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    """The rows of ``docs`` that are not in ``gone`` (columns doc_id, doc_key): a row goes by its id and text, null ids too."""
+    rows, keys = keyed(docs), gone.select(F.col("doc_key").alias("__key"), F.col("doc_id").alias("__id")).distinct()
+    return rows.join(keys, (rows["doc_key"] == keys["__key"]) & rows["doc_id"].eqNullSafe(keys["__id"]), "left_anti").select(*docs.columns)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +47,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every near-duplicate group the least doc_id stays."""
     ensure_checkpoint_dir(spark)
-    return without(docs, minhash.near_groups(docs).filter("NOT kept"))
+    return without(docs, minhash.near_groups(keyed(docs), carry=("doc_id", "doc_key")).filter("NOT kept"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -80,8 +80,8 @@ class Circulant:
         return key.view(np.int64)
 
 
-def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``doc_id, n_shingles, set_key`` (16 bytes that equal sets share; null for an
+def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The ``carry`` columns, ``n_shingles, set_key`` (16 bytes that equal sets share; null for an
     empty set) and ``bands`` (the band keys as packed int64)."""
     def setup():
         circulant, cache = Circulant(bands, rows), _WordHashes()
@@ -96,7 +96,7 @@ def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame
             return [size, keys, packed]
         return work
 
-    return map_texts(docs, setup, "n_shingles long, set_key binary, bands array<long>")
+    return map_texts(docs, setup, "n_shingles long, set_key binary, bands array<long>", carry=carry)
 
 
 def _shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -211,8 +211,8 @@ def _remaining_pairs(slots: DataFrame, sets: DataFrame) -> DataFrame:
             .select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct())
 
 
-def near_groups(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id, kept``.
+def near_groups(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """One row per document: ``doc_id, n_shingles, component_id, kept``; other ``carry`` columns follow the id.
 
     Documents with equal shingle sets form one class (a grouped minimum), so a
     large group of copies is one node.  Classes are banded; in each band bucket
@@ -225,8 +225,8 @@ def near_groups(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFr
     alone too, with a null component, and are kept.  Rows that repeat an id
     share its component.  Other columns of ``docs`` are not looked at.
     """
+    made = written(sketches(docs, bands, rows, carry), "sketches")
     docs = docs.select("doc_id", "text")
-    made = written(sketches(docs, bands, rows), "sketches")
     named = made.filter("set_key IS NOT NULL AND doc_id IS NOT NULL")
     classes = named.groupBy("set_key").agg(
         F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"))
@@ -246,9 +246,9 @@ def near_groups(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFr
         slots = slots.drop("comp").join(components(links), "id", "left")
         slots = written(slots.withColumn("comp", F.coalesce("component_id", "id")).drop("component_id"), "slots")
     found = slots.select("id", "comp").distinct()
-    return (made.select("doc_id", "n_shingles", "set_key")
+    return (made.select(*carry, "n_shingles", "set_key")
             .join(classes.select("set_key", "id"), "set_key", "left")
             .join(found, "id", "left")
-            .select("doc_id", "n_shingles",
+            .select(*carry, "n_shingles",
                     F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "id", "doc_id")).alias("component_id"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))

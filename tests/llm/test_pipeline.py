@@ -30,3 +30,15 @@ def test_pipeline(spark, sf_dir):
     assert {r.doc_id for r in out} == want and all(r.decodes for r in out)
     assert {r.doc_id: r.text for r in out} == {i: docs[i].text for i in want}
     assert [n for n, _ in corpus_pipeline.STAGES][0] == "toxicity"
+
+
+def test_stages_drop_the_row_that_was_judged(spark, sf_dir):
+    """Null ids are dropped too, and another text under a dropped row's id stays."""
+    passage = spark.read.parquet(f"{sf_dir}/benchmark.parquet").filter("text IS NOT NULL AND length(text) > 100").first().text
+    schema = "doc_id long, text string, source string"
+    docs = spark.createDataFrame([(None, passage, "a"), (7, passage, "b"), (7, "a clean text", "c"), (8, None, "d"), (None, "clean", "e")], schema)
+    left = corpus_pipeline.drop_contaminated(spark, docs, sf_dir)
+    assert sorted(r.source for r in left.collect()) == ["c", "d", "e"] and left.columns == docs.columns
+    text = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame([(3, text, "a"), (5, text.upper(), "b"), (5, "quite another text of its own", "c"), (None, text, "d")], schema)
+    assert sorted(r.source for r in corpus_pipeline.drop_near_copies(spark, docs, sf_dir).collect()) == ["a", "c", "d"]
