@@ -1,4 +1,4 @@
-"""The ten operators' queries, with production parameters, and their SQL."""
+"""The operators' queries, with production parameters, and their SQL."""
 
 from __future__ import annotations
 
@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecraft.llm import bpe, chat, decontam, exact, langid, licenses, minhash, pii, sharding, toxicity
-from tablecraft.session import ensure_checkpoint_dir
+from tablecraft.llm import bpe, chat, decontam, exact, langid, licenses, minhash, pfor, pii, runs, sharding, toxicity, whitening
+from tablecraft.session import ensure_checkpoint_dir, scratch_path
 from tablecraft.sources.tables import read_table
 
 TOXIC_FOLDS, TOXIC_HELD = 3, 1
@@ -106,9 +106,26 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed("base"), 256).alias("base_sha256"), listed(F.concat("base", "added")).alias("spans"))
 
 
+def op11_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        definition = f.read()
+    files = pfor.write_tokens(read_table(spark, sf_dir, "documents"), definition, scratch_path(spark, "token-blocks"))
+    return pfor.read_documents(files)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = whitening.quantised(read_table(spark, sf_dir, "embeddings"))
+    return whitening.whiten(vectors, whitening.fit_whitening(vectors))
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.run_digests(read_table(spark, sf_dir, "documents"), plant=True)
+
+
 _QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_chat_format, op3_minhash, op4_decontamination, op5_exact_dedup, op6_language_id,
-    op7_sharding, op8_licenses, op9_bpe, op10_pii)}
+    op7_sharding, op8_licenses, op9_bpe, op10_pii, op11_token_blocks, op12_whitening, op13_runs)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
