@@ -94,7 +94,10 @@ def tokenize(docs: DataFrame, path: str, pattern: str, outputs: str = "ids") ->
 
 
 def with_token_counts(docs: DataFrame, path: str, pattern: str, name: str = "n_tokens") -> DataFrame:
-    """All columns of ``docs`` and the number of tokens of each text that decodes to itself."""
+    """All columns of ``docs`` and the number of tokens of each text, whether it decodes to itself, and the ids' digest.
+
+    Columns of ``docs`` that have a new column's name are replaced.
+    """
     ranks = share(docs.sparkSession, read_ranks(path))
 
     def setup():
@@ -106,4 +109,5 @@ def with_token_counts(docs: DataFrame, path: str, pattern: str, name: str = "n_t
             return [[len(ids) for ids in made], same, [hashlib.sha256(packed(ids)).hexdigest() for ids in made]]
         return work
 
-    return map_texts(docs, setup, f"{name} long, decodes boolean, ids_sha256 string", carry=tuple(docs.columns))
+    carry = tuple(c for c in docs.columns if c.lower() not in (name.lower(), "decodes", "ids_sha256"))
+    return map_texts(docs, setup, f"{name} long, decodes boolean, ids_sha256 string", carry=carry)

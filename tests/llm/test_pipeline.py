@@ -42,3 +42,20 @@ def test_stages_drop_the_row_that_was_judged(spark, sf_dir):
     text = " ".join(f"w{i}" for i in range(40))
     docs = spark.createDataFrame([(3, text, "a"), (5, text.upper(), "b"), (5, "quite another text of its own", "c"), (None, text, "d")], schema)
     assert sorted(r.source for r in corpus_pipeline.drop_near_copies(spark, docs, sf_dir).collect()) == ["a", "c", "d"]
+
+
+def test_stages_on_clashing_columns_and_empty_tables(spark, sf_dir):
+    """Columns that have names of results or of working columns stay as they came; no rows give no rows."""
+    passage = spark.read.parquet(f"{sf_dir}/benchmark.parquet").filter("text IS NOT NULL AND length(text) > 100").first().text
+    text = " ".join(f"w{i}" for i in range(40))
+    schema = "doc_id long, text string, doc_key string, n_tokens string, decodes string, score string, kept string, n_hit string, component_id string"
+    docs = spark.createDataFrame([(i, t, f"k{i}", "n", "d", "s", "q", "h", "c") for i, t in enumerate([text, text + " x", passage, None, "", text])], schema)
+    left = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs.limit(0), sf_dir).count() == 0, name
+        left = stage(spark, left, sf_dir)
+        assert left.columns == docs.columns, name
+    assert sorted((r.doc_id, r.doc_key, r.kept) for r in left.collect()) == [(1, "k1", "q"), (4, "k4", "q")]
+    out = corpus_pipeline.tokenize(spark, left, sf_dir)
+    assert sorted(out.columns) == sorted([*docs.columns, "ids_sha256"]) and all(r.decodes is True for r in out.collect())
+    assert corpus_pipeline.tokenize(spark, docs.limit(0), sf_dir).count() == 0
