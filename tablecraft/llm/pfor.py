@@ -46,8 +46,8 @@ FILE_IDS, FILE_DOCS = 1 << 24, 1 << 20
 #: Bytes of files that one reading task takes.
 TASK_BYTES = 128 << 20
 END_ID = 2
-#: Words whose ids a worker remembers before it starts afresh.
-CACHE_WORDS = 200_000
+#: Words, and runs of letters, whose ids a worker remembers before it starts afresh.
+CACHE_WORDS = 500_000
 
 
 # ------------------------------------------------------------------ blocks
@@ -180,7 +180,6 @@ class Reader:
 #: A run of Latin letters (unchanged by NFC), then nothing or an ASCII character that is no letter:
 #: the tokenizer always ends a match between the two.
 _WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([\x00-\x40\x5B-\x60\x7B-\x7F].*)?", re.DOTALL)
-_BLANK = re.compile("[ \n]")
 
 
 class Tokens:
@@ -203,26 +202,38 @@ class Tokens:
         letters = [chr(c) for c in (*range(97, 123), *range(0xDF, 0xF7), *range(0xF8, 0x100))]
         spelt = {c: "".join(p for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(c)) for c in letters}
         self.alphabet = str.maketrans({c: s for c, s in spelt.items() if s != c})
-        self.words: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {"": b""}
+        self.parts: dict[str, bytes] = {"": b""}
 
     def _encode(self, text: str) -> bytes:
-        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _letters(self, letters: str) -> bytes:
+        spelt = letters if letters.isascii() else letters.translate(self.alphabet)
+        return array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
 
     def _word(self, word: str) -> bytes:
         m = _WORD.fullmatch(word)
         if not m:
             return self._encode(word)
-        letters = m[1].lower().translate(self.alphabet)
-        ids = np.asarray([t.id for t in self.model.tokenize(letters)], "<u4").tobytes()
-        return ids + self._encode(m[2]) if m[2] else ids
+        letters, rest = m.groups("")
+        letters = letters.lower()
+        head, tail = self.parts.get(letters), self.parts.get(rest)
+        if head is None:
+            head = self.parts[letters] = self._letters(letters)
+        if tail is None:
+            tail = self.parts[rest] = self._encode(rest)
+        return head + tail
 
     def batch(self, texts: Iterable[str | None]) -> list[bytes]:
         """Packed little-endian uint32 ids of each text."""
-        split = [_BLANK.split(t) if t else [] for t in texts]
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
+        split = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
+        for memory in (self.words, self.parts):
+            if len(memory) > CACHE_WORDS:
+                memory.clear()
+                memory[""] = b""
         for w in set(chain.from_iterable(split)).difference(self.words):
-            self.words[w] = self._word(w) if w else b""
+            self.words[w] = self._word(w)
         ids_of = self.words.__getitem__
         return [b"".join(map(ids_of, words)) for words in split]
 
