@@ -19,14 +19,15 @@ def _both_ways(links: DataFrame) -> DataFrame:
 def _large_star(links: DataFrame) -> DataFrame:
     """Link every larger neighbour of a node to the least node around it."""
     around = _both_ways(links)
-    least = around.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    # written, so that the join reads plain exchanges and a node with very many links can be split over tasks
+    least = written(around.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least")
     return (around.filter("b > a").join(least, "a")
             .select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct())
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     """Link a node and its smaller neighbours to the least of them (links: a > b)."""
-    least = links.groupBy("a").agg(F.min("b").alias("m"))
+    least = written(links.groupBy("a").agg(F.min("b").alias("m")), "least")
     moved = links.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).filter("a <> b").distinct()
 

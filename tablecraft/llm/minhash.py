@@ -24,8 +24,14 @@ UNIVERSE = 1 << 20
 BANDS, ROWS = 56, 5
 #: Word hashes remembered by a worker before it starts afresh.
 CACHE_WORDS = 200_000
-#: Rounds of comparing bucket members with one of them before the exact join of what is left.
-STAR_ROUNDS = 1
+#: Rounds, at most, of comparing bucket members with one of them; then the exact join of what is left.
+LEADER_ROUNDS = 4
+#: A round of leaders that merges a smaller share of the open components than this is the last one.
+LEAST_MERGED = 0.1
+#: Classes of sets for the exact join: each begins at this many times the one before.
+CLASS_RATIO = 1.25
+#: Longs of 64 bits in which a set notes the hashes of its differences.
+NOTES = 4
 
 
 class _WordHashes(dict):
@@ -100,11 +106,11 @@ def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, carry: tuple
 
 
 def _shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``id, shingles`` (packed sorted uint64) of the documents listed in ``wanted`` (column id).
+    """``key, shingles`` (packed sorted uint64) of the sets listed in ``wanted`` (columns key, id).
 
     A fixed-size bitmap of the wanted ids thins the scan; the semi-join decides.
     """
-    bitmap = share(docs.sparkSession, bitmap_of(wanted.select(F.xxhash64("id").alias("key")), "key"))
+    bitmap = share(docs.sparkSession, bitmap_of(wanted.select(F.xxhash64("id").alias("bit")), "bit"))
 
     def setup():
         cache, bits = _WordHashes(), bitmap.value
@@ -112,26 +118,31 @@ def _shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         def work(cells):
             out = [shingle_hashes(space_words(c["text"]), cache).tobytes() if in_bitmap(bits, c["key"]) else None
                    for c in cells]
-            return [out, [x is not None for x in out]]
+            return [[xxhash.xxh3_128_digest(x) if x else None for x in out], out, [bool(x) for x in out]]
         return work
 
-    cells = docs.select("doc_id", F.struct("text", F.xxhash64("doc_id").alias("key")).alias("cell"))
-    return (map_texts(cells, setup, "shingles binary, there boolean", text="cell", keep=True)
-            .withColumnRenamed("doc_id", "id").join(wanted, "id", "left_semi"))
+    cells = docs.select(F.struct("text", F.xxhash64("doc_id").alias("key")).alias("cell"))
+    return (map_texts(cells, setup, "set_key binary, shingles binary, there boolean", carry=(), text="cell", keep=True)
+            .select(_set_id().alias("key"), "shingles").join(wanted.select("key"), "key", "left_semi").dropDuplicates(["key"]))
+
+
+def _set_id():
+    """The 64-bit name of a shingle set, from its 128-bit digest."""
+    return F.xxhash64("set_key")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs ``(a, b)`` whose whole sets pass 100 * intersection >= PERCENT * union.
 
-    A document that stands in very many pairs is salted: its set is repeated
-    once per thousand of its pairs, and they are spread over the copies.
+    A set that stands in very many pairs is salted: it is repeated once per
+    thousand of its pairs, and they are spread over the copies.
     """
-    load = (pairs.groupBy("a").agg(F.count("*").alias("n"))
-            .select("a", F.ceil(F.col("n") / 1000).cast("int").alias("salts")))
-    left = (sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")).join(load, "a")
+    load = written(pairs.groupBy("a").agg(F.count("*").alias("n"))
+                   .select("a", F.ceil(F.col("n") / 1000).cast("int").alias("salts")), "load")
+    left = (sets.select(F.col("key").alias("a"), F.col("shingles").alias("x")).join(load, "a")
             .select("a", "x", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")))
     salted = pairs.join(load, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"))
-    both = (salted.join(left, ["a", "salt"]).join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
+    both = (salted.join(left, ["a", "salt"]).join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b")
             .select("a", "b", F.struct("x", "y").alias("cell")))
 
     def setup():
@@ -150,17 +161,17 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return map_texts(both, setup, "linked boolean", carry=("a", "b"), text="cell", keep=True)
 
 
-def _led_pairs(slots: DataFrame, turn: int) -> DataFrame:
-    """In every band bucket that holds several components, one member against those of other components.
-
-    The leader is the least id in the first round, then the least by a hash.
-    """
-    order = F.col("id") if turn == 0 else F.xxhash64("id", F.lit(turn))
-    lead = slots.groupBy("band").agg(
-        F.min(F.struct(order.alias("o"), "id", "n", "comp")).alias("l"),
+def _leaders(slots: DataFrame, turn: int) -> DataFrame:
+    """``band, l``: the leader (by a hash that changes with ``turn``) of every bucket that holds several components."""
+    return slots.groupBy("band").agg(
+        F.min(F.struct(F.xxhash64("key", F.lit(turn)).alias("o"), "key", "n", "comp")).alias("l"),
         F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("band", "l")
-    return (slots.join(lead, "band").filter(f"comp <> l.comp AND {_near('n', 'l.n')}")
-            .select(F.least("id", "l.id").alias("a"), F.greatest("id", "l.id").alias("b")).distinct())
+
+
+def _led_pairs(slots: DataFrame, turn: int) -> DataFrame:
+    """The leader of every bucket against its members of other components."""
+    return (slots.join(written(_leaders(slots, turn), "leaders"), "band").filter(f"comp <> l.comp AND {_near('n', 'l.n')}")
+            .select(F.least("key", "l.key").alias("a"), F.greatest("key", "l.key").alias("b")).distinct())
 
 
 def _near(n: str, m: str) -> str:
@@ -168,87 +179,177 @@ def _near(n: str, m: str) -> str:
     return f"least({n}, {m}) * 100 >= greatest({n}, {m}) * {PERCENT}"
 
 
-def _remaining_pairs(slots: DataFrame, sets: DataFrame) -> DataFrame:
-    """Every pair across components that may still link, of documents in buckets of several components.
-
-    Exact prefix filtering.  Linked sets of n <= m shingles share at least
-    P (n + m) / (100 + P) of them, which is at least 2 P n / (100 + P) and at
-    least P m / 100; so the smaller one's n - (first bound) + 1 rarest shingles
-    and the larger one's m - (second bound) + 1 rarest have one in common
-    (rarity counted among these documents, ties by hash).  Shingles that occur
-    once are never looked up, and a pair is listed only where the shingles from
-    the common one on (``left`` of either set, in order of rarity) can reach the
-    bound, which holds at the first one that linked sets have in common.  What a large group has in common is frequent, so its
-    members are not paired through it.
-    """
+def _mixed(slots: DataFrame) -> DataFrame:
+    """The slots of buckets that hold several components."""
     mixed = slots.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("band")
-    open_ids = slots.join(mixed, "band", "left_semi").select("id", "n", "comp").distinct()
+    return written(slots.join(written(mixed, "mixed"), "band", "left_semi"), "slots")
 
-    def setup():
+
+def _note_names() -> list[str]:
+    return [f"note{i}" for i in range(NOTES)]
+
+
+def _unshared(other: str, own: str) -> str:
+    """SQL: a set has at least so many differences that the other one has not, by their notes."""
+    return "(" + " + ".join(f"bit_count({n}{own} & ~{n}{other})" for n in _note_names()) + ")"
+
+
+def _features(slots: DataFrame, sets: DataFrame) -> DataFrame:
+    """Every set of the open buckets as its differences from what its group has in common.
+
+    A group is what buckets hold together; its core are the shingles that more
+    than half of its sets have.  One row per set: ``key, n, comp, g, core`` (size
+    of the core), ``missing`` (core shingles that it lacks) and ``shared``: the
+    differences that another set of the group has too, core shingles that both
+    lack among them, as (number of sets, name), rarest first, and their hashes' bits.
+    """
+    stars = (slots.join(written(_leaders(slots, LEADER_ROUNDS), "leaders"), "band").filter("key <> l.key")
+             .select(F.col("key").alias("a"), F.col("l.key").alias("b")).distinct())
+    groups = written(components(stars).select(F.col("id").alias("key"), F.col("component_id").alias("g")), "groups")
+    opened = slots.select("key", "n", "comp").distinct().join(groups, "key")
+    opened = written(opened.join(sets, "key"), "open")
+
+    def unpack():
         return lambda packed: [[np.frombuffer(x, np.int64) for x in packed]]
 
-    unpacked = map_texts(sets.join(open_ids, "id"), setup, "s array<long>", carry=("id", "n", "comp"), text="shingles")
-    held = written(unpacked, "open").select("id", "n", "comp", F.explode("s").alias("s"))
-    often = held.groupBy("s").agg(F.count("*").alias("df")).filter("df > 1")
-    rows = (held.join(often, "s").groupBy("id", "n", "comp")
-            .agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("shared"))
-            .withColumn("c", F.size("shared")))
-    lone = F.col("n") - F.col("c")
-    rows = rows.select(
-        "id", "n", "comp", "c", "shared",
-        (F.col("n") - F.ceil(F.col("n") * 2 * PERCENT / (100 + PERCENT)) + 1 - lone).cast("int").alias("short"),
-        (F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1 - lone).cast("int").alias("long"))
-    tokens = written(
-        rows.filter("long > 0")
-        .select("id", "n", "comp", "c", "short", F.posexplode(F.slice("shared", F.lit(1), F.col("long"))).alias("at", "t"))
-        .select("id", "n", "comp", (F.col("c") - F.col("at")).alias("left"), (F.col("at") < F.col("short")).alias("short"),
-                F.col("t.s").alias("s")), "prefixes")
-    small = tokens.filter("short").drop("short")
-    large = tokens.select("s", *[F.col(x).alias(f"{x}2") for x in ("id", "n", "comp", "left")])
-    return (small.join(large, (small["s"] == large["s"])
-                       & F.expr("(n < n2 OR (n = n2 AND id < id2)) AND comp <> comp2")
-                       & F.expr(f"least(left, left2) * {100 + PERCENT} >= (n + n2) * {PERCENT}"))
-            .select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct())
+    often = written(map_texts(opened, unpack, "s array<long>", carry=("g",), text="shingles").select("g", F.explode("s").alias("s"))
+                    .groupBy("g", "s").agg(F.count("*").alias("df")).filter("df > 1"), "often")
+    sizes = groups.groupBy("g").agg(F.count("*").alias("m"))
+    cores = written(often.join(sizes, "g").filter("2 * df > m").groupBy("g")
+                    .agg(F.array_sort(F.collect_list(F.struct("s", (F.col("m") - F.col("df")).alias("lack")))).alias("core")), "cores")
+
+    def differ():
+        def work(cells):
+            lacks, extras, missing = [], [], []
+            for c in cells:
+                own = np.frombuffer(c["shingles"], np.int64)
+                core = c["core"] or []
+                names = np.fromiter((x["s"] for x in core), np.int64, len(core))
+                there = np.isin(names, own)
+                # a core shingle that nobody else lacks cannot be a shared difference
+                lacks.append([(x["lack"], x["s"]) for x, has in zip(core, there.tolist(), strict=True) if not has and x["lack"] > 1])
+                extras.append(own[~np.isin(own, names)])
+                missing.append(len(core) - int(there.sum()))
+            return [missing, lacks, extras]
+        return work
+
+    cells = opened.join(cores, "g", "left").select(
+        "key", "n", "comp", "g", F.coalesce(F.size("core"), F.lit(0)).alias("core"), F.struct("shingles", "core").alias("cell"))
+    rows = written(map_texts(cells, differ, "missing long, lacks array<struct<df:long,s:long>>, extras array<long>",
+                             carry=("key", "n", "comp", "g", "core"), text="cell"), "differences")
+    named = (rows.select("g", "key", F.explode("extras").alias("s")).join(often, ["g", "s"]).select("key", "df", F.col("s").alias("f"))
+             .unionByName(rows.select("key", F.explode("lacks").alias("l")).select("key", "l.df", F.xxhash64("l.s", F.lit("lacks")).alias("f"))))
+    notes = [F.expr(f"bit_or(IF(pmod(f, {64 * NOTES}) DIV 64 = {i}, shiftleft(1L, CAST(pmod(f, 64) AS INT)), 0L))").alias(f"note{i}") for i in range(NOTES)]
+    shared = named.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("df", "f"))).alias("shared"), *notes)
+    return rows.drop("lacks", "extras").join(shared, "key", "left").withColumns(
+        {"shared": F.coalesce("shared", F.array().cast("array<struct<df:long,f:long>>"))} | {n: F.coalesce(n, F.lit(0)) for n in _note_names()})
+
+
+def _remaining_pairs(slots: DataFrame, sets: DataFrame) -> DataFrame:
+    """Every pair across components that may still link, of sets in buckets of several components.
+
+    Exact prefix filtering on differences.  Sets a, b with ``lack`` core
+    shingles missing share |core| - lack_a - lack_b shingles and one more for
+    each difference they have in common, so they link if and only if these are
+    at least e_a + e_b, with e = P n / (100 + P) + lack - |core| / 2.  Hence
+    either e_a + e_b <= 0: then both link with the set of the least e in their
+    group, which one pair each shows.  Or, of c differences that others have,
+    one of the c - (e_a + e_b) + 1 rarest is common.  The set of the smaller e
+    is listed under its class of e, the other under every class from its own
+    down, by the least e of the class.  Bits of their differences' hashes then
+    bound what two sets can have in common, which leaves few pairs that do not
+    link: copies of one text that differ at random are hardly ever compared.
+    """
+    whole = 100 + PERCENT
+    rows = _features(slots, sets)
+    e = F.col("n") * 2 * PERCENT + F.col("missing") * 2 * whole - F.col("core") * whole  # 2 (100 + P) e, a whole number
+    step = np.log(CLASS_RATIO)
+    unit = 2 * whole
+    rows = written(rows.withColumn("e", e).withColumn("c", F.size("shared"))
+                   .withColumn("class", F.when(F.col("e") < unit, 0).otherwise(F.floor(F.log(F.col("e") / unit) / step) + 1).cast("int")), "features")
+
+    least = written(rows.groupBy("g").agg(F.min(F.struct("e", "key", "comp", "n")).alias("l")), "centres")
+    sure = (rows.join(least, "g").filter("e + l.e <= 0 AND comp <> l.comp")
+            .select(F.least("key", "l.key").alias("a"), F.greatest("key", "l.key").alias("b")))
+
+    def prefix(need):
+        """Of the differences, those of which linked sets must share one: all but ``need - 1`` of the commonest."""
+        return F.slice("shared", F.lit(1), F.greatest(F.lit(0), F.col("c") - F.greatest(F.lit(1), F.ceil(need / unit)).cast("int") + 1))
+
+    def listed(df):
+        return df.select("g", "class", "key", "n", "comp", "e", "c", *_note_names(), F.posexplode("tokens").alias("at", "t")).select(
+            "g", "class", F.col("t.f").alias("f"), "key", "n", "comp", "e", "c", (F.col("c") - F.col("at")).alias("left"), *_note_names())
+
+    small = listed(rows.withColumn("tokens", prefix(F.col("e") * 2)))
+    # a partner has at least PERCENT of n shingles, so its e is no less than this
+    low = F.floor(F.col("n") * PERCENT / 100) * 2 * PERCENT - F.col("core") * whole
+    low_class = F.when(low < unit, 0).otherwise(F.floor(F.log(low / unit) / step)).cast("int")
+    start = F.when(F.col("class") == 0, F.greatest(low, F.col("l.e"))).otherwise(F.floor(F.lit(unit) * F.pow(F.lit(CLASS_RATIO), F.col("class") - 1)) - 1)
+    large = listed(rows.join(least, "g").withColumn("class", F.explode(F.sequence(F.least(low_class, "class"), "class")))
+                   .withColumn("tokens", prefix(F.col("e") + start)))
+    large = large.select("g", "class", "f", *[F.col(x).alias(f"{x}2") for x in ("key", "n", "comp", "e", "c", "left", *_note_names())])
+    on = ["g", "class", "f"]
+    found = (written(small, "prefixes").join(written(large, "prefixes"), on)
+             .filter(f"(e < e2 OR (e = e2 AND key < key2)) AND comp <> comp2 AND {_near('n', 'n2')} AND least(left, left2) * {unit} >= e + e2 "
+                     f"AND least(c - {_unshared('2', '')}, c2 - {_unshared('', '2')}) * {unit} >= e + e2")
+             .select(F.least("key", "key2").alias("a"), F.greatest("key", "key2").alias("b")).distinct())
+    return found.unionByName(sure).distinct()
 
 
 def near_groups(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, kept``; other ``carry`` columns follow the id.
 
-    Documents with equal shingle sets form one class (a grouped minimum), so a
-    large group of copies is one node.  Classes are banded; in each band bucket
-    the least class is compared with the others, links are merged into
-    components, and the next round looks only at buckets that still hold more
-    than one component.  After ``STAR_ROUNDS`` such rounds an exact prefix-filter
-    join of the documents in such buckets finds every link that is left.
+    Equal shingle sets are one class (a grouped minimum), so a large group of
+    copies is one node.  Classes are banded; in each band bucket one class is
+    compared with the others, links are merged into components, and the next
+    round looks only at buckets that still hold more than one component, until
+    a round merges few (or after ``LEADER_ROUNDS``).  An exact prefix-filter
+    join on the differences within what is left finds every other link.
 
     Null and blank texts have the empty set and stay alone.  Null ids stay
     alone too, with a null component, and are kept.  Rows that repeat an id
-    share its component.  Other columns of ``docs`` are not looked at.
+    and text share its component; an id that stands with several texts has a
+    row for each, and all their links count.  Other columns of ``docs`` are not
+    looked at.
     """
     made = written(sketches(docs, bands, rows, carry), "sketches")
     docs = docs.select("doc_id", "text")
     named = made.filter("set_key IS NOT NULL AND doc_id IS NOT NULL")
-    classes = named.groupBy("set_key").agg(
-        F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"))
+    classes = written(named.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"))
+                      .withColumn("key", _set_id()), "classes")
     reps = (classes.join(named.select("set_key", F.col("doc_id").alias("id"), "bands"), ["set_key", "id"])
-            .dropDuplicates(["set_key", "id"]).select("id", "n", F.explode("bands").alias("band")))
+            .dropDuplicates(["key"]).select("key", "n", F.explode("bands").alias("band")))
     slots = written(reps, "bands")
     # buckets of one class can link nothing
     shared = slots.groupBy("band").agg(F.count("*").alias("in_band")).filter("in_band > 1").select("band")
-    slots = written(slots.join(shared, "band"), "slots")
-    sets = written(_shingle_sets(docs, slots.select("id").distinct()).dropDuplicates(["id"]), "sets")
-
-    links, slots = None, slots.withColumn("comp", F.col("id"))
-    for turn in range(STAR_ROUNDS + 1):
-        pairs = written(_led_pairs(slots, turn) if turn < STAR_ROUNDS else _remaining_pairs(slots, sets), "pairs")
-        found = _confirmed(pairs, sets)
-        links = written(found if links is None else links.unionByName(found), "links")
-        slots = slots.drop("comp").join(components(links), "id", "left")
-        slots = written(slots.withColumn("comp", F.coalesce("component_id", "id")).drop("component_id"), "slots")
-    found = slots.select("id", "comp").distinct()
-    return (made.select(*carry, "n_shingles", "set_key")
-            .join(classes.select("set_key", "id"), "set_key", "left")
-            .join(found, "id", "left")
-            .select(*carry, "n_shingles",
-                    F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "id", "doc_id")).alias("component_id"))
+    slots = written(slots.join(written(shared, "shared"), "band").withColumn("comp", F.col("key")), "slots")
+    wanted = written(slots.select("key").distinct().join(classes.select("key", "id"), "key"), "wanted")
+    sets = written(_shingle_sets(docs, wanted), "sets")
+
+    links, few = [], False
+    for turn in range(LEADER_ROUNDS + 1):
+        last = turn == LEADER_ROUNDS or few
+        pairs = _remaining_pairs(slots, sets) if last else _led_pairs(slots, turn)
+        links.append(written(_confirmed(written(pairs, "pairs"), sets), "links"))
+        if last:
+            break
+        merged = written(slots.select("key", "comp").distinct(), "members")
+        ends = (links[-1].join(merged.select(F.col("key").alias("a"), F.col("comp").alias("x")), "a")
+                .join(merged.select(F.col("key").alias("b"), F.col("comp").alias("y")), "b"))
+        joined = components(ends.select(F.col("x").alias("a"), F.col("y").alias("b")))
+        joined = written(joined.filter("id <> component_id").select(F.col("id").alias("comp"), "component_id"), "joined")
+        few = joined.count() < LEAST_MERGED * merged.select("comp").distinct().count()
+        slots = _mixed(slots.join(joined, "comp", "left")
+                       .select("key", "n", "band", F.coalesce("component_id", "comp").alias("comp")))
+        if slots.isEmpty():
+            break
+    everything = links[0]
+    for more in links[1:]:
+        everything = everything.unionByName(more)
+    found = written(classes.join(components(everything).select(F.col("id").alias("key"), F.col("component_id").alias("comp")), "key", "left")
+                    .select("set_key", "id", F.coalesce("comp", "key").alias("comp")), "found")
+    least = written(found.groupBy("comp").agg(F.min("id").alias("component_id")), "least")
+    found = written(found.join(least, "comp").select("set_key", "component_id"), "components")
+    return (made.select(*carry, "n_shingles", "set_key").join(found, "set_key", "left")
+            .select(*carry, "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))

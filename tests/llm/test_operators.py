@@ -417,3 +417,46 @@ def test_queries_return_a_row_per_document(spark, sf_dir):
     for name, query in registry.queries().items():
         if name not in ("op2_chat_format", "op5_exact_dedup"):
             assert query(spark, sf_dir).count() == n, name
+
+
+# ------------------------------------------------------------------ near copies: hard groups
+def replaced_copies(m, k, words=150, seed=0):
+    """Copies of one text with k words replaced each: pairs lie around or just under the threshold."""
+    rng, base, out = random.Random(seed), [f"b{i}" for i in range(words)], []
+    for i in range(m):
+        w = list(base)
+        for j in rng.sample(range(words), k):
+            w[j] = f"x{rng.randrange(10**9)}"
+        out.append((i, " ".join(w)))
+    return out
+
+
+@pytest.mark.parametrize("k", [2, 3, 4])
+def test_near_groups_of_replaced_copies(docs_of, k):
+    rows = replaced_copies(150, k) + [(1000 + i, t) for i, t in replaced_copies(60, k, 40, seed=1)] + [(2000, " ".join(f"b{i}" for i in range(150)))]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_groups(docs_of(rows)).collect()}
+    assert got == near_brute(rows)
+
+
+def test_near_groups_of_one_id_with_two_texts(docs_of):
+    a, b = sentence(random.Random(1), 60, 10**6), sentence(random.Random(2), 60, 10**6)
+    rows = [(5, a), (5, b), (7, a + " a"), (8, b + " b"), (8, b + " b")]
+    got = sorted((r.doc_id, r.component_id, r.n_shingles) for r in minhash.near_groups(docs_of(rows)).collect())
+    assert got == [(5, 5, 56), (5, 5, 56), (7, 5, 57), (8, 5, 57), (8, 5, 57)]
+
+
+def test_near_threshold_copies_are_compared_in_proportion(docs_of, monkeypatch):
+    """Sets whose pairs lie just under the threshold: comparisons grow with the group, not with its square."""
+    counted = []
+    confirmed = minhash._confirmed
+
+    def counting(pairs, sets):
+        counted[-1] += pairs.count()
+        return confirmed(pairs, sets)
+
+    monkeypatch.setattr(minhash, "_confirmed", counting)
+    for m in (300, 600, 1200):
+        counted.append(0)
+        rows = replaced_copies(m, 4)
+        assert minhash.near_groups(docs_of(rows)).select("component_id").distinct().count() > 0.9 * m
+    assert counted[1] < 2.6 * counted[0] and counted[2] < 2.6 * counted[1] and counted[2] < 0.05 * 1200 * 1199 / 2
