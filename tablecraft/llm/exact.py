@@ -66,10 +66,11 @@ def exact_groups(docs: DataFrame, all_digests: bool = False) -> DataFrame:
                                carry=("doc_id", "n_bytes", "prefix_hash"), text="cell"), "exact")
     # equal ids and texts become one row, with their number
     same = ["doc_id", "n_bytes", "prefix_hash", "text_sha256"]
-    live = hashed.filter("alive").groupBy(*same).agg(F.count("*").alias("copies"))
+    live = written(hashed.filter("alive").groupBy(*same).agg(F.count("*").alias("copies")), "live")
     key = ["n_bytes", "prefix_hash", "text_sha256"]
-    groups = (live.groupBy(*key).agg(F.max("doc_id").alias("keep_id"), F.sum("copies").alias("group_size"))
-              .filter("group_size > 1"))
+    # written, so that the join reads plain exchanges and a large group can be split over tasks
+    groups = written(live.groupBy(*key).agg(F.max("doc_id").alias("keep_id"), F.sum("copies").alias("group_size"))
+                     .filter("group_size > 1"), "groups")
     grouped = (live.join(groups, key, "left")
                .select(*same, "copies", F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
                        F.coalesce("group_size", "copies").cast("long").alias("group_size")))
