@@ -253,6 +253,32 @@ ms AS (
 mties AS (SELECT sum(t * t * t - t) AS ties FROM mt)"""
 
 
+def _normal_cdf_sql(z: str) -> str:
+    """Normal distribution function; its fixed values are stated here a second time."""
+    upper = (3.52624965998911e-2, 0.700383064443688, 6.37396220353165, 33.912866078383, 112.079291497871, 221.213596169931, 220.206867912376)
+    lower = (8.83883476483184e-2, 1.75566716318264, 16.064177579207, 86.7807322029461, 296.564248779674, 637.333633378831, 793.826512519948, 440.413735824752)
+
+    def polynomial(powers):
+        return " + ".join(f"CAST({c} AS DOUBLE) * pow(abs({z}), {len(powers) - 1 - i})" for i, c in enumerate(powers))
+
+    tail = f"exp(-({z}) * ({z}) / 2) * ({polynomial(upper)}) / ({polynomial(lower)})"
+    return f"CASE WHEN abs({z}) > 7 THEN CASE WHEN {z} > 0 THEN 1 ELSE 0 END WHEN {z} > 0 THEN 1 - {tail} ELSE {tail} END"
+
+
+def _kmeans_sql(k: int, rounds: int) -> str:
+    """Seeds by the MD5 of the key, then rounds of assignment and means, a CTE each."""
+    parts = [f"""p AS (SELECT vec_id, generate_subscripts(embedding, 1) AS pos, unnest(embedding)::DOUBLE AS v FROM embeddings),
+seeds AS (SELECT vec_id, row_number() OVER (ORDER BY md5(CAST(vec_id AS VARCHAR)), vec_id) - 1 AS k FROM embeddings),
+c0 AS (SELECT k, pos, v FROM seeds JOIN p USING (vec_id) WHERE k < {k})"""]
+    for i in range(rounds + 1):
+        parts.append(f"""d{i} AS MATERIALIZED (SELECT vec_id, k, sum((p.v - c.v) * (p.v - c.v)) AS d FROM p JOIN c{i} c USING (pos) GROUP BY 1, 2),
+a{i} AS MATERIALIZED (SELECT vec_id, k, d FROM d{i} QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, k) = 1)""")
+        if i < rounds:
+            parts.append(f"""m{i} AS (SELECT k, pos, avg(v) AS v FROM p JOIN a{i} USING (vec_id) GROUP BY 1, 2),
+c{i + 1} AS MATERIALIZED (SELECT c.k, c.pos, coalesce(m.v, c.v) AS v FROM c{i} c LEFT JOIN m{i} m USING (k, pos))""")
+    return "WITH " + ",\n".join(parts) + f"\nSELECT k AS cluster, count(*) AS n, {_r6('sum(d)')} AS cost FROM a{rounds} GROUP BY 1"
+
+
 def _r6(expr: str) -> str:
     """Round to 6 places; -0.0 becomes 0.0 (as on the Spark side)."""
     return f"CASE WHEN round({expr}, 6) = 0 THEN 0.0 ELSE round({expr}, 6) END"
@@ -548,6 +574,43 @@ SELECT 'paper-' || CAST(o_orderkey AS VARCHAR) || '.json' AS member,
        CAST(CASE WHEN o_orderkey % 101 = 0 THEN 0 ELSE coalesce(n.c, 0) END AS INTEGER) AS authors,
        CAST(NULL AS VARCHAR) AS error
 FROM orders LEFT JOIN n ON n.l_orderkey = o_orderkey"""
+    q["frequent_sets"] = """
+WITH i AS (SELECT DISTINCT l_orderkey AS b, p_brand AS x FROM lineitem JOIN part ON l_partkey = p_partkey),
+least AS (SELECT ceil(count(DISTINCT b) * 0.001) AS n FROM i),
+s AS (SELECT x AS items, 1 AS size, count(*) AS support FROM i GROUP BY 1
+      UNION ALL SELECT p.x || ',' || q.x, 2, count(*) FROM i p JOIN i q ON p.b = q.b AND p.x < q.x GROUP BY 1
+      UNION ALL SELECT p.x || ',' || q.x || ',' || r.x, 3, count(*) FROM i p JOIN i q ON p.b = q.b AND p.x < q.x
+                JOIN i r ON r.b = q.b AND q.x < r.x GROUP BY 1)
+SELECT items, size, support FROM s, least WHERE support >= n"""
+    q["kmeans"] = _kmeans_sql(8, 5)
+    q["silhouette"] = f"""
+WITH p AS (SELECT vec_id, label AS cluster, generate_subscripts(embedding, 1) AS pos, unnest(embedding)::DOUBLE AS v FROM embeddings),
+xx AS (SELECT vec_id, any_value(cluster) AS cluster, sum(v * v) AS xx FROM p GROUP BY 1),
+sizes AS (SELECT cluster, count(*) AS n, sum(xx) AS q FROM xx GROUP BY 1),
+sums AS (SELECT cluster, pos, sum(v) AS s FROM p GROUP BY 1, 2),
+dots AS (SELECT p.vec_id, sums.cluster, sum(p.v * s) AS d FROM p JOIN sums USING (pos) GROUP BY 1, 2),
+far AS (SELECT dots.vec_id, xx.cluster AS own, sizes.cluster AS other, n, (n * xx + q - 2 * d) AS total
+        FROM dots JOIN xx USING (vec_id) JOIN sizes ON sizes.cluster = dots.cluster),
+ab AS (SELECT vec_id, own, max(n) FILTER (WHERE own = other) AS n, max(total / greatest(n - 1, 1)) FILTER (WHERE own = other) AS a,
+              min(total / n) FILTER (WHERE own <> other) AS b FROM far GROUP BY 1, 2)
+SELECT own AS cluster, count(*) AS n, {_r6("avg(CASE WHEN n = 1 OR b IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END)")} AS silhouette
+FROM ab GROUP BY 1"""
+    q["ks_1samp"] = matches + f""",
+c AS (SELECT duration_mins::DOUBLE AS v, count(*) AS c FROM cleaned WHERE duration_mins IS NOT NULL GROUP BY 1),
+t AS (SELECT sum(c)::BIGINT AS n, sum(c * v) / sum(c) AS m FROM c),
+sd AS (SELECT sqrt(sum(c * (v - m) * (v - m)) / sum(c)) AS sd FROM c, t),
+r AS (SELECT n, {_normal_cdf_sql("(v - m) / sd")} AS f, sum(c) OVER (ORDER BY v) AS upto, c FROM c, t, sd),
+g AS (SELECT max(n) AS n, max(upto / n - f) AS p, max(f - (upto - c) / n) AS m FROM r)
+SELECT n, {_r6("greatest(p, m)")} AS d, {_r6("p")} AS d_plus, {_r6("m")} AS d_minus FROM g"""
+    q["json_lines"] = """
+SELECT CAST(o_orderkey % 4 AS VARCHAR) AS file,
+       CASE WHEN o_orderkey % 97 = 0 THEN 'no JSON object' WHEN o_orderkey % 89 = 0 THEN 'blank'
+            WHEN o_orderkey % 83 = 0 THEN 'wrong type' WHEN o_orderkey % 79 = 0 THEN 'no JSON object' ELSE 'good' END AS outcome,
+       count(*) AS lines, CAST(sum(CASE WHEN outcome = 'good' THEN o_custkey ELSE 0 END) AS BIGINT) AS custkeys
+FROM orders GROUP BY 1, 2"""
+    q["whole_files"] = """
+SELECT CAST(c_custkey // 100 AS VARCHAR) AS file, CAST(sum(length(CAST(c_custkey AS VARCHAR) || ' ' || c_name) + 1) AS BIGINT) AS chars,
+       count(*) AS lines FROM customer GROUP BY 1"""
     for name in ("distinct_per_hour", "top_users", "top_tags", "token_counts", "creation_years"):
         q[f"{name}_sql"] = q[name]
     q["daily_views_dump"] = q["daily_views"]

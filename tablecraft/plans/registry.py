@@ -24,7 +24,8 @@ from tablecraft.operators import text as T
 from tablecraft.operators.series import mean_daily_views, read_pageviews
 from tablecraft.session import ensure_checkpoint_dir, pin_utc, scratch_path, ship_package
 from tablecraft.sources import fixtures as FX
-from tablecraft.sources.readers import read_lines
+from tablecraft.sources.readers import json_lines_checked, read_lines, read_whole_texts
+from tablecraft.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -440,6 +441,62 @@ def q_archive_files(spark, sf):
     return count_files(spark, _paper_archives(spark, sf)).select("files", (F.col("bytes") > 0).alias("any_bytes"))
 
 
+# ------------------------------------------------- item sets, clusters, text files
+@register("frequent_sets")
+def q_frequent_sets(spark, sf):
+    """Brands that orders hold together."""
+    from tablecraft.operators.itemsets import frequent_sets
+    lines = read_table(spark, sf, "lineitem").join(read_table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    found = frequent_sets(lines, "l_orderkey", "p_brand", min_support=0.001)
+    return found.select(F.array_join("items", ",").alias("items"), "size", "support")
+
+
+@register("kmeans")
+def q_kmeans(spark, sf):
+    from tablecraft.operators.clusters import kmeans_rounds
+    found = kmeans_rounds(read_table(spark, sf, "embeddings"), "embedding", "vec_id", k=8, rounds=5)
+    return found.select("cluster", "n", r6("cost").alias("cost"))
+
+
+@register("silhouette")
+def q_silhouette(spark, sf):
+    from tablecraft.operators.clusters import silhouette
+    found = silhouette(read_table(spark, sf, "embeddings"), "embedding", "label")
+    return found.select("cluster", "n", r6("silhouette").alias("silhouette"))
+
+
+@register("ks_1samp")
+def q_ks_1samp(spark, sf):
+    found = S.ks_1samp(_cleaned(spark, sf), "duration_mins")
+    return found.select("n", r6("d").alias("d"), r6("d_plus").alias("d_plus"), r6("d_minus").alias("d_minus"))
+
+
+@register("json_lines")
+def q_json_lines(spark, sf):
+    """Orders as JSON lines, some of them broken, by file folder and outcome."""
+    root, key = scratch_path(spark, "json-lines"), F.col("o_orderkey")
+    good = F.to_json(F.struct("o_orderkey", "o_custkey", "o_orderstatus"))
+    line = (F.when(key % 97 == 0, F.concat(F.lit('{"o_orderkey":'), key.cast("string"))).when(key % 89 == 0, "  ")
+            .when(key % 83 == 0, F.concat(F.lit('{"o_orderkey":'), key.cast("string"), F.lit(',"o_custkey":"none"}')))
+            .when(key % 79 == 0, "[1, 2]").otherwise(good))
+    read_table(spark, sf, "orders").select(line.alias("value"), (key % 4).alias("drop")).write.partitionBy("drop").text(root)
+    rows = json_lines_checked(spark, f"{root}/*", "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING")
+    return rows.groupBy(F.regexp_extract("path", "drop=([0-9]+)", 1).alias("file"), F.coalesce("reason", F.lit("good")).alias("outcome")).agg(
+        F.count("*").alias("lines"), F.coalesce(F.sum("doc.o_custkey"), F.lit(0)).alias("custkeys"))
+
+
+@register("whole_files")
+def q_whole_files(spark, sf):
+    """One text file for every 100 customers: lines and characters of each, by file name."""
+    root = scratch_path(spark, "whole-files")
+    customers = read_table(spark, sf, "customer").select(
+        F.concat_ws(" ", "c_custkey", "c_name").alias("value"), F.floor(F.col("c_custkey") / 100).alias("file"))
+    customers.repartition("file").write.partitionBy("file").text(root)
+    whole = read_whole_texts(spark, f"{root}/*")
+    return whole.select(F.regexp_extract("path", "file=([0-9]+)", 1).alias("file"), F.length("value").alias("chars"),
+                        (F.size(F.split("value", "\n")) - 1).alias("lines"))
+
+
 # ------------------------------------------------------------------- SQL forms
 @register("distinct_per_hour_sql")
 def q_distinct_per_hour_sql(spark, sf):

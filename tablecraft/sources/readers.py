@@ -45,7 +45,12 @@ def read_lines(spark: SparkSession, path) -> DataFrame:
 
 
 def read_whole_texts(spark: SparkSession, path) -> DataFrame:
-    """One row per file: ``path`` and the whole text ``value``."""
+    """One row per file: ``path`` and the whole text ``value``.
+
+    Small files share a task: Spark packs them up to
+    ``spark.sql.files.maxPartitionBytes``, each counted with
+    ``spark.sql.files.openCostInBytes``; a file is never cut.
+    """
     return spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("path"), "value")
 
@@ -55,6 +60,28 @@ def json_from_text_files(spark: SparkSession, path, schema: str) -> DataFrame:
     return spark.read.text(path).select(F.from_json("value", schema).alias("doc")).select("doc.*")
 
 
+def json_lines_checked(spark: SparkSession, path, schema: str) -> DataFrame:
+    """Every line of JSON text files: ``path, line, doc, reason``; nothing is dropped.
+
+    ``doc`` is the line parsed with ``schema``; where it cannot be, ``doc`` is
+    null and ``reason`` says why: ``blank``, ``no JSON object`` (broken, cut or
+    another kind of value) or ``wrong type`` (an object, but a field does not
+    fit its type).  Missing fields are null, extra ones ignored.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"))
+    parsed = lines.withColumn("doc", F.from_json("line", f"{schema}, _corrupt STRING", {"columnNameOfCorruptRecord": "_corrupt"}))
+    reason = (F.when(F.trim("line") == "", "blank").when(F.json_object_keys("line").isNull(), "no JSON object")
+              .when(F.col("doc._corrupt").isNotNull(), "wrong type"))
+    return (parsed.withColumn("reason", reason)
+            .select("path", "line", F.when(F.col("reason").isNull(), F.col("doc").dropFields("_corrupt")).alias("doc"), "reason"))
+
+
+def json_lines_split(spark: SparkSession, path, schema: str) -> tuple[DataFrame, DataFrame]:
+    """The typed rows of JSON text files, and the lines that gave none (``path, line, reason``)."""
+    rows = json_lines_checked(spark, path, schema)
+    return rows.filter("reason IS NULL").select("doc.*"), rows.filter("reason IS NOT NULL").select("path", "line", "reason")
+
+
 def read_parquet(spark: SparkSession, path) -> DataFrame:
     return spark.read.parquet(path)
 

@@ -72,7 +72,7 @@ def test_grouped_sorted_distinct_equals_native(spark):
 
 def test_ks_one_sample(spark):
     df = spark.createDataFrame([(float(x) / 10,) for x in range(-30, 31)], "x double")
-    row = S.ks_1samp(df, "x", "norm", 0.0, 1.0).first()
+    row = S.ks_1samp_mllib(df, "x", "norm", 0.0, 1.0).first()
     assert 0.0 <= row["pValue"] <= 1.0 and row["statistic"] > 0
 
 
