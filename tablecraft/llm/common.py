@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -85,6 +86,31 @@ def row_key(*cols: str):
     return F.xxhash64(*[F.col(c) for c in cols])
 
 
+#: Folders of tables written inside the open ``scratch`` blocks, innermost last.
+_OPEN: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[set[str]]:
+    """Tables ``written`` inside the block are deleted when it ends well.
+
+    The block is handed a set; tables whose name is put there stay, for results
+    that are still to be read.  Every folder is this call's own.
+    """
+    kept: set[str] = set()
+    _OPEN.append([])
+    try:
+        yield kept
+    except BaseException:
+        _OPEN.pop()
+        raise
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in _OPEN.pop():
+        if path.rpartition("/")[2].rpartition("-")[0] not in kept:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared checkpoint folder, read again.
 
@@ -94,6 +120,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     ensure_checkpoint_dir(spark)
     path = f"{checkpoint_root(spark)}/tablecraft-llm/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
+    if _OPEN:
+        _OPEN[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablecraft.llm.common import bitmap_of, in_bitmap, map_texts, mix64, share, space_words, written
+from tablecraft.llm.common import bitmap_of, in_bitmap, map_texts, mix64, scratch, share, space_words, written
 from tablecraft.llm.components import components
 
 SHINGLE = 5
@@ -296,24 +296,8 @@ def _remaining_pairs(slots: DataFrame, sets: DataFrame) -> DataFrame:
     return found.unionByName(sure).distinct()
 
 
-def near_groups(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id, kept``; other ``carry`` columns follow the id.
-
-    Equal shingle sets are one class (a grouped minimum), so a large group of
-    copies is one node.  Classes are banded; in each band bucket one class is
-    compared with the others, links are merged into components, and the next
-    round looks only at buckets that still hold more than one component, until
-    a round merges few (or after ``LEADER_ROUNDS``).  An exact prefix-filter
-    join on the differences within what is left finds every other link.
-
-    Null and blank texts have the empty set and stay alone.  Null ids stay
-    alone too, with a null component, and are kept.  Rows that repeat an id
-    and text share its component; an id that stands with several texts has a
-    row for each, and all their links count.  Other columns of ``docs`` are not
-    looked at.
-    """
-    made = written(sketches(docs, bands, rows, carry), "sketches")
-    docs = docs.select("doc_id", "text")
+def _components_of_sets(docs: DataFrame, made: DataFrame) -> DataFrame:
+    """``set_key, component_id``: the least document id that a shingle set's documents can reach."""
     named = made.filter("set_key IS NOT NULL AND doc_id IS NOT NULL")
     classes = written(named.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"))
                       .withColumn("key", _set_id()), "classes")
@@ -349,7 +333,29 @@ def near_groups(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, carry: tu
     found = written(classes.join(components(everything).select(F.col("id").alias("key"), F.col("component_id").alias("comp")), "key", "left")
                     .select("set_key", "id", F.coalesce("comp", "key").alias("comp")), "found")
     least = written(found.groupBy("comp").agg(F.min("id").alias("component_id")), "least")
-    found = written(found.join(least, "comp").select("set_key", "component_id"), "components")
+    return written(found.join(least, "comp").select("set_key", "component_id"), "components")
+
+
+def near_groups(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """One row per document: ``doc_id, n_shingles, component_id, kept``; other ``carry`` columns follow the id.
+
+    Equal shingle sets are one class (a grouped minimum), so a large group of
+    copies is one node.  Classes are banded; in each band bucket one class is
+    compared with the others, links are merged into components, and the next
+    round looks only at buckets that still hold more than one component, until
+    a round merges few (or after ``LEADER_ROUNDS``).  An exact prefix-filter
+    join on the differences within what is left finds every other link.
+
+    Null and blank texts have the empty set and stay alone.  Null ids stay
+    alone too, with a null component, and are kept.  Rows that repeat an id
+    and text share its component; an id that stands with several texts has a
+    row for each, and all their links count.  Other columns of ``docs`` are not
+    looked at.
+    """
+    made = written(sketches(docs, bands, rows, carry), "sketches")
+    with scratch(docs.sparkSession) as kept:
+        kept.add("components")
+        found = _components_of_sets(docs.select("doc_id", "text"), made)
     return (made.select(*carry, "n_shingles", "set_key").join(found, "set_key", "left")
             .select(*carry, "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))

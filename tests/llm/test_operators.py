@@ -460,3 +460,15 @@ def test_near_threshold_copies_are_compared_in_proportion(docs_of, monkeypatch):
         rows = replaced_copies(m, 4)
         assert minhash.near_groups(docs_of(rows)).select("component_id").distinct().count() > 0.9 * m
     assert counted[1] < 2.6 * counted[0] and counted[2] < 2.6 * counted[1] and counted[2] < 0.05 * 1200 * 1199 / 2
+
+
+def test_near_groups_leave_little_scratch(spark, docs_of):
+    """Working tables are deleted; what the result still reads stays."""
+    import os
+
+    from tablecraft.session import checkpoint_root
+    folder = f"{checkpoint_root(spark)}/tablecraft-llm".removeprefix("file:")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    got = minhash.near_groups(docs_of(replaced_copies(30, 2)))
+    assert sorted(n.rpartition("-")[0] for n in set(os.listdir(folder)) - before) == ["components", "sketches"]
+    assert got.count() == 30 and got.count() == 30
