@@ -95,7 +95,8 @@ def scratch(spark: SparkSession) -> Iterator[set[str]]:
     """Tables ``written`` inside the block are deleted when it ends well.
 
     The block is handed a set; tables whose name is put there stay, for results
-    that are still to be read.  Every folder is this call's own.
+    that are still to be read, until the block around it ends.  Every folder is
+    this call's own.
     """
     kept: set[str] = set()
     _OPEN.append([])
@@ -106,7 +107,10 @@ def scratch(spark: SparkSession) -> Iterator[set[str]]:
         raise
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for path in _OPEN.pop():
-        if path.rpartition("/")[2].rpartition("-")[0] not in kept:
+        if path.rpartition("/")[2].rpartition("-")[0] in kept:
+            if _OPEN:
+                _OPEN[-1].append(path)
+        else:
             folder = spark._jvm.org.apache.hadoop.fs.Path(path)
             folder.getFileSystem(conf).delete(folder, True)
 

@@ -313,20 +313,22 @@ def _components_of_sets(docs: DataFrame, made: DataFrame) -> DataFrame:
     links, few = [], False
     for turn in range(LEADER_ROUNDS + 1):
         last = turn == LEADER_ROUNDS or few
-        pairs = _remaining_pairs(slots, sets) if last else _led_pairs(slots, turn)
-        links.append(written(_confirmed(written(pairs, "pairs"), sets), "links"))
-        if last:
-            break
-        merged = written(slots.select("key", "comp").distinct(), "members")
-        ends = (links[-1].join(merged.select(F.col("key").alias("a"), F.col("comp").alias("x")), "a")
-                .join(merged.select(F.col("key").alias("b"), F.col("comp").alias("y")), "b"))
-        joined = components(ends.select(F.col("x").alias("a"), F.col("y").alias("b")))
-        joined = written(joined.filter("id <> component_id").select(F.col("id").alias("comp"), "component_id"), "joined")
-        few = joined.count() < LEAST_MERGED * merged.select("comp").distinct().count()
-        slots = _mixed(slots.join(joined, "comp", "left")
-                       .select("key", "n", "band", F.coalesce("component_id", "comp").alias("comp")))
-        if slots.isEmpty():
-            break
+        with scratch(docs.sparkSession) as kept:
+            kept.update(("links", "slots"))
+            pairs = _remaining_pairs(slots, sets) if last else _led_pairs(slots, turn)
+            links.append(written(_confirmed(written(pairs, "pairs"), sets), "links"))
+            if last:
+                break
+            merged = written(slots.select("key", "comp").distinct(), "members")
+            ends = (links[-1].join(merged.select(F.col("key").alias("a"), F.col("comp").alias("x")), "a")
+                    .join(merged.select(F.col("key").alias("b"), F.col("comp").alias("y")), "b"))
+            joined = components(ends.select(F.col("x").alias("a"), F.col("y").alias("b")))
+            joined = written(joined.filter("id <> component_id").select(F.col("id").alias("comp"), "component_id"), "joined")
+            few = joined.count() < LEAST_MERGED * merged.select("comp").distinct().count()
+            slots = _mixed(slots.join(joined, "comp", "left")
+                           .select("key", "n", "band", F.coalesce("component_id", "comp").alias("comp")))
+            if slots.isEmpty():
+                break
     everything = links[0]
     for more in links[1:]:
         everything = everything.unionByName(more)
