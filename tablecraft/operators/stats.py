@@ -9,7 +9,7 @@ window:
 2. distinct values are cut into ``buckets`` ranges by approximate quantiles
    (one scalar subquery), so each window partition holds ~1/buckets of them;
    the range count grows with the data (about a million distinct values per
-   range, at least 256 ranges); tables of every size take this path;
+   range, from one range up); tables of every size take this path;
 3. a running sum inside each range plus the total of all lower ranges (a table
    of at most ``buckets`` rows per key) gives the count below each value.
 
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKETS = None  # sized from the data by auto_buckets
-MIN_BUCKETS = 256
+MIN_BUCKETS = 1
 VALUES_PER_BUCKET = 1_000_000
 EXACT = "decimal(38,0)"
 
@@ -92,7 +92,7 @@ def cumulative_counts(counts: DataFrame, value: str, count_cols: Sequence[str] |
     return out.drop("_bucket", *[f"_in_{c}" for c in count_cols], *[f"_off_{c}" for c in count_cols])
 
 
-def with_quantile_bucket(df: DataFrame, value: str, buckets: int = MIN_BUCKETS,
+def with_quantile_bucket(df: DataFrame, value: str, buckets: int,
                          out: str = "_bucket") -> DataFrame:
     """Add ``out``: index of ``value``'s approximate-quantile range among ``buckets``.
 
@@ -102,6 +102,8 @@ def with_quantile_bucket(df: DataFrame, value: str, buckets: int = MIN_BUCKETS,
     ``try_element_at`` compare.  Equal values share a range and ranges follow
     the value order.
     """
+    if buckets == 1:  # no cut points: one range
+        return df.withColumn(out, F.lit(0))
     steps = 1
     while steps < buckets:
         steps *= 2
@@ -207,22 +209,23 @@ def mann_whitney(df: DataFrame, value: str, group: str, a, b,
 def spearman(df: DataFrame, x: str, y: str, buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """Spearman rank correlation (average ranks for ties), one row ``rho``.
 
-    Rows are collapsed to distinct ``(x, y)`` pairs with a weight before ranks
-    are joined back, so the rank joins run on distinct values, not on rows.
+    Rows are collapsed to distinct ``(x, y)`` pairs with a weight; the ranks of
+    ``y`` are joined to them and summed per ``x`` (partly before the shuffle), so
+    the ranks of ``x`` meet one row per distinct ``x``, however few there are.
     Doubled midranks are integers, so every sum is exact DECIMAL(38,0) and the
     centring uses the exact mean: 4*cov = sum(w*2rx*2ry) - n*(n+1)^2, likewise
-    for the variances.  One aggregate, no extra pass for ``n``.
+    for the variances.  No extra pass for ``n``.
     """
     pairs = materialize(df.select(F.col(x).alias("_x"), F.col(y).alias("_y"))
                         .filter(F.col("_x").isNotNull() & F.col("_y").isNotNull())
                         .groupBy("_x", "_y").agg(F.count(F.lit(1)).alias("w")))
     rx = twice_midranks_of_weighted(pairs, "_x", buckets).withColumnRenamed("r2", "rx2")
     ry = twice_midranks_of_weighted(pairs, "_y", buckets).withColumnRenamed("r2", "ry2")
-    joined = pairs.join(rx, "_x").join(ry, "_y")
-    w = F.col("w").cast(EXACT)
-    a, b = F.col("rx2").cast(EXACT), F.col("ry2").cast(EXACT)
-    sums = joined.agg(F.sum(w).alias("n"), F.sum(w * a * b).alias("sxy"),
-                      F.sum(w * a * a).alias("sxx"), F.sum(w * b * b).alias("syy"))
+    w, a, b = F.col("w").cast(EXACT), F.col("rx2").cast(EXACT), F.col("ry2").cast(EXACT)
+    by_x = (pairs.join(ry, "_y").groupBy("_x")
+            .agg(F.sum(w).alias("w"), F.sum(w * b).alias("wb"), F.sum(w * b * b).alias("wbb")))
+    sums = by_x.join(rx, "_x").agg(F.sum(w).alias("n"), F.sum(a * F.col("wb")).alias("sxy"),
+                                   F.sum(w * a * a).alias("sxx"), F.sum("wbb").alias("syy"))
     n = F.col("n")
     centre = n * (n + 1) * (n + 1)
     cov, vx, vy = (F.col("sxy") - centre), (F.col("sxx") - centre), (F.col("syy") - centre)

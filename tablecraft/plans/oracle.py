@@ -279,6 +279,66 @@ c{i + 1} AS MATERIALIZED (SELECT c.k, c.pos, coalesce(m.v, c.v) AS v FROM c{i} c
     return "WITH " + ",\n".join(parts) + f"\nSELECT k AS cluster, count(*) AS n, {_r6('sum(d)')} AS cost FROM a{rounds} GROUP BY 1"
 
 
+def _logistic_sql(rounds: int, ridge: float) -> str:
+    """Newton rounds for a constant and two standardised features, a CTE each; 3 x 3 systems by Cramer's rule."""
+    def det(m):
+        return " + ".join(f"({m[0][i]}) * (({m[1][(i + 1) % 3]}) * ({m[2][(i + 2) % 3]}) - ({m[1][(i + 2) % 3]}) * ({m[2][(i + 1) % 3]}))"
+                          for i in range(3))
+    x = ("1.0", "a", "b")
+    h = [[f"h{min(j, k)}{max(j, k)}" for k in range(3)] for j in range(3)]
+    parts = ["""pts AS MATERIALIZED (SELECT CASE WHEN win_type = 'radiant' THEN 1.0::DOUBLE ELSE -1.0 END AS y,
+    (duration - avg(duration) OVER ()) / stddev_pop(duration) OVER () AS a,
+    (first_blood_time - avg(first_blood_time) OVER ()) / stddev_pop(first_blood_time) OVER () AS b
+    FROM cleaned WHERE win_type IS NOT NULL AND duration IS NOT NULL AND first_blood_time IS NOT NULL),
+w0 AS (SELECT 0.0::DOUBLE AS v0, 0.0::DOUBLE AS v1, 0.0::DOUBLE AS v2)"""]
+    for i in range(rounds):
+        sums = [f"-sum(s * y * {x[j]}) / count(*) + {ridge}::DOUBLE * any_value(v{j}) AS g{j}" for j in range(3)]
+        sums += [f"sum(s * (1 - s) * {x[j]} * {x[k]}) / count(*) + {ridge if j == k else 0}::DOUBLE AS h{j}{k}"
+                 for j in range(3) for k in range(j, 3)]
+        solved = []
+        for j in range(3):
+            swapped = [[f"g{r}" if k == j else h[r][k] for k in range(3)] for r in range(3)]
+            solved.append(f"v{j} - ({det(swapped)}) / ({det(h)}) AS v{j}")
+        parts.append(f"""s{i} AS MATERIALIZED (SELECT any_value(v0) AS v0, any_value(v1) AS v1, any_value(v2) AS v2, {', '.join(sums)}
+    FROM (SELECT *, 1 / (1 + exp(y * (v0 + v1 * a + v2 * b))) AS s FROM pts, w{i})),
+w{i + 1} AS MATERIALIZED (SELECT {', '.join(solved)} FROM s{i})""")
+    loss = f"avg(ln(1 + exp(-y * (v0 + v1 * a + v2 * b)))) + {ridge / 2} * any_value(v0 * v0 + v1 * v1 + v2 * v2)"
+    return ",\n" + ",\n".join(parts) + f"""
+SELECT count(*) AS n, {_r6('any_value(v0)')} AS constant, {_r6('any_value(v1)')} AS duration,
+       {_r6('any_value(v2)')} AS first_blood, {_r6(loss)} AS loss, TRUE AS certified FROM pts, w{rounds}"""
+
+
+def _forest_sql(features, trees: int, depth: int, per_split: int) -> str:
+    """Every level of every tree: sampled rows, histograms by value, best cut of each node; a group of CTEs a level.
+
+    The shares of a Poisson(1) draw are fixed values, stated here a second time.
+    """
+    shares = (0.36787944, 0.73575888, 0.91969860, 0.98101184, 0.99634015, 0.99940582, 0.99991676)
+    n = " + ".join(f"CAST(u >= {s}::DOUBLE AS INTEGER)" for s in shares)
+    listed = ", ".join(f"CAST({c} AS DOUBLE)" for c in features)
+    names = "CASE feature " + " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(features)) + " END"
+    parts = [f"""drawn AS (SELECT t.tree, [{listed}] AS x, CAST(round(l_extendedprice * 100) AS DOUBLE) AS y,
+    CAST('0x' || substr(md5(l_orderkey || '-' || l_linenumber || ':' || t.tree), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE AS u
+    FROM lineitem, range(0, {trees}) t(tree)),
+at0 AS MATERIALIZED (SELECT tree, x, y, {n} AS n, 1 AS node FROM drawn WHERE u >= {shares[0]}::DOUBLE)"""]
+    gain = "lg * lg / lh + (ag - lg) * (ag - lg) / (ah - lh) - ag * ag / ah"
+    for i in range(depth):
+        parts.append(f"""long{i} AS (SELECT tree, node, f.feature, x[f.feature + 1] AS v, y, n FROM at{i}, range(0, {len(features)}) f(feature)),
+tried{i} AS (SELECT tree, node, feature FROM (SELECT DISTINCT tree, node, feature FROM long{i})
+    QUALIFY row_number() OVER (PARTITION BY tree, node ORDER BY md5(tree || ':' || node || ':' || feature)) <= {per_split}),
+hist{i} AS (SELECT tree, node, feature, v, sum(n * y) AS g, CAST(sum(n) AS DOUBLE) AS h FROM long{i} JOIN tried{i} USING (tree, node, feature) GROUP BY ALL),
+run{i} AS (SELECT *, sum(g) OVER w AS lg, sum(h) OVER w AS lh, sum(g) OVER p AS ag, sum(h) OVER p AS ah FROM hist{i}
+    WINDOW w AS (PARTITION BY tree, node, feature ORDER BY v), p AS (PARTITION BY tree, node, feature)),
+best{i} AS MATERIALIZED (SELECT *, {gain} AS gain FROM run{i} WHERE ah > lh AND gain > 0
+    QUALIFY row_number() OVER (PARTITION BY tree, node ORDER BY gain DESC, feature, v) = 1),
+at{i + 1} AS MATERIALIZED (SELECT a.tree, x, y, n, CAST(2 * a.node + CAST(x[b.feature + 1] > b.v AS INTEGER) AS INTEGER) AS node
+    FROM at{i} a JOIN best{i} b ON a.tree = b.tree AND a.node = b.node)""")
+    every = " UNION ALL ".join(f"SELECT * FROM best{i}" for i in range(depth))
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT CAST(tree AS INTEGER) AS tree, node, {names} AS feature, {_r6('v')} AS threshold, CAST(lh AS BIGINT) AS n_left,
+       CAST(ah - lh AS BIGINT) AS n_right, {_r6('lg / lh')} AS mean_left, {_r6('(ag - lg) / (ah - lh)')} AS mean_right FROM ({every})"""
+
+
 def _r6(expr: str) -> str:
     """Round to 6 places; -0.0 becomes 0.0 (as on the Spark side)."""
     return f"CASE WHEN round({expr}, 6) = 0 THEN 0.0 ELSE round({expr}, 6) END"
@@ -611,6 +671,10 @@ FROM orders GROUP BY 1, 2"""
     q["whole_files"] = """
 SELECT CAST(c_custkey // 100 AS VARCHAR) AS file, CAST(sum(length(CAST(c_custkey AS VARCHAR) || ' ' || c_name) + 1) AS BIGINT) AS chars,
        count(*) AS lines FROM customer GROUP BY 1"""
+    q["logistic_regression"] = matches + _logistic_sql(10, 0.001)
+    q["regression_forest"] = _forest_sql(("l_quantity", "l_discount", "l_tax"), 5, 3, 2)
+    q["saved_pipeline"] = with_(FLOWS) + """
+SELECT count(*) AS rows, 0 AS differences FROM flows WHERE Label <> 'Label'"""
     for name in ("distinct_per_hour", "top_users", "top_tags", "token_counts", "creation_years"):
         q[f"{name}_sql"] = q[name]
     q["daily_views_dump"] = q["daily_views"]

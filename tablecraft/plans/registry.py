@@ -497,6 +497,64 @@ def q_whole_files(spark, sf):
                         (F.size(F.split("value", "\n")) - 1).alias("lines"))
 
 
+# ------------------------------------------------------- models with a checked result
+@register("logistic_regression")
+def q_logistic_regression(spark, sf):
+    """Radiant wins by duration and first blood: weights, loss and whether the gradient vanishes."""
+    from tablecraft.operators.linear import logistic_regression
+    fit, certificate = logistic_regression(_cleaned(spark, sf), ["duration", "first_blood_time"], F.col("win_type") == "radiant")
+    row = (fit.n, *fit.weights, fit.losses[-1] if fit.losses else 0.0, certificate["gradient_norm"] < 1e-6)
+    found = spark.createDataFrame([row], "n long, constant double, duration double, first_blood double, loss double, certified boolean")
+    return found.select("n", *[r6(c).alias(c) for c in ("constant", "duration", "first_blood", "loss")], "certified")
+
+
+def _labelled_flows(spark, sf):
+    return FX.flows(spark, sf).filter(F.col("Label") != "Label")
+
+
+@register("linear_svm")
+def q_linear_svm(spark, sf):
+    """Each flow class against the rest: objective, its lower bound and their gap."""
+    from tablecraft.operators.linear import one_against_rest
+    flows = _labelled_flows(spark, sf)
+    classes = sorted(r["Label"] for r in flows.select("Label").distinct().collect())
+    fits = one_against_rest(flows, ["Fwd Mean", "Bwd Mean"], "Label", classes)
+    rows = [(c, f.n, cert["primal"], cert["dual"], cert["gap"]) for c, (f, cert) in fits.items()]
+    return spark.createDataFrame(rows, "label string, n long, primal double, dual double, gap double")
+
+
+@register("regression_forest")
+def q_regression_forest(spark, sf):
+    """Splits of a forest for the price of a line (in cents)."""
+    from tablecraft.operators.trees import regression_forest
+    lines = read_table(spark, sf, "lineitem").withColumn("cents", F.round(F.col("l_extendedprice") * 100).cast("double"))
+    forest = regression_forest(lines, ["l_quantity", "l_discount", "l_tax"], "cents", ["l_orderkey", "l_linenumber"],
+                               trees=5, depth=3, per_split=2)
+    return forest.split_rows(spark).select("tree", "node", "feature", r6("threshold").alias("threshold"), "n_left", "n_right",
+                                           r6("mean_left").alias("mean_left"), r6("mean_right").alias("mean_right"))
+
+
+@register("boosted_trees")
+def q_boosted_trees(spark, sf):
+    """Log loss of each flow class after every boosting round."""
+    from tablecraft.operators.trees import boosted_trees
+    model = boosted_trees(_labelled_flows(spark, sf), ["Fwd Mean", "Bwd Mean", "Flow Bytes"], "Label", rounds=5)
+    return spark.createDataFrame(model.losses, "round int, label string, loss double")
+
+
+@register("saved_pipeline")
+def q_saved_pipeline(spark, sf):
+    """A fitted pipeline and its saved and loaded copy, compared row by row."""
+    from tablecraft.operators.ml import linear_classifier, load_pipeline, save_model
+    flows = _labelled_flows(spark, sf).select(F.col("Fwd Mean").try_cast("double").alias("fwd"),
+                                              F.col("Bwd Mean").try_cast("double").alias("bwd"), "Label")
+    fitted, path = linear_classifier(flows, ["fwd", "bwd"], "Label"), scratch_path(spark, "saved-pipeline")
+    save_model(fitted, path)
+    before = fitted.transform(flows).select("fwd", "bwd", "Label", F.col("prediction").alias("before"))
+    both = load_pipeline(path).transform(before)
+    return both.agg(F.count("*").alias("rows"), F.count_if(~F.col("before").eqNullSafe(F.col("prediction"))).alias("differences"))
+
+
 # ------------------------------------------------------------------- SQL forms
 @register("distinct_per_hour_sql")
 def q_distinct_per_hour_sql(spark, sf):
