@@ -1,8 +1,8 @@
 """Two-class linear models by Newton steps, with a certificate of how near the optimum is.
 
 Equal rows are first grouped to one weighted row, written once; each step is then
-one aggregate of (d + 1)(d + 2) / 2 sums (d features) and one of the loss at
-twelve step lengths.  Only these sums reach the driver, which solves one
+one aggregate of (d + 1)(d + 2) / 2 sums (d features) and one of the loss at six
+step lengths.  Only these sums reach the driver, which solves one
 (d + 1)-square system; meant for up to some tens of features.
 """
 
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tablecraft.operators.stats import materialize
 
-STEP_LENGTHS = tuple(2.0 ** -i for i in range(12))
+STEP_LENGTHS = tuple(4.0 ** -i for i in range(6))
 #: Widths of the rounded hinge, each fit starting from the one before; the gap is at most a quarter of the last.
 HINGE_WIDTHS = (1.0, 0.1, 0.01)
 
