@@ -9,7 +9,7 @@ window:
 2. distinct values are cut into ``buckets`` ranges by approximate quantiles
    (one scalar subquery), so each window partition holds ~1/buckets of them;
    the range count grows with the data (about a million distinct values per
-   range, from one range up); tables of every size take this path;
+   range, at least 256 ranges); tables of every size take this path;
 3. a running sum inside each range plus the total of all lower ranges (a table
    of at most ``buckets`` rows per key) gives the count below each value.
 
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKETS = None  # sized from the data by auto_buckets
-MIN_BUCKETS = 1
+MIN_BUCKETS = 256
 VALUES_PER_BUCKET = 1_000_000
 EXACT = "decimal(38,0)"
 
