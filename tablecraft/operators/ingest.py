@@ -125,15 +125,28 @@ def _count_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                                columns=["path", "members", "complete", "error"])
 
 
+#: Compressed bytes of archives that one task reads, about.
+ARCHIVE_TASK_BYTES = 256 << 20
+
+
+def _archive_tasks(archives: int, size: int, cores: int) -> int:
+    """Tasks for so many archives of ``size`` bytes in all: by bytes, a task for every core at least, none without an archive."""
+    return max(1, min(archives, max(cores, -(-size // ARCHIVE_TASK_BYTES))))
+
+
 def _archive_listing(spark: SparkSession, glob: str) -> DataFrame:
-    """Paths of the archives, one per task.
+    """Paths of the archives, dealt to tasks by their bytes.
 
-    Listed with the ``binaryFile`` source reading only ``path`` (the content
-    column is pruned).  Range partitioning on distinct paths gives each archive
-    its own task (hash partitioning would pair some and leave tasks idle).
+    Listed with the ``binaryFile`` source reading only ``path`` and ``length``
+    (the content column is pruned).  The number of tasks follows the bytes, so
+    very many small archives share tasks.  Ranges of the path's hash give each
+    task as many archives as the others, of all sizes; as long as there are no
+    more archives than tasks, every archive has its own.
     """
-    listing = spark.read.format("binaryFile").load(glob).select("path")
-    return listing.repartitionByRange(max(1, listing.count()), "path")
+    listing = spark.read.format("binaryFile").load(glob).select("path", "length")
+    total = listing.agg(F.count("*").alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("size")).first()
+    tasks = _archive_tasks(total["n"], total["size"], spark.sparkContext.defaultParallelism)
+    return listing.select("path").repartitionByRange(tasks, F.xxhash64("path"))
 
 
 def archive_members(spark: SparkSession, glob: str,

@@ -279,6 +279,27 @@ c{i + 1} AS MATERIALIZED (SELECT c.k, c.pos, coalesce(m.v, c.v) AS v FROM c{i} c
     return "WITH " + ",\n".join(parts) + f"\nSELECT k AS cluster, count(*) AS n, {_r6('sum(d)')} AS cost FROM a{rounds} GROUP BY 1"
 
 
+def _als_sql(rounds: int, ridge: float) -> str:
+    """Half rounds of two factors for suppliers and parts, two CTEs each; 2 x 2 systems by Cramer's rule."""
+    number = "CAST('0x' || substr(md5(l_partkey || ':{}'), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE"
+    parts = [f"""r AS MATERIALIZED (SELECT l_suppkey, l_partkey, count(*)::DOUBLE AS w, sum(l_quantity::DOUBLE) AS s, sum(l_quantity::DOUBLE * l_quantity) AS ss
+    FROM lineitem WHERE l_suppkey IS NOT NULL AND l_partkey IS NOT NULL AND l_quantity IS NOT NULL GROUP BY 1, 2),
+x0 AS (SELECT l_partkey, {number.format(0)} AS a, {number.format(1)} AS b FROM (SELECT DISTINCT l_partkey FROM r))"""]
+    rows, keys = [], ("l_suppkey", "l_partkey")
+    for i in range(1, 2 * rounds + 1):
+        key, other = keys if i % 2 else keys[::-1]
+        before = f"(SELECT {ridge}::DOUBLE * sum(n * (a * a + b * b)) FROM x{i - 1})" if i > 1 else "0"
+        parts.append(f"""g{i} AS (SELECT {key}, sum(r.w * a * a) AS aa, sum(r.w * a * b) AS ab, sum(r.w * b * b) AS bb, sum(r.s * a) AS pa, sum(r.s * b) AS pb,
+    sum(r.w) AS n, sum(r.ss) AS ss FROM r JOIN x{i - 1} USING ({other}) GROUP BY 1),
+h{i} AS (SELECT {key}, n, ss, pa, pb, aa + {ridge}::DOUBLE * n AS aa, bb + {ridge}::DOUBLE * n AS bb, ab FROM g{i}),
+x{i} AS MATERIALIZED (SELECT {key}, n, ss, pa, pb, (pa * bb - pb * ab) / (aa * bb - ab * ab) AS a,
+    (pb * aa - pa * ab) / (aa * bb - ab * ab) AS b FROM h{i})""")
+        fit = "sum(ss - pa * a - pb * b)"
+        rows.append(f"""SELECT CAST({(i + 1) // 2} AS INTEGER) AS round, '{'user' if i % 2 else 'item'}' AS side, {_r6(f"({fit} + {before}) / sum(n)")} AS objective,
+       {_r6(f"sqrt(greatest(0, {fit} - {ridge}::DOUBLE * sum(n * (a * a + b * b))) / sum(n))")} AS rmse FROM x{i}""")
+    return "WITH " + ",\n".join(parts) + "\n" + "\nUNION ALL ".join(rows)
+
+
 def _logistic_sql(rounds: int, ridge: float) -> str:
     """Newton rounds for a constant and two standardised features, a CTE each; 3 x 3 systems by Cramer's rule."""
     def det(m):
@@ -675,6 +696,16 @@ SELECT CAST(c_custkey // 100 AS VARCHAR) AS file, CAST(sum(length(CAST(c_custkey
     q["regression_forest"] = _forest_sql(("l_quantity", "l_discount", "l_tax"), 5, 3, 2)
     q["saved_pipeline"] = with_(FLOWS) + """
 SELECT count(*) AS rows, 0 AS differences FROM flows WHERE Label <> 'Label'"""
+    q["als"] = _als_sql(3, 0.1)
+    q["fare_struct_batches"] = q["fare_struct"]
+    q["zscore_series"] = q["zscore"]
+    q["locations_grouped"] = trips + """
+SELECT CAST(hour AS INTEGER) AS hour, string_agg(CAST(l AS VARCHAR), ',' ORDER BY l) AS locations
+FROM (SELECT DISTINCT hour(lpep_pickup_datetime) AS hour, PULocationID AS l FROM trips) GROUP BY 1"""
+    q["csv_inferred"] = """
+SELECT o_orderstatus, CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS orders, CAST(sum(o_custkey) AS BIGINT) AS custkeys,
+       CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS price, 'whole,whole,string,double,date,string' AS types
+FROM orders GROUP BY 1, 2"""
     for name in ("distinct_per_hour", "top_users", "top_tags", "token_counts", "creation_years"):
         q[f"{name}_sql"] = q[name]
     q["daily_views_dump"] = q["daily_views"]

@@ -15,7 +15,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecraft.functions.udfs import fare_struct, join_ids_mapped, letter_udf
+from tablecraft.functions.udfs import (
+    FARE_FIELDS, fare_struct, fare_struct_udf, join_ids_mapped, letter_udf, sorted_distinct_grouped, zscore_in_series,
+)
 from tablecraft.operators import matches as M
 from tablecraft.operators import profiles as P
 from tablecraft.operators import rankings as R
@@ -24,7 +26,7 @@ from tablecraft.operators import text as T
 from tablecraft.operators.series import mean_daily_views, read_pageviews
 from tablecraft.session import ensure_checkpoint_dir, pin_utc, scratch_path, ship_package
 from tablecraft.sources import fixtures as FX
-from tablecraft.sources.readers import json_lines_checked, read_lines, read_whole_texts
+from tablecraft.sources.readers import json_lines_checked, read_csv_inferred, read_lines, read_whole_texts
 from tablecraft.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,6 +105,28 @@ def q_fare_struct(spark, sf):
                            for c in packed.schema["fare"].dataType.names])
 
 
+@register("fare_struct_batches")
+def q_fare_struct_batches(spark, sf):
+    """``fare_struct`` by the pandas UDF that takes many series and gives a struct."""
+    packed = FX.trips(spark, sf).select(fare_struct_udf()(*FARE_FIELDS).alias("fare"))
+    return packed.select(*[F.nanvl(F.col(f"fare.{c}").cast("double"), F.lit(None)).alias(c) for c in FARE_FIELDS])
+
+
+@register("zscore_series")
+def q_zscore_series(spark, sf):
+    """``zscore`` by the pandas UDF over series, with statistics of all rows."""
+    z = zscore_in_series(FX.trips(spark, sf), "fare_amount")
+    return z.select("PULocationID", "DOLocationID", "fare_amount", r6("z").alias("z"))
+
+
+@register("locations_grouped")
+def q_locations_grouped(spark, sf):
+    """Sorted distinct pickup locations of every hour by a grouped Python function."""
+    hours = FX.trips(spark, sf).select(F.hour("lpep_pickup_datetime").alias("hour"), "PULocationID")
+    out = sorted_distinct_grouped(hours, "hour", "PULocationID", "locations")
+    return out.select("hour", F.array_join("locations", ",").alias("locations"))
+
+
 @register("priciest_pairs")
 def q_priciest_pairs(spark, sf):
     return R.priciest_pairs(FX.trips(spark, sf))
@@ -349,6 +373,18 @@ def q_null_profile(spark, sf):
     return P.null_profile(FX.matches(spark, sf))
 
 
+@register("csv_inferred")
+def q_csv_inferred(spark, sf):
+    """Orders as CSV, read back with inferred types: the types, and sums that need them."""
+    src = scratch_path(spark, "orders-csv")
+    read_table(spark, sf, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date")).write.option("header", True).csv(src)
+    back = read_csv_inferred(spark, src)
+    kinds = ",".join({"int": "whole", "bigint": "whole"}.get(kind, kind) for _, kind in back.dtypes)
+    return back.groupBy("o_orderstatus", F.year("o_orderdate").alias("year")).agg(
+        F.count("*").alias("orders"), F.sum(F.col("o_custkey").cast("bigint")).alias("custkeys"),
+        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("price")).withColumn("types", F.lit(kinds))
+
+
 @register("csv_to_partitioned")
 def q_csv_to_partitioned(spark, sf):
     from tablecraft.operators.ingest import csv_to_partitioned
@@ -542,6 +578,15 @@ def q_boosted_trees(spark, sf):
     return spark.createDataFrame(model.losses, "round int, label string, loss double")
 
 
+@register("als")
+def q_als(spark, sf):
+    """Suppliers and parts by the quantities of their lines: objective and error of every half round."""
+    from tablecraft.operators.factors import als
+    fit = als(read_table(spark, sf, "lineitem"), "l_suppkey", "l_partkey", "l_quantity", rank=2, rounds=3)
+    rows = spark.createDataFrame(fit.errors, "round int, side string, objective double, rmse double")
+    return rows.select("round", "side", r6("objective").alias("objective"), r6("rmse").alias("rmse"))
+
+
 @register("saved_pipeline")
 def q_saved_pipeline(spark, sf):
     """A fitted pipeline and its saved and loaded copy, compared row by row."""

@@ -110,3 +110,17 @@ def test_small_csv_and_top_saved(spark, tmp_path):
     save_small_csv(df, out, limit=100)
     got = [tuple(r) for r in top_saved(spark, out, "country STRING, count BIGINT", n=3).collect()]
     assert got == [("y", 9), ("z", 9), ("x", 3)]
+
+
+def test_archive_tasks_follow_bytes(spark, tmp_path):
+    assert I._archive_tasks(0, 0, 8) == 1
+    assert I._archive_tasks(5, 100, 8) == 5  # fewer archives than cores: one each
+    assert I._archive_tasks(10**8, 10**8 * 1000, 8) == -(-10**11 // I.ARCHIVE_TASK_BYTES)
+    assert I._archive_tasks(1000, 1000 * (1 << 30), 8) == 1000  # none without an archive
+    for i in range(40):
+        _tar(tmp_path / f"a{i}.tar.gz", [("x.json", b"{}"), ("y.json", b"{}")][i % 2:])
+    glob = str(tmp_path / "*.tar.gz")
+    listing = I._archive_listing(spark, glob)
+    assert listing.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    counts = {r["path"].rsplit("/")[-1]: r["members"] for r in I.archive_counts(spark, glob).collect()}
+    assert counts == {f"a{i}.tar.gz": 2 - i % 2 for i in range(40)}
