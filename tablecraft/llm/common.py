@@ -115,6 +115,27 @@ def scratch(spark: SparkSession) -> Iterator[set[str]]:
             folder.getFileSystem(conf).delete(folder, True)
 
 
+#: Spark's setting that deletes a query's shuffle files when the query has ended.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Queries that end inside the block leave no shuffle files behind.
+
+    Without it they stay until the driver's garbage collector finds their
+    plans, so a job of many written tables holds the shuffles of all of them.
+    A query inside the block still has its files for as long as it runs, also
+    where an executor is lost.
+    """
+    before = spark.conf.get(FREE_SHUFFLES, "false")
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared checkpoint folder, read again.
 
@@ -123,7 +144,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     path = f"{checkpoint_root(spark)}/tablecraft-llm/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
+    with shuffles_freed(spark):
+        df.write.parquet(path)
     if _OPEN:
         _OPEN[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)

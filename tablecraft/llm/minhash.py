@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablecraft.llm.common import bitmap_of, in_bitmap, map_texts, mix64, scratch, share, space_words, written
+from tablecraft.llm.common import bitmap_of, in_bitmap, map_texts, mix64, scratch, share, shuffles_freed, space_words, written
 from tablecraft.llm.components import components
 
 SHINGLE = 5
@@ -355,7 +355,7 @@ def near_groups(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, carry: tu
     looked at.
     """
     made = written(sketches(docs, bands, rows, carry), "sketches")
-    with scratch(docs.sparkSession) as kept:
+    with scratch(docs.sparkSession) as kept, shuffles_freed(docs.sparkSession):
         kept.add("components")
         found = _components_of_sets(docs.select("doc_id", "text"), made)
     return (made.select(*carry, "n_shingles", "set_key").join(found, "set_key", "left")

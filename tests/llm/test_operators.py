@@ -472,3 +472,25 @@ def test_near_groups_leave_little_scratch(spark, docs_of):
     got = minhash.near_groups(docs_of(replaced_copies(30, 2)))
     assert sorted(n.rpartition("-")[0] for n in set(os.listdir(folder)) - before) == ["components", "sketches"]
     assert got.count() == 30 and got.count() == 30
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    """A written table's shuffle files go with its query; the session's setting stays as it was."""
+    from tablecraft.llm import common
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = disk.getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+    rows = spark.range(1000).repartition(7).groupBy((F.col("id") % 10).alias("k")).count()
+    before = shuffled()
+    rows.collect()
+    assert shuffled() - before  # what a query leaves otherwise
+    seen, setting = shuffled(), spark.conf.get(common.FREE_SHUFFLES, "false")
+    out = common.written(rows, "freed")
+    assert not shuffled() - seen
+    assert spark.conf.get(common.FREE_SHUFFLES, "false") == setting
+    assert sorted(map(tuple, out.collect())) == [(k, 100) for k in range(10)]
+    with pytest.raises(ZeroDivisionError), common.shuffles_freed(spark):
+        1 / 0
+    assert spark.conf.get(common.FREE_SHUFFLES, "false") == setting
