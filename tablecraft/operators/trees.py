@@ -11,9 +11,13 @@ that a row walks down in expressions.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,12 +68,35 @@ def quantile_cuts(df: DataFrame, features: Sequence[str], bins: int = 128) -> li
     return [sorted(set(row[f"c{i}"] or [])) for i in range(len(features))]
 
 
-def bin_array(features: Sequence[str], cuts: list[list[float]]) -> Column:
-    """Per feature the number of cuts below the value (0: at or below the first); null for a null or NaN value."""
-    def one(c, at):
-        x = F.col(f"`{c}`").try_cast("double")
-        return F.when(x.isNull() | F.isnan(x), None).otherwise(F.size(F.filter(_literals(at, "double"), lambda v: v < x)))
-    return F.array(*[one(c, at) for c, at in zip(features, cuts)])
+def readable(features: Sequence[str]) -> Column:
+    """Whether every feature of a row is a number: neither null nor NaN."""
+    numbers = [F.col(f"`{c}`").try_cast("double") for c in features]
+    return reduce(and_, [x.isNotNull() & ~F.isnan(x) for x in numbers], F.lit(True))
+
+
+def with_bins(df: DataFrame, features: Sequence[str], cuts: list[list[float]], name: str) -> DataFrame:
+    """``df`` and the array ``name``: per feature the number of cuts below the value; null for a null or NaN value.
+
+    A value at or below the first cut is in bin 0.  Bins are looked up by
+    halving (``Bucketizer``), so a row costs the logarithm of the cuts.  The
+    buckets there hold their lower end, so they are cut at the negated values
+    and counted from above.  Filter rows before, not after: Spark would work
+    out a filter on ``name`` below this step and with it every bin twice.
+    """
+    own, found = [f"__{name}{i}" for i in range(len(features))], []
+    # 0.0 - x has no negative zero, which halving would put below zero
+    df = df.select("*", *[(F.lit(0.0) - F.col(f"`{c}`").try_cast("double")).alias(o) for c, o in zip(features, own)])
+    for o, at in zip(own, cuts):
+        finite = sorted(c for c in at if math.isfinite(c))
+        below = F.lit(0)
+        if finite:
+            ends = [-math.inf, *[0.0 - c for c in reversed(finite)], math.inf]
+            df = Bucketizer(splits=ends, inputCol=o, outputCol=f"{o}_at", handleInvalid="keep").transform(df)
+            below = F.lit(len(finite)) - F.col(f"{o}_at").cast("int")
+        if -math.inf in at:
+            below = below + (F.col(o) < math.inf).cast("int")
+        found.append(F.when(F.col(o).isNull() | F.isnan(o), None).otherwise(below))
+    return df.withColumn(name, F.array(*found)).drop(*own, *[f"{o}_at" for o in own])
 
 
 def _best_cuts(cells: DataFrame, keys: list[str], width: int, allowed: Column | None) -> DataFrame:
@@ -148,10 +175,9 @@ class Forest:
 
     def predict(self, df: DataFrame, name: str = "prediction") -> DataFrame:
         """``df`` with the mean of the trees' leaf values; null where a feature is null or NaN."""
-        b = bin_array(self.features, self.cuts)
         total = sum((value_of(t, self.depth, "_bins") for t in self.trees.values()), F.lit(0.0))
         whole = F.forall("_bins", lambda v: v.isNotNull())
-        return df.withColumn("_bins", b).withColumn(name, F.when(whole, total / len(self.trees))).drop("_bins")
+        return with_bins(df, self.features, self.cuts, "_bins").withColumn(name, F.when(whole, total / len(self.trees))).drop("_bins")
 
     def split_rows(self, spark) -> DataFrame:
         """One row per split: tree, node, feature, threshold (left: at most it), rows and means on both sides."""
@@ -175,8 +201,8 @@ def regression_forest(df: DataFrame, features: Sequence[str], target: str, key:
     per_split = per_split or max(1, len(feats) // 3)
     cuts = quantile_cuts(df, feats, bins)
     y = F.col(target).cast("double")
-    rows = df.select(F.concat_ws("-", *[F.col(k).cast("string") for k in key]).alias("key"), bin_array(feats, cuts).alias("b"),
-                     y.alias("y")).filter(F.forall("b", lambda v: v.isNotNull()) & y.isNotNull() & ~F.isnan("y"))
+    rows = with_bins(df.filter(readable(feats) & y.isNotNull() & ~F.isnan(y)), feats, cuts, "_bins").select(
+        F.concat_ws("-", *[F.col(k).cast("string") for k in key]).alias("key"), F.col("_bins").alias("b"), y.alias("y"))
     sampled = (rows.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
                .withColumn("n", draws(F.col("key"), F.col("tree"))).filter(F.col("n") > 0))
     cells = materialize(sampled.groupBy("tree", "b").agg(F.sum(F.col("n") * F.col("y")).alias("g"), F.sum("n").cast("double").alias("h"),
@@ -201,7 +227,7 @@ class Boosted:
         scored = [F.struct(sum((self.rate * value_of(t, self.depth, "_bins") for t in self.trees[c]), F.lit(self.start[c])).alias("margin"),
                            F.lit(c).alias("class")) for c in sorted(self.start)]
         whole = F.forall("_bins", lambda v: v.isNotNull())
-        return (df.withColumn("_bins", bin_array(self.features, self.cuts))
+        return (with_bins(df, self.features, self.cuts, "_bins")
                 .withColumn(name, F.when(whole, F.array_max(F.array(*scored))["class"])).drop("_bins"))
 
 
@@ -216,12 +242,11 @@ def boosted_trees(df: DataFrame, features: Sequence[str], label: str, rounds: in
     before the first tree.  Rows with a null or NaN feature or a null label are
     left out; an empty table gives no classes.
     """
-    import math
     feats = list(features)
     cuts = quantile_cuts(df, feats, bins)
-    rows = df.select(bin_array(feats, cuts).alias("b"), F.col(label).alias("label"))
-    counted = materialize(rows.filter(F.forall("b", lambda v: v.isNotNull()) & F.col("label").isNotNull())
-                          .groupBy("b", "label").agg(F.count("*").alias("n")))
+    rows = with_bins(df.filter(readable(feats) & F.col(label).isNotNull()), feats, cuts, "_bins").select(
+        F.col("_bins").alias("b"), F.col(label).alias("label"))
+    counted = materialize(rows.groupBy("b", "label").agg(F.count("*").alias("n")))
     shares = {r["label"]: r["n"] for r in counted.groupBy("label").agg(F.sum("n").alias("n")).collect()}
     total = sum(shares.values())
     classes = sorted(shares)

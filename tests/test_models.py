@@ -84,3 +84,22 @@ def test_boosting_loss_falls_for_three_classes(points):
         assert len(losses) == 5 and all(x > y for x, y in zip(losses, losses[1:]))
     right = model.predict(three).agg(F.avg((F.col("prediction") == F.col("of")).cast("double"))).first()[0]
     assert right > 0.85
+
+
+def test_bins_count_the_cuts_below_and_are_looked_up_once(spark, points, monkeypatch):
+    at = [[-math.inf, -2.5, 0.0, 1.0, 7.25, math.inf], [3.0], []]
+    values = [None, math.nan, -math.inf, -3.0, -2.5, -0.0, 0.0, 0.5, 1.0, 7.25, 7.5, math.inf]
+    rows = spark.createDataFrame([(v, v, v) for v in values], "`a b` double, b double, c double")
+    for row in T.with_bins(rows, ["a b", "b", "c"], at, "bins").collect():
+        v = row["b"]
+        none = v is None or math.isnan(v)
+        assert row["bins"] == [None if none else sum(c < v for c in cuts) for cuts in at], v
+    plans = []
+
+    def kept(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return materialize(df)
+    materialize = T.materialize
+    monkeypatch.setattr(T, "materialize", kept)
+    T.boosted_trees(points, ["a", "b"], "label", rounds=0)
+    assert plans[0].count("UDF") == 2 and "lambda" not in plans[0], plans[0]  # one look-up a feature
