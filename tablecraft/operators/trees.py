@@ -203,10 +203,10 @@ def regression_forest(df: DataFrame, features: Sequence[str], target: str, key:
     y = F.col(target).cast("double")
     rows = with_bins(df.filter(readable(feats) & y.isNotNull() & ~F.isnan(y)), feats, cuts, "_bins").select(
         F.concat_ws("-", *[F.col(k).cast("string") for k in key]).alias("key"), F.col("_bins").alias("b"), y.alias("y"))
-    sampled = (rows.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-               .withColumn("n", draws(F.col("key"), F.col("tree"))).filter(F.col("n") > 0))
-    cells = materialize(sampled.groupBy("tree", "b").agg(F.sum(F.col("n") * F.col("y")).alias("g"), F.sum("n").cast("double").alias("h"),
-                                                         F.sum("n").alias("n")))
+    # rows drawn no times go after the sums: a filter before would work out each draw again, once for every share
+    drawn = rows.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).withColumn("n", draws(F.col("key"), F.col("tree")))
+    cells = materialize(drawn.groupBy("tree", "b").agg(F.sum(F.when(F.col("n") > 0, F.col("n") * F.col("y"))).alias("g"),
+                                                       F.sum("n").cast("double").alias("h"), F.sum("n").alias("n")).filter(F.col("n") > 0))
     grown, made = grow(cells, list(range(trees)), depth, len(feats), per_split)
     return Forest(tuple(feats), cuts, grown, depth, made)
 

@@ -102,4 +102,17 @@ def test_bins_count_the_cuts_below_and_are_looked_up_once(spark, points, monkeyp
     materialize = T.materialize
     monkeypatch.setattr(T, "materialize", kept)
     T.boosted_trees(points, ["a", "b"], "label", rounds=0)
-    assert plans[0].count("UDF") == 2 and "lambda" not in plans[0], plans[0]  # one look-up a feature
+    assert plans[0].count("bucketizer") == 2 and "lambda" not in plans[0], plans[0]  # one look-up a feature
+
+
+def test_draws_are_worked_out_once_a_row_and_tree(points, monkeypatch):
+    plans = []
+
+    def kept(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return materialize(df)
+    materialize = T.materialize
+    monkeypatch.setattr(T, "materialize", kept)
+    T.regression_forest(points, ["a", "b"], "y", ["id"], trees=3, depth=0)
+    before_sums = [line for line in plans[0].splitlines() if "md5" in line]
+    assert len(before_sums) == 1 and "Project" in before_sums[0], plans[0]
