@@ -72,12 +72,49 @@ def _filesystem(path: str):
     return pafs.FileSystem.from_uri(ARROW_SCHEMES.get(scheme, scheme) + colon + rest)
 
 
+class _Header(tarfile.TarInfo):
+    """A member's header, of which plain files' are read straight: name, size and checksum.
+
+    Every other header, and one that does not add up, is the library's matter.
+    """
+
+    @classmethod
+    def frombuf(cls, buf, encoding, errors):
+        # a regular file without a name prefix, its size and checksum in octal digits
+        if len(buf) == tarfile.BLOCKSIZE and buf[156:157] == tarfile.REGTYPE and buf[257:262] == b"ustar" and not buf[345]:
+            try:
+                size, told = (int(buf[a:b].rstrip(b" \0"), 8) for a, b in ((124, 136), (148, 156)))
+            except ValueError:
+                size = told = -1
+            if size >= 0 and told == 256 + sum(buf) - sum(buf[148:156]):
+                member = cls(buf[:100].partition(b"\0")[0].decode(encoding, errors))
+                member.size = size
+                return member
+        return super().frombuf(buf, encoding, errors)
+
+
+#: The header of an empty member without a name, and the sum of its bytes with a blank checksum.
+_BLANK = tarfile.TarInfo("").tobuf(tarfile.USTAR_FORMAT)
+_BLANK_SUM = 256 + sum(_BLANK) - sum(_BLANK[124:136]) - sum(_BLANK[148:156])
+
+
+def _member_header(name: str, size: int) -> bytes:
+    """The header of a member as the library writes it; names and sizes that fit are put into a header made once."""
+    if name and len(name) <= 100 and name.isascii() and size < 8 ** 11:
+        told, digits = name.encode("ascii"), b"%011o\0" % size
+        total = _BLANK_SUM + sum(told) + sum(digits)
+        return b"".join((told.ljust(100, b"\0"), _BLANK[100:124], digits, _BLANK[136:148], b"%06o\0 " % total, _BLANK[156:]))
+    info = tarfile.TarInfo(name)
+    info.size = size
+    return info.tobuf(tarfile.DEFAULT_FORMAT, "utf-8", "surrogateescape")
+
+
 @contextmanager
 def _open_archive(path: str):
     """The members of a tar.gz, streamed; the end of the compressed data is checked on leaving."""
     filesystem, inner = _filesystem(path)
     with filesystem.open_input_stream(inner, compression=None) as raw, gzip.GzipFile(fileobj=raw) as data:
-        with tarfile.open(fileobj=data, mode="r|") as tar:
+        with tarfile.open(fileobj=data, mode="r|", tarinfo=_Header) as tar:
             yield tar
         while data.read(1 << 20):
             pass
@@ -178,13 +215,15 @@ ARCHIVE_WRITE_SCHEMA = "archive string, members long"
 
 def _archive_writer(root: str):
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import io
         filesystem, base = _filesystem(root)
         filesystem.create_dir(base, recursive=True)
-        current, part, stream, tar, count, done = None, None, None, None, 0, []
+        current, part, stream, tar, size, count, done = None, None, None, None, 0, 0, []
 
         def close():
             if tar is not None:
+                # two empty blocks end an archive, which fills whole records
+                end = size + 2 * tarfile.BLOCKSIZE
+                tar.write(bytes(end - size + -end % tarfile.RECORDSIZE))
                 tar.close()
                 stream.close()
                 filesystem.move(part, f"{base}/{current}")
@@ -194,14 +233,14 @@ def _archive_writer(root: str):
             for name, member, doc in zip(pdf["archive"], pdf["member"], pdf["doc"]):
                 if name != current:
                     close()
-                    current, count = name, 0
+                    current, size, count = name, 0, 0
                     part = f"{base}/{name}.{uuid.uuid4().hex}.part"
                     stream = filesystem.open_output_stream(part, compression=None)
-                    tar = tarfile.open(fileobj=stream, mode="w|gz", compresslevel=1)
+                    tar = gzip.GzipFile("", "wb", compresslevel=1, fileobj=stream, mtime=0)
                 data = (doc or "").encode("utf-8")
-                info = tarfile.TarInfo(member)
-                info.size = len(data)
-                tar.addfile(info, io.BytesIO(data))
+                block = b"".join((_member_header(member, len(data)), data, bytes(-len(data) % tarfile.BLOCKSIZE)))
+                tar.write(block)
+                size += len(block)
                 count += 1
         close()
         if done:

@@ -124,3 +124,34 @@ def test_archive_tasks_follow_bytes(spark, tmp_path):
     assert listing.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
     counts = {r["path"].rsplit("/")[-1]: r["members"] for r in I.archive_counts(spark, glob).collect()}
     assert counts == {f"a{i}.tar.gz": 2 - i % 2 for i in range(40)}
+
+
+def test_plain_members_cost_few_calls_and_headers_are_the_library_s(spark, tmp_path):
+    import cProfile
+    import pstats
+
+    import pandas as pd
+    for name in ("p.json", "d/p.json", "x" * 100, "x" * 101, "d" * 90 + "/" + "x" * 90, "märz.json", "a b"):
+        for size in (0, 1, 511, 8 ** 11 - 1, 8 ** 11):
+            info = tarfile.TarInfo(name)
+            info.size = size
+            header = I._member_header(name, size)
+            assert header == info.tobuf(tarfile.DEFAULT_FORMAT, "utf-8", "surrogateescape")
+            if len(header) == tarfile.BLOCKSIZE:
+                one, two = (t.frombuf(header, "utf-8", "surrogateescape") for t in (I._Header, tarfile.TarInfo))
+                assert (one.name, one.size, one.type, one.mode) == (two.name, two.size, two.type, two.mode)
+                with pytest.raises(tarfile.HeaderError):
+                    I._Header.frombuf(header[:200] + b"!" + header[201:], "utf-8", "surrogateescape")
+    many = pd.DataFrame({"archive": "a.tar.gz", "member": [f"p{i}.json" for i in range(1999)] + ["ü" * 120], "doc": "x" * 700})
+
+    def calls(run):
+        profile = cProfile.Profile()
+        found = profile.runcall(run)
+        return found, pstats.Stats(profile).total_calls / len(many)
+    written, packing = calls(lambda: list(I._archive_writer(tmp_path.as_uri())([many])))
+    assert written[0].values.tolist() == [["a.tar.gz", 2000]] and packing < 30  # 126 by the library alone
+    paths = pd.DataFrame({"path": [(tmp_path / "a.tar.gz").as_uri()]})
+    counted, reading = calls(lambda: list(I._count_members([paths])))
+    assert counted[0].values.tolist() == [[paths["path"][0], 2000, True, None]] and reading < 60  # 109 by the library alone
+    with tarfile.open(tmp_path / "a.tar.gz") as tar:
+        assert [m.name for m in tar] == list(many["member"]) and tar.extractfile("p7.json").read() == b"x" * 700
