@@ -13,11 +13,10 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler, VectorIndexer
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,7 +51,6 @@ def predict_class(train: DataFrame, new: DataFrame,
     category stays usable.  Runs the indexer and forest fit jobs; prediction
     stays lazy.
     """
-    from pyspark.ml import PipelineModel
     feats = list(features)
     extra = [k for k in keep if k not in feats]
     cast = lambda d: d.select(*extra, *[F.col(c).cast("double").alias(c) for c in feats],
@@ -76,6 +74,30 @@ def predict_class(train: DataFrame, new: DataFrame,
 
 
 # ------------------------------------------------------ cross-validated forest
+def _fold_scores(train: DataFrame, prepare: Pipeline, forest: RandomForestClassifier, depths: Sequence[int],
+                 evaluator: MulticlassClassificationEvaluator, folds: int, seed: int) -> dict[int, float]:
+    """Mean score of each depth over ``folds`` folds, which a seeded ``rand`` parts as ``CrossValidator`` does.
+
+    A fold's rows are prepared once for all depths, and depths are fitted one
+    after another: a fit holds its binned rows with a count for every tree, and
+    several at once would push each other out of memory.
+    """
+    scores = dict.fromkeys(depths, 0.0)
+    drawn = train.withColumn("__fold", F.rand(seed))
+    for i in range(folds):
+        here = (F.col("__fold") >= i / folds) & (F.col("__fold") < (i + 1) / folds)
+        prepared = prepare.fit(drawn.filter(~here))
+        fit_rows, check_rows = (prepared.transform(drawn.filter(c)).select("features_scaled", "label_idx").cache() for c in (~here, here))
+        try:
+            for d in depths:
+                fitted = forest.copy({forest.maxDepth: d}).fit(fit_rows)
+                scores[d] += evaluator.evaluate(fitted.transform(check_rows)) / folds
+        finally:
+            fit_rows.unpersist()
+            check_rows.unpersist()
+    return scores
+
+
 def tune_forest(df: DataFrame, features: Sequence[str] | None = None, label: str = "Label",
                 depths: Sequence[int] = (4, 8, 12), folds: int = 3, seed: int = 143,
                 train_share: float = 0.7, header_value: str | None = "Label") -> DataFrame:
@@ -99,20 +121,19 @@ def tune_forest(df: DataFrame, features: Sequence[str] | None = None, label: str
     try:
         forest = RandomForestClassifier(maxDepth=5, seed=seed, featuresCol="features_scaled",
                                         labelCol="label_idx", predictionCol="prediction")
-        pipe = Pipeline(stages=[
+        prepare = Pipeline(stages=[
             VectorAssembler(inputCols=feats, outputCol="features"),
             StringIndexer(inputCol="Label", outputCol="label_idx"),
             StandardScaler(inputCol="features", outputCol="features_scaled"),
-            forest,
         ])
-        grid = ParamGridBuilder().addGrid(forest.maxDepth, list(depths)).build()
         evaluator = MulticlassClassificationEvaluator(labelCol="label_idx", predictionCol="prediction",
                                                       metricName="accuracy")
-        cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=evaluator,
-                            numFolds=folds, seed=seed, parallelism=min(len(grid), 4))
-        model = cv.fit(train)
+        scores = _fold_scores(train, prepare, forest, depths, evaluator, folds, seed)
+        depth = max(depths, key=lambda d: scores[d])  # ties: the first
+        prepared = prepare.fit(train)
+        model = PipelineModel([prepared, forest.copy({forest.maxDepth: depth}).fit(prepared.transform(train))])
         accuracy = evaluator.evaluate(model.transform(test))
-        best = model.bestModel.stages[-1]
+        best = model.stages[-1]
         rows = [(p.name, str(v)) for p, v in sorted(best.extractParamMap().items(), key=lambda kv: kv[0].name)]
         rows.append(("test_accuracy", repr(float(accuracy))))
         rows.append(("dropped_rows", str(dropped)))
@@ -180,5 +201,4 @@ def save_model(model, path: str) -> None:
 
 
 def load_pipeline(path: str):
-    from pyspark.ml import PipelineModel
     return PipelineModel.load(path)

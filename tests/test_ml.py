@@ -73,3 +73,28 @@ def test_other_estimators_run(spark, sf_dir, tmp_path):
     for kind, rows in (("logistic", flows), ("svm", flows), ("gbt", two)):
         fitted = ml.linear_classifier(rows, ["fwd", "bwd"], "Label", kind=kind)
         assert fitted.transform(rows).count() == rows.count()
+
+
+def test_folds_are_prepared_once_and_scored_as_by_cross_validator(spark, sf_dir, monkeypatch):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    from pyspark.ml.feature import StringIndexer, VectorAssembler
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+    rows = spark.range(400).select((F.col("id") % 20).cast("double").alias("a"), (F.col("id") % 7).cast("double").alias("b"),
+                                   F.when(F.col("id") % 20 + F.col("id") % 3 > 11, "u").otherwise("v").alias("Label"))
+    prepare = Pipeline(stages=[VectorAssembler(inputCols=["a", "b"], outputCol="features_scaled"), StringIndexer(inputCol="Label", outputCol="label_idx")])
+    forest = RandomForestClassifier(seed=1, featuresCol="features_scaled", labelCol="label_idx")
+    evaluator = MulticlassClassificationEvaluator(labelCol="label_idx", metricName="accuracy")
+    grid = ParamGridBuilder().addGrid(forest.maxDepth, [1, 4]).build()
+    whole = CrossValidator(estimator=Pipeline(stages=[*prepare.getStages(), forest]), estimatorParamMaps=grid, evaluator=evaluator,
+                           numFolds=3, seed=5).fit(rows)
+    fits, fit = [], StringIndexer._fit
+
+    def counted(self, data):
+        fits.append(1)
+        return fit(self, data)
+    monkeypatch.setattr(StringIndexer, "_fit", counted)
+    scores = ml._fold_scores(rows, prepare, forest, [1, 4], evaluator, 3, 5)
+    assert [round(scores[d], 12) for d in (1, 4)] == [round(m, 12) for m in whole.avgMetrics]
+    assert len(fits) == 3
