@@ -1,7 +1,8 @@
 """Benchmark decontamination over a distributed positional inverted index.
 
 The corpus is scanned once to count the benchmark's words, once to store the
-postings (document, word, positions) of every window's rarest words.  Postings
+postings (document, word, positions) of every window's rarest words, where two
+of them may stand as in an item, and the texts that may hold a window.  Postings
 minus the word's place in the item give alignments; the lists of a window's
 two rarest words are intersected, and the survivors are compared word by word.
 Any two of the three rarest words that the corpus has, nearly as far apart as in
@@ -10,13 +11,15 @@ the item, are a proximity match.
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from tablecraft.llm.common import alnum_words, bitmap_of, in_bitmap, map_texts, row_key, share, written
+from tablecraft.llm.common import bitmap_of, map_texts, mix64, row_key, share, written
+from tablecraft.llm.words import alnum_keys, in_bitmap_all, keys_of_texts, text_slices
 
 WINDOW = 10
 #: Extra words that may stand between two anchors of a proximity match.
@@ -27,10 +30,10 @@ ANCHORS = 3
 FLUSH_WORDS = 1_000_000
 
 
-def word_key(word: bytes) -> int:
-    """Signed 64-bit key of a word."""
-    h = xxhash.xxh3_64_intdigest(word)
-    return h - (1 << 64) if h >> 63 else h
+def pair_keys(one: np.ndarray, two: np.ndarray, apart: np.ndarray) -> np.ndarray:
+    """Key of two words (their keys) and how many places the second stands behind the first."""
+    a, b, d = (x.astype(np.int64, copy=False).view(np.uint64) for x in (one, two, apart))
+    return mix64(mix64(a * np.uint64(0x9E3779B97F4A7C15) + d) ^ b).view(np.int64)
 
 
 def windows_of(words: list, width: int = WINDOW) -> range:
@@ -41,25 +44,11 @@ def windows_of(words: list, width: int = WINDOW) -> range:
 def item_words(benchmark: DataFrame) -> DataFrame:
     """``item_id, words`` (word keys in order) of every item that has words; an id's repeats are told apart by ``item_key``."""
     def setup():
-        return lambda texts: [[[word_key(w) for w in alnum_words(t)] for t in texts]]
+        return lambda texts: [keys_of_texts(texts)]
     return (map_texts(benchmark.withColumn("item_key", row_key("item_id", "text")), setup, "words array<long>", carry=("item_key", "item_id"))
             .filter(F.size("words") > 0).dropDuplicates(["item_key"]))
 
 
-class _InVocabulary(dict):
-    """word -> its key if the bitmap has it, else None; forgets when full."""
-
-    def __init__(self, bits: bytes):
-        self.bits = bits
-
-    def __missing__(self, word: bytes):
-        if len(self) >= 200_000:
-            self.clear()
-        key = word_key(word)
-        self[word] = found = key if in_bitmap(self.bits, key) else None
-        return found
-
-
 def word_counts(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """``term, tf``: occurrences in the whole corpus of each word key in ``vocabulary`` (column term)."""
     bits = share(docs.sparkSession, bitmap_of(vocabulary, "term"))
@@ -67,18 +56,17 @@ def word_counts(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
 
     def run(batches):
         from collections import Counter
-        known, counts, seen = _InVocabulary(bits.value), Counter(), 0
+        known, counts, seen = np.frombuffer(bits.value, np.uint8), Counter(), 0
 
         def flush():
-            counts.pop(None, None)
             return pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.int64()), pa.array(counts.values(), pa.int64())], names=["term", "tf"])
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                for text in batch.column(0).slice(at, 256).to_pylist():
-                    words = alnum_words(text)
-                    counts.update(map(known.__getitem__, words))
-                    seen += len(words)
+            for _, offsets, data in text_slices(batch.column(0)):
+                keys, _ = alnum_keys(offsets, data)
+                terms, n = pa.array(keys[in_bitmap_all(known, keys)]).value_counts().flatten()
+                counts.update(dict(zip(terms.to_pylist(), n.to_pylist(), strict=True)))
+                seen += len(keys)
                 if seen >= FLUSH_WORDS:
                     yield flush()
                     counts.clear()
@@ -120,29 +108,85 @@ def anchors(items: DataFrame, counts: DataFrame) -> DataFrame:
             .groupBy("item_key", "at", "term", "at2", "term2").agg(F.max("whole").alias("whole")))
 
 
-def positional_index(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """``doc_key, doc_id, n_words, postings`` (array of term and its positions) of every row, written out."""
-    bits = share(docs.sparkSession, bitmap_of(terms, "term"))
+def near_pairs(marks: DataFrame) -> DataFrame:
+    """``key, exact``: ``pair_keys`` of each of the ``anchors`` pairs at every distance that makes
+    an alignment, the word that stands first named first; ``exact``: at a ``whole`` pair's own distance."""
+    def run(batches):
+        for batch in batches:
+            at, term, at2, term2, whole = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            for gap in range(-SLACK, SLACK + 1):
+                apart = at2.astype(np.int64) - at + gap
+                turned = apart < 0
+                keys = pair_keys(np.where(turned, term2, term), np.where(turned, term, term2), np.abs(apart))
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(whole.astype(bool) & (gap == 0))], names=["key", "exact"])
 
-    def setup():
-        known = _InVocabulary(bits.value)
-
-        def work(texts):
-            sizes, posts = [], []
-            for text in texts:
-                words = alnum_words(text)
-                found: dict[int, list[int]] = {}
-                for i, key in enumerate(map(known.__getitem__, words)):
-                    if key is not None:
-                        found.setdefault(key, []).append(i)
-                sizes.append(len(words))
-                posts.append([{"term": k, "places": v} for k, v in found.items()])
-            return [sizes, posts]
-        return work
+    from tablecraft.session import ship_package
+    ship_package(marks.sparkSession)
+    return marks.select("at", "term", "at2", "term2", "whole").mapInArrow(run, "key long, exact boolean")
+
+
+def near_places(keys: np.ndarray, places: np.ndarray, rows: np.ndarray, near: np.ndarray, exact: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the words (key, place, row, in order) stand with another one, or alone, as the bitmap
+    ``near`` has it, and the rows where two stand as ``exact`` has it."""
+    kept, whole = np.zeros(len(keys), bool), []
+    for step in range(WINDOW + SLACK):  # places of a row differ, so words this many apart in the list are at least as far apart in it
+        one, two = slice(0, len(keys) - step), slice(step, len(keys))
+        apart = places[two] - places[one]
+        i = np.flatnonzero((rows[one] == rows[two]) & (apart < WINDOW + SLACK))
+        if not len(i):
+            break
+        pairs = pair_keys(keys[i], keys[i + step], apart[i])
+        found = in_bitmap_all(near, pairs)
+        kept[i[found]] = kept[i[found] + step] = True
+        whole.append(rows[i[in_bitmap_all(exact, pairs)]])
+    return kept, np.unique(np.concatenate(whole)) if whole else np.empty(0, np.int64)
+
+
+def positional_index(docs: DataFrame, marks: DataFrame) -> DataFrame:
+    """``doc_key, doc_id, n_words, postings`` (array of term and its positions) and ``text`` of every row, written out.
+
+    Postings hold the words of ``marks`` (see ``anchors``) at the places where
+    two may stand so that they make an alignment; the text stays where they may
+    stand as in a ``whole`` pair.  "May": by bitmaps, the joins on the postings decide.
+    """
+    spark = docs.sparkSession
+    pairs = near_pairs(marks)
+    terms = share(spark, bitmap_of(marks.select(F.explode(F.array("term", "term2")).alias("term")), "term"))
+    close, exactly = share(spark, bitmap_of(pairs, "key")), share(spark, bitmap_of(pairs.filter("exact"), "key"))
+    keyed = docs.select(row_key("doc_id", "text").alias("doc_key"), "doc_id", "text")
+    ddl = "n_words long, postings array<struct<term: long, places: array<int>>>"
+    out = T.StructType([*keyed.schema.fields[:2], *T.StructType.fromDDL(ddl).fields, keyed.schema["text"]])
+    listed = to_arrow_schema(out).field("postings").type
+
+    def postings(keys, places, rows, n):
+        order = np.lexsort((keys, rows))  # stable: the places of a word in a row stay in order
+        keys, places, rows = keys[order], places[order], rows[order]
+        heads = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (rows[1:] != rows[:-1])]) if len(keys) else np.empty(0, np.int64)
+        entry, inner = listed.value_type, listed.value_type.field("places").type
+        lists = pa.ListArray.from_arrays(pa.array(np.append(heads, len(keys)), pa.int32()), pa.array(places, pa.int32()), type=inner)
+        entries = pa.StructArray.from_arrays([pa.array(keys[heads]), lists], fields=list(entry))
+        return pa.ListArray.from_arrays(pa.array(np.searchsorted(rows[heads], np.arange(n + 1)), pa.int32()), entries, type=listed)
 
-    return written(map_texts(docs.withColumn("doc_key", row_key("doc_id", "text")), setup,
-                             "n_words long, postings array<struct<term: long, places: array<int>>>",
-                             carry=("doc_key", "doc_id")), "index")
+    def run(batches):
+        known, near, exact = (np.frombuffer(b.value, np.uint8) for b in (terms, close, exactly))
+        for batch in batches:
+            for at, offsets, data in text_slices(batch.column(2)):
+                keys, first = alnum_keys(offsets, data)
+                n, sizes = len(offsets) - 1, np.diff(first)
+                at_words = np.flatnonzero(in_bitmap_all(known, keys))
+                rows = np.searchsorted(first, at_words, "right") - 1
+                places, keys = at_words - first[rows], keys[at_words]
+                kept, whole = near_places(keys, places, rows, near, exact)
+                wanted = np.zeros(n, bool)
+                wanted[whole] = True
+                part = batch.slice(at, n)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array(sizes), postings(keys[kept], places[kept], rows[kept], n),
+                     part.column(2).take(pa.array(np.arange(n), mask=~wanted))], names=out.names)
+
+    from tablecraft.session import ship_package
+    ship_package(spark)
+    return written(keyed.mapInArrow(run, out), "index")
 
 
 def alignments(postings: DataFrame, marks: DataFrame) -> DataFrame:
@@ -191,13 +235,11 @@ def find_passages(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, Dat
     repeat id and text share their matches; an item id that stands twice counts
     once.  Empty tables give no matches.  Other columns are not looked at.
     """
-    spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     items = written(item_words(benchmark.select("item_id", "text")), "items")
     vocabulary = items.select(F.explode("words").alias("term")).distinct()
     marks = written(anchors(items, word_counts(docs, vocabulary)), "anchors")
-    terms = marks.select(F.explode(F.array("term", "term2")).alias("term")).distinct()
-    index = positional_index(docs, terms)
+    index = positional_index(docs, marks)
 
     postings = (index.select("doc_key", F.explode("postings").alias("p")).select("doc_key", "p.term", "p.places")
                 .dropDuplicates(["doc_key", "term"]))
@@ -205,28 +247,15 @@ def find_passages(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, Dat
     exact = found.filter("gap = 0 AND whole")
 
     # the whole texts of candidate documents, to compare word by word
-    wanted = exact.select("doc_key").distinct()
-    bits = share(spark, bitmap_of(wanted, "doc_key"))
-
-    def setup():
-        data = bits.value
-
-        def work(cells):
-            keep = [in_bitmap(data, c["key"]) for c in cells]
-            return [[c["text"] if k else None for c, k in zip(cells, keep, strict=True)], keep]
-        return work
-
-    keyed = docs.withColumn("doc_key", row_key("doc_id", "text"))
-    texts = map_texts(keyed.select("doc_key", F.struct(F.col("doc_key").alias("key"), "text").alias("cell")),
-                      setup, "text string, there boolean", carry=("doc_key",), text="cell", keep=True).dropDuplicates(["doc_key"])
+    texts = index.select("doc_key", "text").filter("text IS NOT NULL").dropDuplicates(["doc_key"])
     cases = (exact.groupBy("doc_key", "item_key").agg(F.collect_set("place").alias("places")).join(items, "item_key")
              .groupBy("doc_key").agg(F.collect_list(F.struct("item_key", F.col("item_id").cast("string").alias("id"), "words", "places")).alias("cases")))
 
     def verify():
         def work(cells):
             hits, ids, phrases = [], [], []
-            for c in cells:
-                words = [word_key(w) for w in alnum_words(c["text"])]
+            for c, keys in zip(cells, keys_of_texts([c["text"] for c in cells]), strict=True):
+                words = keys.tolist()
                 covered, hit_items, starts = set(), set(), []
                 for case in c["cases"]:
                     item = case["words"]
