@@ -67,14 +67,18 @@ def eights(data: bytes) -> np.ndarray:
     return np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
 
 
+def first_bytes(places: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Up to eight bytes of each stretch as an integer; ``places`` are the ``eights`` of the data."""
+    return places[starts] & _FIRST[np.minimum(sizes, 8)]
+
+
 def span_keys(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Signed 64-bit keys of the words ``data[start:end]``; words of up to eight bytes without zero bytes never share one."""
     places, sizes = eights(data), ends - starts
-    out = mix64(places[starts] & _FIRST[np.minimum(sizes, 8)])
+    out = mix64(first_bytes(places, starts, sizes))
     rest, at = np.flatnonzero(sizes > 8), 8
     while len(rest):
-        more = places[starts[rest] + at] & _FIRST[np.minimum(sizes[rest] - at, 8)]
-        out[rest] = mix64((out[rest] + _NEXT) ^ more)
+        out[rest] = mix64((out[rest] + _NEXT) ^ first_bytes(places, starts[rest] + at, sizes[rest] - at))
         at += 8
         rest = rest[sizes[rest] > at]
     return out.view(np.int64)

@@ -4,9 +4,10 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
-from tablecraft.llm import decontam, words
+from tablecraft.llm import decontam, pfor, words
 from tablecraft.llm.common import alnum_words
 
 
@@ -49,3 +50,47 @@ def test_index_holds_the_places_that_may_align(spark, docs_of):
             want += [(i, item, p - at, q - at2 - p + at, whole) for p in range(len(w)) for q in range(len(w))
                      if w[p] == one and w[q] == two and abs(q - at2 - p + at) <= decontam.SLACK]
     assert got == sorted(want) and want
+
+
+# ------------------------------------------------------------------ words of token-id files
+@pytest.fixture(scope="module")
+def definition():
+    with open(pytest.importorskip("public_tokenizers").path("word_bpe_49k.json"), encoding="utf-8") as f:
+        return f.read()
+
+
+def test_tasks_of_a_worker_share_what_it_has_encoded(definition, monkeypatch):
+    monkeypatch.setattr(pfor, "_TOKENS", {})
+    tokens = pfor.tokens_of(definition)
+    texts = ["The quick brown fox", "the Quick, brown fox."]
+    ids = tokens.batch(texts)
+    assert pfor.tokens_of(definition) is tokens
+    monkeypatch.setattr(tokens, "_encode", None)  # nothing is encoded twice
+    monkeypatch.setattr(tokens, "_letters", None)
+    assert pfor.tokens_of(definition).batch(texts[::-1]) == ids[::-1]
+
+
+@pytest.mark.parametrize("most, at_once", [(1_000_000, 1 << 18), (40, 7)])
+def test_looked_up_words_make_the_ids_of_whole_texts(definition, monkeypatch, most, at_once):
+    """Long words, zero bytes, a table that grows, and one that is forgotten again and again."""
+    monkeypatch.setattr(pfor, "CACHE_WORDS", most)
+    monkeypatch.setattr(pfor, "LOOKUP_WORDS", at_once)
+    tokens, rng = pfor.Tokens(definition), random.Random(2)
+    tokens.short = pfor._WordTable(4)
+    bits = ["a", "Bc", "é", "À", "Þ", "ß", "×", "ÿ", "Ā", "́", "-", "\x00", "\t", "0", "fourteen", "FIFTEEN", "漢", " ", " ", "\n"]
+    texts = [None, "", " \n ", *("".join(rng.choice(bits) for _ in range(rng.randrange(40))) for _ in range(800))]
+    texts += ["x" * n + "\x00" * z for n in range(1, 18) for z in range(3)]
+    for text, ids in zip(texts, tokens.batch(texts), strict=True):
+        want = tokens.tokenizer.encode(text or "", add_special_tokens=False).ids
+        assert np.frombuffer(ids, "<u4").tolist() == want, repr(text)
+
+
+def test_pieces_part_letters_from_what_follows():
+    text = "Élan, don't naïve×2 x Œuvre ab\nn\u0301c 9z Þ"
+    raw = np.frombuffer(text.encode(), np.uint8)
+    letters, lower = pfor.latin_letters(raw)
+    starts, ends, first, latin = pfor.pieces(raw, letters, np.array([0, len(raw)]))
+    got = [((lower if k else raw)[s:e].tobytes().decode(), k) for s, e, k in zip(starts, ends, latin.tolist(), strict=True)]
+    assert got == [("élan", True), (",", False), ("don", True), ("'t", False), ("naïve×2", False), ("x", True), ("Œuvre", False),
+                   ("ab", True), ("n\u0301c", False), ("9z", False), ("þ", True)]
+    assert first.tolist() == [0, len(got)]
